@@ -15,12 +15,17 @@ EVENT_ORDER = ("eventtime", "eventid")
 HOT_ROWS = 2_000_000
 HOT_GROUPS = 10_000
 # Up to this row, a page is cut from a top-k; beyond it, from row numbers.
-TOP_ROWS = 100_000
+TOP_ROWS = 10_000
 
 
-def _same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
-    """Null-safe equality, as grouping uses."""
-    return reduce(lambda a, b: a & b, [left[n].eqNullSafe(right[n]) for n in names])
+def _marked(df: DataFrame, keys: list[str], *others: str) -> DataFrame:
+    """The keys under other names, so that a join with rows they came from is unambiguous."""
+    return df.select(*[F.col(key).alias(f"_of_{key}") for key in keys], *others)
+
+
+def _same_group(keys: list[str]) -> Column:
+    """Rows beside their marked keys; nulls are equal, as in grouping."""
+    return reduce(lambda a, b: a & b, [F.col(key).eqNullSafe(F.col(f"_of_{key}")) for key in keys])
 
 
 def numbered(
@@ -41,15 +46,13 @@ def numbered(
     if sizes is None:
         sizes = rows.groupBy(*keys).agg(F.count("*").alias("n"))
     # Groups beyond the limit hold at most 1/HOT_GROUPS of the rows each, so a window can take them.
-    hot = pin(
-        sizes.where(F.col("n") > hot_rows).orderBy(F.desc("n")).limit(HOT_GROUPS).select(*keys)
-    )
+    hot = pin(_marked(sizes.where(F.col("n") > hot_rows).orderBy(F.desc("n")).limit(HOT_GROUPS), keys))
     by_window = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     if hot.isEmpty():
         return rows.withColumn(name, by_window)
     hot = F.broadcast(hot)
-    large = rows.join(hot, _same(rows, hot, keys), "left_semi")
-    small = rows.join(hot, _same(rows, hot, keys), "left_anti").withColumn(name, by_window)
+    large = rows.join(hot, _same_group(keys), "left_semi")
+    small = rows.join(hot, _same_group(keys), "left_anti").withColumn(name, by_window)
     return small.unionByName(_numbered_by_range(large, keys, order, name))
 
 
@@ -71,14 +74,11 @@ def _numbered_by_range(rows: DataFrame, keys: list[str], order: list[str], name:
     )
     # One row per group and piece: hot groups and partitions bound its size, not the rows.
     earlier = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = runs.select(
-        *keys, "_piece",
-        (F.coalesce(F.sum("_size").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"),
-    )
-    shifts = F.broadcast(shifts)
-    return placed.join(shifts, _same(placed, shifts, [*keys, "_piece"])).select(
-        *[placed[c] for c in rows.columns],
-        (placed["_at"] + shifts["_shift"] + 1).cast("int" if keys else "long").alias(name),
+    shift = F.coalesce(F.sum("_size").over(earlier), F.lit(0)) - F.col("_first")
+    shifts = _marked(runs.withColumn("_shift", shift), [*keys, "_piece"], "_shift")
+    number = (F.col("_at") + F.col("_shift") + 1).cast("int" if keys else "long")
+    return placed.join(F.broadcast(shifts), _same_group([*keys, "_piece"])).select(
+        *rows.columns, number.alias(name)
     )
 
 

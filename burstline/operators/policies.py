@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from burstline.fixed_values import (
     CRITICALITIES, ENTITIES, FIRST_SIGNATURE_ID, FUNCTIONALITIES, NEW_POLICY, THREAT_LEVEL, THREATS,
@@ -12,8 +13,7 @@ from burstline.functions.parsing import filled, to_integer, trim_blanks
 from burstline.operators.joins import attach
 from burstline.operators.paging import numbered
 from burstline.schema import GROUP
-
-from pyspark.sql import types as T
+from burstline.session import pin
 
 ALL_GROUPS = -1
 META = (1, 2, 3)
@@ -155,8 +155,8 @@ def last_id(table: DataFrame, column: str = "id") -> int:
 def threat_ids(names: DataFrame, threats: DataFrame) -> DataFrame:
     """Distinct ``threatname`` with their id and level; names not in ``threats`` get new ids."""
     wanted = names.select("threatname").dropna().distinct()
-    known = attach(wanted, threats.select(F.col("name").alias("threatname"), F.col("id").alias("riskthreatid")),
-                   ["threatname"], "left", ["threatname"])
+    ids = threats.select(F.col("name").alias("threatname"), F.col("id").alias("riskthreatid"))
+    known = pin(attach(wanted, ids, ["threatname"], "left", ["threatname"]))
     missing = known.where(F.col("riskthreatid").isNull()).select("threatname")
     made = assign_ids(missing, "threatname", {"riskthreatid": last_id(threats)})
     return (
@@ -169,7 +169,7 @@ def threat_ids(names: DataFrame, threats: DataFrame) -> DataFrame:
 def replace_categories(old: DataFrame, new: DataFrame, categories: DataFrame) -> DataFrame:
     """The rows of every policy named in ``new`` give way to its rows there."""
     named = with_category_name(new.withColumn("name", F.col("policyid")), categories).drop("name")
-    kept = attach(old, new.select("policyid").distinct(), ["policyid"], "left_anti", ["policyid", "categoryid"])
+    kept = attach(old, new.select("policyid"), ["policyid"], "left_anti", ["policyid", "categoryid"])
     return kept.unionByName(named)
 
 
@@ -203,8 +203,8 @@ def merge_policies(
         **{name: F.lit(value) for name, value in NEW_POLICY.items()},
     })
     made = with_category_name(made, categories)
-    made = attach(made, threat_ids(made, threats).select("threatname", "riskthreatid"),
-                  ["threatname"], "left", ["name"])
+    ids = pin(threat_ids(made, threats).select("threatname", "riskthreatid"))
+    made = attach(made, ids, ["threatname"], "left", ["name"])
     fill = [c for c in policies.columns if c in made.columns]
     return policies.withColumn("is_new", F.lit(False)).unionByName(
         made.select(*fill).withColumn("is_new", F.lit(True)), allowMissingColumns=True

@@ -34,7 +34,7 @@ def find_events(events: DataFrame, rule: Rule, groups: DataFrame | None = None,
                 analyzer: Analyzer = detect) -> Found:
     """Violating events of the given groups (column ``rg_id``; all groups if none are given)."""
     if groups is not None:
-        events = attach(events, groups.select(GROUP).distinct(), [GROUP], "left_semi", ["eventid"])
+        events = attach(events, groups.select(GROUP), [GROUP], "left_semi", ["eventid"])
     hits = pin(analyzer(events, rule))
     raw = drilldown(events, hits, rule)
     return Found(hits, parse_fields(readable(raw)), quarantined(raw))

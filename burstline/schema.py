@@ -51,5 +51,12 @@ FIELD_TYPES: dict[str, T.DataType] = {
     **{name: T.BooleanType() for name in BOOLEAN_FIELDS},
 }
 
+
+
+def event_schema(fields: list[str]) -> T.StructType:
+    """The schema of event files with the given fields: typed by name, text where not named above."""
+    return T.StructType([T.StructField(name, FIELD_TYPES.get(name, T.StringType())) for name in fields])
+
+
 # Column that says which resource group an event belongs to.
 GROUP = "rg_id"

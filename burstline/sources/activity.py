@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from burstline.operators.joins import attach
 from burstline.schema import GROUP
+from burstline.session import pin
 
 
 def scan_activity(events: DataFrame, group: int = 1) -> DataFrame:
@@ -25,7 +26,7 @@ def scan_activity_multi(events: DataFrame, groups: DataFrame, event_id: str = "e
 
 def skipped_groups(events: DataFrame, groups: DataFrame) -> DataFrame:
     """Requested groups that have no events to read."""
-    present = events.select(GROUP).distinct()
+    present = pin(events.select(GROUP).distinct())
     return attach(groups.select(GROUP).distinct(), present, [GROUP], "left_anti", [GROUP])
 
 

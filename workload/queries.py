@@ -112,7 +112,7 @@ def display_config(spark, sf):
 
 def policy_threat_id(spark, sf):
     names = t.requests(spark, sf).select(F.col("riskthreatname").alias("threatname"))
-    return p.threat_ids(names, t.known_threats(spark, sf)).select("threatname", "riskthreatid", "is_new")
+    return p.threat_ids(names, pin(t.known_threats(spark, sf))).select("threatname", "riskthreatid", "is_new")
 
 
 def validate_policies(spark, sf):
@@ -134,9 +134,8 @@ def replace_categories(spark, sf):
 
 
 def merge_policies(spark, sf):
-    return p.merge_policies(
-        t.requests(spark, sf), policy_table(t.existing_policies(spark, sf)), t.categories(spark), t.known_threats(spark, sf)
-    )
+    policies = policy_table(t.existing_policies(spark, sf))
+    return p.merge_policies(t.requests(spark, sf), policies, t.categories(spark), pin(t.known_threats(spark, sf)))
 
 
 def policy_table(policies: DataFrame) -> DataFrame:
