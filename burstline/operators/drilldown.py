@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from burstline.operators.detect import Rule, equals, matching
-from burstline.operators.joins import attach, most_frequent
+from burstline.operators.joins import attach
 
 
 def drilldown(events: DataFrame, hits: DataFrame, rule: Rule, event_id: str = "eventid",
@@ -17,13 +17,13 @@ def drilldown(events: DataFrame, hits: DataFrame, rule: Rule, event_id: str = "e
     event rows are not shuffled at all. Rows with a null key belong to no hit.
     """
     keys = rule.group_keys
-    hot = None
+    sizes = None
     if "n" in hits.columns:
-        hot = most_frequent(hits, keys, "n")
+        sizes = hits
         # True of every count. Given a predicate on the hits, the optimizer skips the partitions
         # of the event table that no hit falls in.
         hits = hits.where(F.col("n") > 0)
-    return attach(matching(events, rule), hits.select(*keys), keys, "left_semi", [event_id], hot, limit)
+    return attach(matching(events, rule), hits.select(*keys), keys, "left_semi", [event_id], sizes, limit)
 
 
 def drilldown_one(events: DataFrame, rule: Rule, key: dict[str, object]) -> DataFrame:

@@ -1,8 +1,8 @@
 """Joins of a large table with a lookup whose size is not known beforehand.
 
 A lookup is broadcast only after its size was measured. A larger one is joined by shuffle, with
-the most frequent keys of the large side spread over several salts, so that a key holding a
-third of all rows does not end in one task. Both ways give the same rows.
+the frequent keys of the large side spread over salts, more of them the more rows a key has, so
+that a key holding a third of all rows does not end in one task. Both ways give the same rows.
 """
 
 from __future__ import annotations
@@ -17,8 +17,11 @@ from pyspark.sql import types as T
 from burstline.session import pin
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-HOT_KEYS = 1000
-SALTS = 64
+# A key with more rows than this is spread, about this many rows to a salt.
+SALT_ROWS = 1_000_000
+HOT_KEYS = 100_000
+# Rows whose key is null match nothing; they are spread over this many salts.
+NULL_SALTS = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -47,12 +50,12 @@ def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
     return measure(df).bytes <= (BROADCAST_BYTES if limit is None else limit)
 
 
-def most_frequent(sizes: DataFrame, keys: list[str], count: str, limit: int = HOT_KEYS) -> DataFrame:
-    """Keys with the highest counts. At most ``limit`` rows, whatever the data holds.
+def frequent(sizes: DataFrame, keys: list[str], above: int, limit: int = HOT_KEYS) -> DataFrame:
+    """Keys with more than ``above`` rows, by the counts in ``n``: at most ``limit`` of them.
 
-    Every key left out holds at most ``1/limit`` of the counted rows.
+    A key left out has at most ``above`` rows, or at most ``1/limit`` of all rows.
     """
-    return sizes.orderBy(F.desc(count)).limit(limit).select(*keys)
+    return sizes.where(F.col("n") > above).orderBy(F.desc("n")).limit(limit).select(*keys, "n")
 
 
 def attach(
@@ -61,37 +64,34 @@ def attach(
     keys: list[str],
     how: str,
     salt_by: list[str],
-    hot: DataFrame | None = None,
+    sizes: DataFrame | None = None,
     limit: int | None = None,
 ) -> DataFrame:
     """``rows.join(lookup, keys, how)`` for a lookup of unknown size and skewed ``keys``.
 
     ``how`` is a join that keeps each left row with its own matches: inner, left, left_semi or
-    left_anti. ``salt_by`` names columns that differ between rows of one key. ``hot`` gives the
-    frequent keys where the caller knows them already.
+    left_anti. ``salt_by`` names columns that differ between rows of one key. ``sizes`` gives rows
+    per key in column ``n`` where that is known already.
     """
     if fits_broadcast(lookup, limit):
         joined = rows.join(F.broadcast(lookup), keys, how)
     else:
-        joined = _salted(rows, lookup, keys, how, salt_by, hot)
+        joined = _salted(rows, lookup, keys, how, salt_by, sizes)
     extra = [] if how in ("left_semi", "left_anti") else [c for c in lookup.columns if c not in keys]
     return joined.select(*rows.columns, *extra)
 
 
 def _salted(
-    rows: DataFrame, lookup: DataFrame, keys: list[str], how: str, salt_by: list[str], hot: DataFrame | None
+    rows: DataFrame, lookup: DataFrame, keys: list[str], how: str, salt_by: list[str], sizes: DataFrame | None
 ) -> DataFrame:
-    if hot is None:
-        counted = rows.dropna(subset=keys).groupBy(*keys).agg(F.count("*").alias("_n"))
-        hot = most_frequent(counted, keys, "_n")
-    # Both sides must use the same set of hot keys, also when counts tie: pin it.
-    hot = F.broadcast(pin(hot.select(*keys, F.lit(True).alias("_hot"))))
-    # Rows with a null key match nothing, so they can go to any salt.
+    if sizes is None:
+        sizes = rows.dropna(subset=keys).groupBy(*keys).agg(F.count("*").alias("n"))
+    salts = F.floor(F.col("n") / F.lit(SALT_ROWS)) + 1
+    # Both sides must use the same hot keys, also when counts tie at the limit: pin them.
+    hot = F.broadcast(pin(frequent(sizes, keys, SALT_ROWS).select(*keys, salts.alias("_salts"))))
     no_match = reduce(lambda a, b: a | b, [F.col(key).isNull() for key in keys])
-    spread = F.pmod(F.xxhash64(*salt_by), F.lit(SALTS)).cast("int")
-    left = rows.join(hot, keys, "left").withColumn(
-        "_salt", F.when(no_match | F.coalesce("_hot", F.lit(False)), spread).otherwise(F.lit(0))
-    ).drop("_hot")
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    right = lookup.join(hot, keys, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
+    spread = F.when(no_match, F.lit(NULL_SALTS).cast("long")).otherwise(F.coalesce("_salts", F.lit(1)))
+    left = rows.join(hot, keys, "left").withColumn("_salt", F.pmod(F.xxhash64(*salt_by), spread)).drop("_salts")
+    copies = F.sequence(F.lit(0).cast("long"), F.coalesce("_salts", F.lit(1)) - 1)
+    right = lookup.join(hot, keys, "left").withColumn("_salt", F.explode(copies)).drop("_salts")
     return left.join(right, [*keys, "_salt"], how).drop("_salt")

@@ -7,13 +7,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from burstline.operators.joins import frequent
 from burstline.session import pin
 
 PAGE_SIZE = 1000
 EVENT_ORDER = ("eventtime", "eventid")
 # A group with more rows than this is numbered across tasks.
 HOT_ROWS = 2_000_000
-HOT_GROUPS = 10_000
+# Pages listed from one row at a time.
+PAGES_AT_ONCE = 100_000
 # Up to this row, a page is cut from a top-k; beyond it, from row numbers.
 TOP_ROWS = 10_000
 
@@ -45,9 +47,8 @@ def numbered(
         return _numbered_by_range(rows, [], order, name)
     if sizes is None:
         sizes = rows.groupBy(*keys).agg(F.count("*").alias("n"))
-    # Groups beyond the limit hold at most 1/HOT_GROUPS of the rows each, so a window can take them.
-    hot = pin(_marked(sizes.where(F.col("n") > hot_rows).orderBy(F.desc("n")).limit(HOT_GROUPS), keys))
-    by_window = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    hot = pin(_marked(frequent(sizes, keys, hot_rows), keys))
+    by_window = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("long")
     if hot.isEmpty():
         return rows.withColumn(name, by_window)
     hot = F.broadcast(hot)
@@ -76,7 +77,7 @@ def _numbered_by_range(rows: DataFrame, keys: list[str], order: list[str], name:
     earlier = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     shift = F.coalesce(F.sum("_size").over(earlier), F.lit(0)) - F.col("_first")
     shifts = _marked(runs.withColumn("_shift", shift), [*keys, "_piece"], "_shift")
-    number = (F.col("_at") + F.col("_shift") + 1).cast("int" if keys else "long")
+    number = F.col("_at") + F.col("_shift") + 1
     return placed.join(F.broadcast(shifts), _same_group([*keys, "_piece"])).select(
         *rows.columns, number.alias(name)
     )
@@ -92,7 +93,7 @@ def page_number(
 ) -> DataFrame:
     """Every row with the page of its group it is on, counted from 0."""
     counted = numbered(rows, keys, list(order), "_number", sizes, hot_rows)
-    page = F.floor((F.col("_number") - 1) / F.lit(page_size)).cast("int")
+    page = F.floor((F.col("_number") - 1) / F.lit(page_size))
     return counted.withColumn("page", page).drop("_number")
 
 
@@ -107,12 +108,17 @@ def page(rows: DataFrame, offset: int, page_size: int = PAGE_SIZE,
 
 def page_counts(sizes: DataFrame, keys: list[str], page_size: int = PAGE_SIZE) -> DataFrame:
     """Rows on each page of each group, from the group sizes alone."""
-    last = F.floor((F.col("n") - 1) / F.lit(page_size)).cast("int")
-    return (
+    last = F.floor((F.col("n") - 1) / F.lit(page_size))
+    # A large group has many pages: its list is made in parts, and the parts spread over tasks.
+    parts = (
         sizes.where(F.col("n") > 0)
-        .select(*keys, "n", F.explode(F.sequence(F.lit(0), last)).alias("page"))
-        .select(
-            *keys, "page",
-            F.least(F.lit(page_size).cast("long"), F.col("n") - F.col("page") * page_size).alias("events"),
-        )
+        .select(*keys, "n", last.alias("_last"))
+        .withColumn("_from", F.explode(F.sequence(F.lit(0).cast("long"), "_last", F.lit(PAGES_AT_ONCE).cast("long"))))
+    )
+    if not sizes.where(last >= PAGES_AT_ONCE).isEmpty():
+        parts = parts.repartition(*keys, "_from")
+    to = F.least(F.col("_from") + PAGES_AT_ONCE - 1, F.col("_last"))
+    left = F.col("n") - F.col("page") * page_size
+    return parts.withColumn("page", F.explode(F.sequence("_from", to))).select(
+        *keys, "page", F.least(F.lit(page_size).cast("long"), left).alias("events")
     )

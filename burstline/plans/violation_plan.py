@@ -12,11 +12,10 @@ from burstline.functions.parsing import parse_fields, quarantined, readable
 from burstline.functions.templates import template_vars
 from burstline.operators.detect import Rule, detect
 from burstline.operators.drilldown import drilldown
-from burstline.operators.joins import attach
 from burstline.operators.policies import policy_groups, with_score
 from burstline.operators.violations import event_day, sentences, tag_policy, with_violation_id
-from burstline.schema import GROUP
 from burstline.session import pin
+from burstline.sources.activity import scan_activity_multi
 
 # An analyzer turns events into the keys of violating groups: the columns of
 # ``rule.group_keys``, with a count ``n`` where it has one. The engine does the rest.
@@ -34,7 +33,7 @@ def find_events(events: DataFrame, rule: Rule, groups: DataFrame | None = None,
                 analyzer: Analyzer = detect) -> Found:
     """Violating events of the given groups (column ``rg_id``; all groups if none are given)."""
     if groups is not None:
-        events = attach(events, groups.select(GROUP), [GROUP], "left_semi", ["eventid"])
+        events = scan_activity_multi(events, groups)
     hits = pin(analyzer(events, rule))
     raw = drilldown(events, hits, rule)
     return Found(hits, parse_fields(readable(raw)), quarantined(raw))

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from burstline.schema import GROUP
-
 
 def messages(violations: DataFrame, key: str = "violation_id") -> DataFrame:
     """One message per violating event: ``key`` and the whole row as JSON in ``value``."""
@@ -18,6 +16,7 @@ def publish_to_topic(violations: DataFrame, topic: str, options: dict[str, str])
     messages(violations).write.format("kafka").options(topic=topic, **options).save()
 
 
-def publish_to_files(violations: DataFrame, path: str, file_format: str = "json", mode: str = "errorifexists") -> None:
-    """Write the violations under ``path``, one folder per resource group."""
-    violations.write.mode(mode).partitionBy(GROUP).format(file_format).save(path)
+def publish_to_files(violations: DataFrame, path: str, file_format: str = "json",
+                     mode: str = "errorifexists", by: tuple[str, ...] = ()) -> None:
+    """Write the violations under ``path``, in folders by the columns ``by`` if any are given."""
+    violations.write.mode(mode).partitionBy(*by).format(file_format).save(path)

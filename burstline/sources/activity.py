@@ -13,6 +13,9 @@ from burstline.operators.joins import attach
 from burstline.schema import GROUP
 from burstline.session import pin
 
+# Longest list of groups put into a filter.
+IN_LIST = 1000
+
 
 def scan_activity(events: DataFrame, group: int = 1) -> DataFrame:
     """Events of one resource group; prunes partitions where the table is partitioned by it."""
@@ -20,8 +23,16 @@ def scan_activity(events: DataFrame, group: int = 1) -> DataFrame:
 
 
 def scan_activity_multi(events: DataFrame, groups: DataFrame, event_id: str = "eventid") -> DataFrame:
-    """Events of all given groups (column ``rg_id``) in one scan."""
-    return attach(events, groups.select(GROUP), [GROUP], "left_semi", [event_id])
+    """Events of all given groups (column ``rg_id``) in one scan.
+
+    A short list of groups becomes part of the scan's own filter, so that other groups'
+    partitions are not read; a long one is a semi-join.
+    """
+    wanted = groups.select(GROUP).dropna()
+    some = wanted.distinct().limit(IN_LIST + 1).collect()
+    if len(some) <= IN_LIST:
+        return events.where(F.col(GROUP).isin([row[GROUP] for row in some]))
+    return attach(events, wanted, [GROUP], "left_semi", [event_id])
 
 
 def skipped_groups(events: DataFrame, groups: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from burstline.operators import joins
 from burstline.operators.detect import Rule, detect, detect_keys, detect_sql, hits_per_group, matching
 from burstline.operators.drilldown import drilldown, drilldown_one
 from burstline.plans.violation_plan import find_events
@@ -33,6 +34,11 @@ def found(df, limit=None):
     return hits, drilldown(df, hits, RULE, limit=limit)
 
 
+@pytest.fixture(autouse=True)
+def few_rows_to_a_salt(monkeypatch):
+    monkeypatch.setattr(joins, "SALT_ROWS", 4)
+
+
 @pytest.mark.parametrize("limit", [None, 0], ids=["broadcast", "salted"])
 @pytest.mark.parametrize("name, parts, hits, published", [
     ("at threshold", [rows(5)], 0, 0),

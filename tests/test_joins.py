@@ -4,7 +4,8 @@ import random
 
 import pytest
 
-from burstline.operators.joins import attach, fits_broadcast, measure, most_frequent
+from burstline.operators import joins
+from burstline.operators.joins import attach, fits_broadcast, frequent, measure
 
 
 @pytest.fixture(scope="module")
@@ -17,9 +18,10 @@ def tables(spark):
             spark.createDataFrame(lookup, "k string, p int, v string"))
 
 
-@pytest.mark.parametrize("limit", [None, 0], ids=["broadcast", "salted"])
+@pytest.mark.parametrize("limit, salt_rows", [(None, 1), (0, 1_000_000), (0, 7)], ids=["broadcast", "shuffled", "salted"])
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_same_as_plain_join(tables, how, limit):
+def test_same_as_plain_join(tables, how, limit, salt_rows, monkeypatch):
+    monkeypatch.setattr(joins, "SALT_ROWS", salt_rows)
     rows, lookup = tables
     got = attach(rows, lookup, ["k", "p"], how, ["id"], limit=limit)
     want = rows.join(lookup, ["k", "p"], how)
@@ -27,11 +29,22 @@ def test_same_as_plain_join(tables, how, limit):
     assert got.columns[:3] == rows.columns
 
 
-def test_hot_key_is_spread(tables, capsys):
-    rows, lookup = tables
-    attach(rows.where("k = 'hot'"), lookup, ["k"], "left_semi", ["id"], limit=0).explain()
-    plan = capsys.readouterr().out
-    assert "_salt" in plan and "xxhash64" in plan
+def test_hot_key_is_spread(tables, monkeypatch):
+    monkeypatch.setattr(joins, "SALT_ROWS", 10)
+    rows, _ = tables
+    seen = {}
+    plain = type(rows).join
+
+    def spy(self, other, on=None, how=None):
+        if on == ["k", "_salt"]:
+            seen.update({(r["k"], r["_salt"]): r["count"] for r in self.groupBy("k", "_salt").count().collect()})
+        return plain(self, other, on, how)
+
+    monkeypatch.setattr(type(rows), "join", spy)
+    attach(rows, rows.select("k"), ["k"], "left_semi", ["id"], limit=0)
+    hot = [n for (k, _), n in seen.items() if k == "hot"]
+    assert sum(hot) == 100 and len(hot) >= 9 and max(hot) <= 30
+    assert max(n for (k, _), n in seen.items() if k is None) <= 3
 
 
 def test_measure(spark, tables):
@@ -44,6 +57,7 @@ def test_measure(spark, tables):
     assert not fits_broadcast(rows, 10)
 
 
-def test_most_frequent_is_bounded(spark):
+def test_frequent_keys_are_bounded(spark):
     sizes = spark.createDataFrame([(str(i), i) for i in range(50)], "k string, n int")
-    assert [r["k"] for r in most_frequent(sizes, ["k"], "n", 3).collect()] == ["49", "48", "47"]
+    assert [r["k"] for r in frequent(sizes, ["k"], 10, 3).collect()] == ["49", "48", "47"]
+    assert frequent(sizes, ["k"], 47, 100).count() == 2

@@ -109,10 +109,13 @@ def test_sums_and_counts_in_sentences(spark):
     assert {r["s"] for r in got} == {"a 1 12.00 x", "b 0 UNKNOWN ?"}
 
 
-def test_scans(spark, events):
+def test_scans(spark, events, monkeypatch):
     assert a.scan_activity(events).count() == 7 and a.scan_activity(events, 2).count() == 6
     groups = spark.createDataFrame([(2,), (3,)], "rg_id long")
     assert {r["rg_id"] for r in a.scan_activity_multi(events, groups).collect()} == {2}
+    monkeypatch.setattr(a, "IN_LIST", 1)
+    assert {r["rg_id"] for r in a.scan_activity_multi(events, groups).collect()} == {2}
+    assert a.scan_activity_multi(events, groups.where("false")).count() == 0
     assert [r["rg_id"] for r in a.skipped_groups(events, groups).collect()] == [3]
 
 
@@ -130,7 +133,7 @@ def test_files_and_messages(spark, result, tmp_path):
     back = spark.read.schema(event_schema(["eventid", "eventtime", "rg_id", "violation_id"])).json(str(tmp_path / "out"))
     assert sorted(r["violation_id"] for r in back.collect()) == sorted(r["violation_id"] for r in result.collect())
     assert {r["rg_id"] for r in back.collect()} == {1, 2}
-    publish_to_files(result, str(tmp_path / "parquet"), "parquet")
+    publish_to_files(result, str(tmp_path / "parquet"), "parquet", by=("rg_id",))
     assert spark.read.parquet(str(tmp_path / "parquet")).count() == 18
     message = messages(result).first()
     assert json.loads(message["value"])["violation_id"] == message["key"]

@@ -242,11 +242,11 @@ def oracle_sql() -> dict[str, str]:
             JOIN threat_all t ON t.name = m.riskthreatname""",
         "page_one": f"WITH {FOUND} SELECT * FROM found ORDER BY eventtime, eventid LIMIT 10 OFFSET 5",
         "page_number": f"""WITH {FOUND} SELECT eventid, {key_columns}, CAST((row_number() OVER (PARTITION BY {key_columns}
-            ORDER BY eventtime, eventid) - 1) // 2 AS INTEGER) AS page FROM found""",
+            ORDER BY eventtime, eventid) - 1) // 2 AS BIGINT) AS page FROM found""",
         "page_number_all": f"""WITH {ACTIVITY} SELECT eventid, message, CAST((row_number() OVER (PARTITION BY message
-            ORDER BY eventtime, eventid) - 1) // 1000 AS INTEGER) AS page FROM activity""",
+            ORDER BY eventtime, eventid) - 1) // 1000 AS BIGINT) AS page FROM activity""",
         "violations_per_page": f"""WITH {FOUND}, paged AS (SELECT {key_columns}, CAST((row_number() OVER (PARTITION BY {key_columns}
-            ORDER BY eventtime, eventid) - 1) // 2 AS INTEGER) AS page FROM found)
+            ORDER BY eventtime, eventid) - 1) // 2 AS BIGINT) AS page FROM found)
             SELECT {key_columns}, page, count(*) AS events FROM paged GROUP BY ALL""",
         "parse_fields": f"WITH {RAW} SELECT eventid, eventtime, destinationport, transactionnumber1, u_encrypted, tenantid, rg_riskscore, message FROM typed",
         "parse_strict": f"WITH {RAW} SELECT eventid, tenantid, tenantid IS NULL AS quarantined FROM typed",

@@ -273,7 +273,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "page_one": lambda s, f: paging.page(found(s, f)[1], offset=5, page_size=10),
         "page_number": page_number,
         "page_number_all": page_number_all,
-        "violations_per_page": lambda s, f: paging.page_counts(d.detect(t.activity(s, f), RULE), KEYS, page_size=2),
+        "violations_per_page": lambda s, f: paging.page_counts(pin(d.detect(t.activity(s, f), RULE)), KEYS, page_size=2),
         "parse_fields": lambda s, f: parse_fields(t.raw_events(s, f)),
         "parse_strict": parse_strict,
         "parse_failures": lambda s, f: parse_failures(t.raw_events(s, f)),
