@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 DEFAULT_ZONE = "GMT"
 DAY_MS = 86_400_000
+# Times and years beyond these cannot be calendar days here, and give null.
+LAST_MS = 253_402_300_799_999
+FIRST_YEAR, LAST_YEAR = 1, 9999
 
 
 def zone_or_default(zone: Column) -> Column:
@@ -16,12 +19,14 @@ def zone_or_default(zone: Column) -> Column:
 def day_epoch(epoch_ms: Column, zone: Column) -> Column:
     """Start of the local day that holds a time, as epoch milliseconds."""
     name = zone_or_default(zone)
-    wall = F.unix_millis(F.from_utc_timestamp(F.timestamp_millis(epoch_ms), name))
+    sound = F.when(epoch_ms.between(-LAST_MS, LAST_MS), epoch_ms)
+    wall = F.unix_millis(F.from_utc_timestamp(F.timestamp_millis(sound), name))
     midnight = wall - F.pmod(wall, F.lit(DAY_MS))
     return F.unix_millis(F.to_utc_timestamp(F.timestamp_millis(midnight), name))
 
 
 def minute_epoch(year: Column, dayofyear: Column, hour: Column, minute: Column) -> Column:
     """Start of the calendar minute that four integer columns name, as epoch milliseconds."""
-    days = F.unix_date(F.make_date(year, F.lit(1), F.lit(1))).cast("long") + dayofyear - 1
+    sound = F.when(year.between(FIRST_YEAR, LAST_YEAR), year)
+    days = F.unix_date(F.make_date(sound, F.lit(1), F.lit(1))).cast("long") + dayofyear - 1
     return days * DAY_MS + hour.cast("long") * 3_600_000 + minute.cast("long") * 60_000

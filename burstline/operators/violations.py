@@ -46,9 +46,9 @@ def with_violation_id(tagged: DataFrame, event_id: str = "eventid") -> DataFrame
 
 def values_map(columns: list[str]) -> Column:
     """Column name to its value as text, for look-ups by names that policies bring."""
-    return F.map_from_arrays(
-        F.array(*[F.lit(c) for c in columns]), F.array(*[F.col(f"`{c}`").cast("string") for c in columns])
-    )
+    names = F.array(*[F.lit(c) for c in columns])
+    texts = F.array(*[F.col(f"`{c}`").cast("string") for c in columns])
+    return F.map_from_arrays(names.cast("array<string>"), texts.cast("array<string>"))
 
 
 def event_day(time: str, zone: str | None) -> Column:
@@ -101,12 +101,20 @@ def verbose_rows(tagged: DataFrame, columns: list[str], time: str = "eventtime",
 
 
 def violations_nested(tagged: DataFrame, columns: list[str], time: str = "eventtime",
-                      zone: str | None = None) -> DataFrame:
-    """Event columns and ``violations``: a list of one violation with its keyed information."""
+                      zone: str | None = None, root: str = "accountname") -> DataFrame:
+    """Event columns and ``violations``: a list of one violation with its information by day.
+
+    An event whose day is unknown has no information; one without a root has an empty name there.
+    """
     day = event_day(time, zone)
+    name = F.coalesce(F.col(root).cast("string"), F.lit(""))
+
+    def by_day(value: Column) -> Column:
+        return F.when(day.isNotNull(), F.create_map(day, value))
+
     info = F.struct(
-        F.create_map(day, F.create_map(F.col("accountname"), tree_node(columns))).alias("violation_details"),
-        F.create_map(day, verbose_map(columns)).alias("verbose_values"),
+        by_day(F.create_map(name, tree_node(columns))).alias("violation_details"),
+        by_day(verbose_map(columns)).alias("verbose_values"),
     )
     parts = [F.col(alias) for alias in VIOLATION_FIELDS.values() if alias in tagged.columns]
     own = [c for c in tagged.columns if c not in [*VIOLATION_FIELDS.values(), *DISPLAY_FIELDS]]

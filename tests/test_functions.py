@@ -95,6 +95,8 @@ def test_day_epoch(spark, session_zone):
         # clocks went forward on this day: it starts in winter time
         (1520784000000, "America/New_York", 1520744400000),
         (-1, None, -86_400_000),
+        (9223372036854775807, "GMT", None),
+        (None, "GMT", None),
     ]
     spark.conf.set("spark.sql.session.timeZone", session_zone)
     try:
@@ -106,9 +108,9 @@ def test_day_epoch(spark, session_zone):
 
 
 def test_minute_epoch(spark):
-    df = spark.createDataFrame([(2018, 91, 0, 0), (1970, 1, 0, 1), (2024, 366, 23, 59)], "y int, d int, h int, m int")
+    df = spark.createDataFrame([(2018, 91, 0, 0), (1970, 1, 0, 1), (2024, 366, 23, 59), (2147483647, 1, 0, 0), (None, 1, 0, 0)], "y int, d int, h int, m int")
     got = [r[0] for r in df.select(minute_epoch(F.col("y"), F.col("d"), F.col("h"), F.col("m"))).collect()]
-    assert got == [1522540800000, 60_000, 1735689540000]
+    assert got == [1522540800000, 60_000, 1735689540000, None, None]
 
 
 TEMPLATE = 'Account ${accountname!"ACCOUNTNAME"} from ${ipaddress!"UNKNOWN"}'

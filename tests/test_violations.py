@@ -137,3 +137,19 @@ def test_files_and_messages(spark, result, tmp_path):
     assert spark.read.parquet(str(tmp_path / "parquet")).count() == 18
     message = messages(result).first()
     assert json.loads(message["value"])["violation_id"] == message["key"]
+
+
+def test_odd_rows_do_not_fail_the_job(spark, result, policies):
+    odd = result.withColumns({"eventtime": F.when(F.col("eventid") == "1-1", 2**62).otherwise(F.lit(None)),
+                              "accountname": F.lit(None).cast("string")})
+    row = v.violations_nested(odd, ["message"]).where("eventid = '1-1'").first()
+    assert row["violations"][0]["info"]["violation_details"] is None
+    assert v.tree_rows(odd, ["message"]).agg(F.sum("events")).first()[0] == 18
+
+
+def test_policies_that_name_no_column(spark, result, policies, events):
+    plain = policies.withColumns({c: F.lit(None).cast(k) for c, k in policies.dtypes if c in v.DISPLAY_FIELDS})
+    assert used_columns(plain, events) == []
+    rows = v.sentences(result.drop("sentence"), []).collect()
+    assert {r["sentence"] for r in rows} == {None, "Account ACCOUNTNAME did ACTIVITY from UNKNOWN"}
+    assert v.verbose_rows(result, []).count() == 0
