@@ -107,7 +107,11 @@ def page(rows: DataFrame, offset: int, page_size: int = PAGE_SIZE,
 
 
 def page_counts(sizes: DataFrame, keys: list[str], page_size: int = PAGE_SIZE) -> DataFrame:
-    """Rows on each page of each group, from the group sizes alone."""
+    """Rows on each page of each group, from the group sizes alone; pass them pinned.
+
+    A group with a null key has no pages: drilling down into it finds no rows.
+    """
+    sizes = sizes.dropna(subset=keys)
     last = F.floor((F.col("n") - 1) / F.lit(page_size))
     # A large group has many pages: its list is made in parts, and the parts spread over tasks.
     parts = (

@@ -55,6 +55,17 @@ def used_columns(policies: DataFrame, events: DataFrame) -> list[str]:
     return [c for c in events.columns if c in used]
 
 
+def describe(events: DataFrame, applied: DataFrame, time: str = "eventtime", zone: str = "tenanttz") -> DataFrame:
+    """Violating events tagged with each policy of their group, and with id, day and sentence.
+
+    ``applied`` has a row per policy and group, with scores; pass it pinned. Whoever finds
+    violating events in another way than by keys starts here.
+    """
+    tagged = with_violation_id(tag_policy(events, applied))
+    day = event_day(time, zone if zone in tagged.columns else None)
+    return sentences(tagged.withColumn("day_epoch", day), used_columns(applied, events))
+
+
 def find_violations(
     events: DataFrame,
     policies: DataFrame,
@@ -63,10 +74,6 @@ def find_violations(
     rule: Rule,
     analyzer: Analyzer = detect,
 ) -> DataFrame:
-    """Violating events of the policies' groups, each tagged with policy, score, day and sentence."""
+    """Violations of a rule among the events of all groups that the policies apply to."""
     applied = pin(policy_groups(with_score(policies, scores), groups))
-    found = find_events(events, rule, applied, analyzer)
-    tagged = with_violation_id(tag_policy(found.events, applied))
-    zone = "tenanttz" if "tenanttz" in tagged.columns else None
-    tagged = tagged.withColumn("day_epoch", event_day("eventtime", zone))
-    return sentences(tagged, used_columns(applied, found.events))
+    return describe(find_events(events, rule, applied, analyzer).events, applied)

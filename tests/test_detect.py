@@ -1,5 +1,6 @@
 """Bursts and drill-down on rows the generated tables cannot offer."""
 
+import random
 from collections import Counter
 
 import pytest
@@ -135,3 +136,27 @@ def test_plans_push_down_and_prune(spark, tmp_path, capsys):
     assert "dynamicpruning" in plan
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
     assert Counter(r["rg_id"] for r in out.collect()) == {1: 6, 2: 6}
+
+
+@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("limit", [None, 0], ids=["broadcast", "salted"])
+def test_against_brute_force(spark, seed, limit):
+    """One query per hit, as plain Python: count non-null accounts, then look each key up again."""
+    chance = random.Random(seed)
+    data = [
+        (chance.choice([1, 2]), str(i), chance.choice(["a", "a", "a", "o'neil", None]), chance.choice(["1.1.1.1", "1.1.1.1", "", None]),
+         chance.choice(["Logon Failed", "Logon Failed", "Logon"]), chance.choice([2024, None]), 1, chance.choice([1, 2]), 0)
+        for i in range(300)
+    ]
+    names = [part.split()[0] for part in SCHEMA.split(", ")]
+    records = [dict(zip(names, row)) for row in data]
+    failed = [r for r in records if r["message"] == "Logon Failed"]
+    counts = Counter()
+    for r in failed:
+        counts[tuple(r[k] for k in RULE.group_keys)] += r["accountname"] is not None
+    want_hits = {key: n for key, n in counts.items() if n > 5}
+    want = sorted(r["eventid"] for key in want_hits if None not in key
+                  for r in failed if tuple(r[k] for k in RULE.group_keys) == key)
+    hits, out = found(spark.createDataFrame(data, SCHEMA).repartition(4), limit)
+    assert {tuple(r[k] for k in RULE.group_keys): r["n"] for r in hits.collect()} == want_hits
+    assert want and ids(out) == want

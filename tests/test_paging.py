@@ -68,6 +68,6 @@ def test_one_page(rows, monkeypatch, top_rows):
 
 def test_page_counts_of_a_large_group(spark, monkeypatch):
     monkeypatch.setattr(paging, "PAGES_AT_ONCE", 3)
-    sizes = spark.createDataFrame([("big", 41), ("small", 4), ("none", 0)], "k string, n long")
+    sizes = spark.createDataFrame([("big", 41), ("small", 4), ("none", 0), (None, 9)], "k string, n long")
     got = sorted(tuple(r) for r in page_counts(sizes, ["k"], 4).collect())
     assert got == [("big", p, 4) for p in range(10)] + [("big", 10, 1), ("small", 0, 4)]
