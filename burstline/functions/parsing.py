@@ -2,7 +2,8 @@
 
 Text that is not a number leaves the field unset instead of failing the row. The guards are
 there because a cast takes more than the wanted grammar does: it trims blanks around integers,
-and reads ``inf`` and ``nan`` in any case.
+and reads ``inf`` and ``nan`` in any case. They look at no more of a text than they must, as
+they run for every field of every row.
 """
 
 from __future__ import annotations
@@ -15,32 +16,40 @@ from pyspark.sql import types as T
 
 from burstline.schema import FIELD_TYPES, NUMBER_ONLY_FIELDS, STRICT_LONG_FIELDS
 
-# Number grammar of the text fields.
-INTEGER_TEXT = r"^[+-]?[0-9]+$"
-NAMED_DOUBLE_ANY_CASE = r"(?i)^[+-]?(inf|infinity|nan)$"
-NAMED_DOUBLE = r"^[+-]?(Infinity|NaN)$"
-# Fixed value: characters that count as blank at the ends of a text.
+# The names among numbers, as they may be written, and as a cast reads them.
+NAMED_DOUBLE = r"^[\x00-\x20]*[+-]?(Infinity|NaN)[\x00-\x20]*$"
+NAMED_DOUBLE_ANY_CASE = r"(?i)^[\x00-\x20]*[+-]?(inf|infinity|nan)[\x00-\x20]*$"
+# Fixed value: characters up to the space count as blank at the ends of a text.
 BLANKS = "".join(chr(code) for code in range(33))
+NOT_BLANK = r"[^\x00-\x20]"
 
 
 def trim_blanks(text: Column) -> Column:
     return F.btrim(text, F.lit(BLANKS))
 
 
+def not_blank(text: Column) -> Column:
+    return text.rlike(NOT_BLANK)
+
+
 def filled(text: Column) -> Column:
     """The trimmed text, or null when nothing is left of it."""
-    trimmed = trim_blanks(text)
-    return F.when(trimmed != "", trimmed)
+    return F.when(not_blank(text), trim_blanks(text))
 
 
-def to_integer(value: Column, target: T.DataType) -> Column:
-    return F.when(value.rlike(INTEGER_TEXT), value.try_cast(target))
+def to_integer(text: Column, target: T.DataType) -> Column:
+    """A sign and digits. The cast checks all but blanks at the ends."""
+    starts = F.substring(text, 1, 1).between("+", "9")
+    ends = F.substring(text, -1, 1).between("0", "9")
+    return F.when(starts & ends, text.try_cast(target))
 
 
 def to_double(text: Column) -> Column:
-    bare = trim_blanks(text)
-    odd_name = bare.rlike(NAMED_DOUBLE_ANY_CASE) & ~bare.rlike(NAMED_DOUBLE)
-    return F.when(~odd_name, bare.try_cast(T.DoubleType()))
+    """A decimal number, or a name in its own spelling."""
+    number = text.try_cast(T.DoubleType())
+    named = F.isnan(number) | (F.abs(number) == float("inf"))
+    odd = named & text.rlike(NAMED_DOUBLE_ANY_CASE) & ~text.rlike(NAMED_DOUBLE)
+    return F.when(~odd, number)
 
 
 def to_boolean(text: Column) -> Column:

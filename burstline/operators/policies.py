@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from burstline.fixed_values import (
     CRITICALITIES, ENTITIES, FIRST_SIGNATURE_ID, FUNCTIONALITIES, NEW_POLICY, THREAT_LEVEL, THREATS,
 )
-from burstline.functions.parsing import filled, to_integer, trim_blanks
+from burstline.functions.parsing import filled, not_blank, to_integer
 from burstline.operators.joins import attach
 from burstline.operators.paging import numbered
 from burstline.schema import GROUP
@@ -69,7 +69,7 @@ def with_score(policies: DataFrame, scores: DataFrame) -> DataFrame:
 
 
 def default_criticality(criticality: Column) -> Column:
-    return F.when(trim_blanks(criticality) != "", criticality).otherwise(F.lit(CRITICALITIES[0]))
+    return F.when(not_blank(criticality), criticality).otherwise(F.lit(CRITICALITIES[0]))
 
 
 def policy_defaults(requests: DataFrame) -> DataFrame:
@@ -96,7 +96,7 @@ def display_config(requests: DataFrame) -> DataFrame:
     def attributes(level: int, under: str) -> Column:
         given = F.array(*[filled(F.col(f"level{level}_metadataattribute{i}")) for i in META])
         kept = F.array_compact(given)
-        return F.when(filled(F.col(under)).isNotNull() & (F.size(kept) > 0), kept)
+        return F.when(not_blank(F.col(under)) & (F.size(kept) > 0), kept)
 
     return requests.withColumns({
         "grouping_attribute": filled(F.col("grouping_attribute")),
@@ -115,7 +115,7 @@ def validate(requests: DataFrame, policies: DataFrame) -> DataFrame:
     known = policies.select(F.col("name").alias("policyname"), F.lit(True).alias("exists"))
     checked = attach(requests, known, ["policyname"], "left", requests.columns)
     exists = F.coalesce("exists", F.lit(False))
-    given = {name: filled(F.col(name)).isNotNull() for name in ("policyname", "functionality", "riskthreatname")}
+    given = {name: F.coalesce(not_blank(F.col(name)), F.lit(False)) for name in ("policyname", "functionality", "riskthreatname")}
     flags = {
         "exists": exists,
         "name_ok": given["policyname"],

@@ -29,7 +29,9 @@ def test_event_schema():
 
 def test_int_text(spark):
     texts = ["5", "+5", "-5", " 5", "5.7", "", "abc", "1e3", "2147483648", None]
-    assert read(spark, "bytesout", texts) == [5, 5, -5] + [None] * 7
+    texts += ["5 ", "\t5", "5\x7f", "\x7f5", "+", "-", "--5", "5+", "1_0", "0x1", "5\n", "\u00a05", "1 2", "-2147483649"]
+    assert read(spark, "bytesout", texts) == [5, 5, -5] + [None] * 21
+    assert read(spark, "bytesout", ["007", "-0", "2147483647", "-2147483648"]) == [7, 0, 2147483647, -2147483648]
 
 
 def test_long_text(spark):
@@ -41,6 +43,8 @@ def test_double_text(spark):
     got = read(spark, "u_riskscore", texts)
     assert got == [1.5, 1000.0, 2.5, math.inf, -math.inf] + [None] * 5 + [1.5, None]
     assert math.isnan(read(spark, "u_riskscore", ["NaN"])[0])
+    assert read(spark, "u_riskscore", ["1e999", " Infinity", "+Infinity", "infinity", " -inf ", "Nan", "1,5", "."]) == (
+        [math.inf] * 3 + [None] * 5)
 
 
 def test_boolean_text(spark):
