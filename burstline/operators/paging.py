@@ -13,7 +13,7 @@ from burstline.session import pin
 PAGE_SIZE = 1000
 EVENT_ORDER = ("eventtime", "eventid")
 # A group with more rows than this is numbered across tasks.
-HOT_ROWS = 2_000_000
+HOT_ROWS = 1_000_000
 # Pages listed from one row at a time.
 PAGES_AT_ONCE = 100_000
 # Up to this row, a page is cut from a top-k; beyond it, from row numbers.

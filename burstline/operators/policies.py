@@ -109,21 +109,24 @@ def display_config(requests: DataFrame) -> DataFrame:
 def validate(requests: DataFrame, policies: DataFrame) -> DataFrame:
     """One flag per check on each request, and ``accepted``.
 
-    A request whose name exists reuses that policy, so its threat and functionality are not
-    needed. Names outside the offered lists of functionalities and threats are only flagged.
+    A request whose name exists reuses that policy, so only its name and category are checked.
+    Names outside the offered lists of functionalities and threats are only flagged.
     """
     known = policies.select(F.col("name").alias("policyname"), F.lit(True).alias("exists"))
     checked = attach(requests, known, ["policyname"], "left", requests.columns)
     exists = F.coalesce("exists", F.lit(False))
-    given = {name: F.coalesce(not_blank(F.col(name)), F.lit(False)) for name in ("policyname", "functionality", "riskthreatname")}
+    given = {
+        name: F.coalesce(not_blank(F.col(name)), F.lit(False))
+        for name in ("policyname", "functionality", "riskthreatname")
+    }
     flags = {
         "exists": exists,
         "name_ok": given["policyname"],
         "category_ok": to_integer(F.col("categoryid"), T.IntegerType()).isNotNull(),
         "threat_ok": exists | given["riskthreatname"],
         "functionality_ok": exists | given["functionality"],
-        "criticality_ok": default_criticality(F.col("criticality")).isin(CRITICALITIES),
-        "entity_ok": F.coalesce("violationentity", F.lit(ENTITIES[0])).isin(ENTITIES),
+        "criticality_ok": exists | default_criticality(F.col("criticality")).isin(CRITICALITIES),
+        "entity_ok": exists | F.coalesce("violationentity", F.lit(ENTITIES[0])).isin(ENTITIES),
         "functionality_listed": F.coalesce(F.col("functionality").isin(FUNCTIONALITIES), F.lit(False)),
         "threat_listed": F.coalesce(F.col("riskthreatname").isin(THREATS), F.lit(False)),
     }

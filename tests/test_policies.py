@@ -92,6 +92,8 @@ def test_validation(spark, policies):
         7: (request(7, threat=" "), False), 8: (request(8, functionality=None), False),
         9: (request(9, criticality="Severe"), False), 10: (request(10, criticality=" "), True),
         11: (request(11, entity="Device"), False), 12: (request(12, name="one", threat=None, functionality=None), True),
+        15: (request(15, name="one", criticality="Severe", entity="Device"), True),
+        16: (request(16, name="one", category="x"), False),
         13: (request(13, functionality="Home", threat="New threat"), True), 14: (request(14, category="99"), True),
     }
     got = {r["request_no"]: r for r in p.validate(spark.createDataFrame([c[0] for c in cases.values()], REQUEST), policies).collect()}

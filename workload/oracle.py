@@ -106,8 +106,8 @@ CHECKED = POLICIES + ", " + REQUESTS + f""", checked AS (
     coalesce(regexp_full_match(r.categoryid, '[+-]?[0-9]+'), false) AS category_ok,
     e.name IS NOT NULL OR coalesce(trim(riskthreatname), '') <> '' AS threat_ok,
     e.name IS NOT NULL OR coalesce(trim(r.functionality), '') <> '' AS functionality_ok,
-    coalesce(nullif(trim(r.criticality), ''), 'Low') IN ({", ".join(map(quoted, CRITICALITIES))}) AS criticality_ok,
-    coalesce(violationentity, 'Activityaccount') IN ({", ".join(map(quoted, ENTITIES))}) AS entity_ok,
+    e.name IS NOT NULL OR coalesce(nullif(trim(r.criticality), ''), 'Low') IN ({", ".join(map(quoted, CRITICALITIES))}) AS criticality_ok,
+    e.name IS NOT NULL OR coalesce(violationentity, 'Activityaccount') IN ({", ".join(map(quoted, ENTITIES))}) AS entity_ok,
     coalesce(list_contains({text_list(FUNCTIONALITIES)}, r.functionality), false) AS functionality_listed,
     coalesce(list_contains({text_list(THREATS)}, riskthreatname), false) AS threat_listed
   FROM requests r LEFT JOIN existing e ON e.name = r.policyname)"""

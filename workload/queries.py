@@ -96,6 +96,24 @@ def policy_by_name(spark, sf):
     return p.policy_by_name(wanted, t.existing_policies(spark, sf))
 
 
+def policy_groups(spark, sf):
+    return p.policy_groups(t.customer_policies(spark, sf), t.nation_groups(spark, sf)).select("id", "rg_id")
+
+
+def policy_category_name(spark, sf):
+    named = p.with_category_name(t.customer_policies(spark, sf), t.categories(spark))
+    return named.select("id", "categoryid", "category")
+
+
+def tag_score(spark, sf):
+    scored = p.with_score(t.customer_policies(spark, sf), t.scores(spark))
+    return scored.select("id", "criticality", "risk_score")
+
+
+def assign_signature_ids(spark, sf):
+    return p.assign_signature_ids(t.customer_policies(spark, sf)).select("name", "signatureid")
+
+
 def policy_defaults(spark, sf):
     return p.policy_defaults(t.requests(spark, sf)).select(
         "request_no", "criticality", "violationentity", "verboseinformation", "grouping_attribute",
@@ -260,15 +278,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "policy_by_id": policy_by_id,
         "policy_by_name": policy_by_name,
         "rgs_for_functionality": lambda s, f: p.groups_of_functionality(t.supplier_groups(s, f), "ASIA"),
-        "policy_groups": lambda s, f: p.policy_groups(t.customer_policies(s, f), t.nation_groups(s, f)).select("id", "rg_id"),
+        "policy_groups": policy_groups,
         "policy_defaults": policy_defaults,
         "display_config": display_config,
-        "policy_category_name": lambda s, f: p.with_category_name(t.customer_policies(s, f), t.categories(s)).select("id", "categoryid", "category"),
-        "tag_score": lambda s, f: p.with_score(t.customer_policies(s, f), t.scores(s)).select("id", "criticality", "risk_score"),
+        "policy_category_name": policy_category_name,
+        "tag_score": tag_score,
         "policy_threat_id": policy_threat_id,
         "validate_policies": validate_policies,
         "replace_categories": replace_categories,
-        "assign_signature_ids": lambda s, f: p.assign_signature_ids(t.customer_policies(s, f)).select("name", "signatureid"),
+        "assign_signature_ids": assign_signature_ids,
         "merge_policies": merge_policies,
         "page_one": lambda s, f: paging.page(found(s, f)[1], offset=5, page_size=10),
         "page_number": page_number,
