@@ -36,7 +36,7 @@ def numbered(
     order: list[str],
     name: str,
     sizes: DataFrame | None = None,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """``row_number() over (partition by keys order by order)`` as column ``name``.
 
@@ -47,7 +47,7 @@ def numbered(
         return _numbered_by_range(rows, [], order, name)
     if sizes is None:
         sizes = rows.groupBy(*keys).agg(F.count("*").alias("n"))
-    hot = pin(_marked(frequent(sizes, keys, hot_rows), keys))
+    hot = pin(_marked(frequent(sizes, keys, HOT_ROWS if hot_rows is None else hot_rows), keys))
     by_window = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("long")
     if hot.isEmpty():
         return rows.withColumn(name, by_window)
@@ -89,7 +89,7 @@ def page_number(
     page_size: int = PAGE_SIZE,
     order: tuple[str, ...] = EVENT_ORDER,
     sizes: DataFrame | None = None,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Every row with the page of its group it is on, counted from 0."""
     counted = numbered(rows, keys, list(order), "_number", sizes, hot_rows)

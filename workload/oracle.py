@@ -279,7 +279,7 @@ def oracle_sql() -> dict[str, str]:
         "violations_nested": f"""WITH {TAGGED}, nodes AS ({TREE})
             SELECT eventid, 1 AS violations, policy_id, day_epoch, level1, level2,
               level1_meta FROM nodes""",
-        "violations_json": f"""WITH {TAGGED} SELECT {VIOLATION_ID} AS key, to_json({{'rg_id': rg_id, 'eventid': eventid,
+        "violations_json": f"""WITH {TAGGED} SELECT {VIOLATION_ID} AS key, CAST(to_json({{'rg_id': rg_id, 'eventid': eventid,
             'accountname': accountname, 'policy_id': policy_id, 'policy_name': policy_name, 'category': category,
-            'violation_id': {VIOLATION_ID}}}) AS value FROM tagged""",
+            'violation_id': {VIOLATION_ID}}}) AS VARCHAR) AS value FROM tagged""",
     }

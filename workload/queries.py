@@ -180,7 +180,9 @@ def page_number_all(spark, sf):
 def parse_strict(spark, sf):
     raw = t.raw_events(spark, sf)
     kept = parse_fields(readable(raw)).select("eventid", "tenantid", F.lit(False).alias("quarantined"))
-    set_aside = quarantined(raw).select("eventid", F.lit(None).cast("long").alias("tenantid"), F.lit(True).alias("quarantined"))
+    set_aside = quarantined(raw).select(
+        "eventid", F.lit(None).cast("long").alias("tenantid"), F.lit(True).alias("quarantined")
+    )
     return kept.unionByName(set_aside)
 
 
@@ -257,7 +259,9 @@ def violations_nested(spark, sf):
 def violations_json(spark, sf):
     events, _ = tagged(spark, sf)
     rows = v.with_violation_id(events)
-    return messages(rows.select("rg_id", "eventid", "accountname", "policy_id", "policy_name", "category", "violation_id"))
+    return messages(rows.select(
+        "rg_id", "eventid", "accountname", "policy_id", "policy_name", "category", "violation_id"
+    ))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

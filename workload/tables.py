@@ -16,6 +16,7 @@ SENTENCE = (
     'Account ${accountname!"ACCOUNTNAME"} performed ${transactionstring1!"ACTIVITY"} '
     'from ipaddress ${ipaddress!"UNKNOWN"}'
 )
+SHORT_SENTENCE = '${message} by ${accountname} [${nosuchfield!"n/a"}]'
 TOTALS = (
     'Account ${accountname!"ACCOUNTNAME"} performed a total of ${transactionstring1$COUNT!"Unknown"} '
     'uploads amounting to ${bytesout$SUM!"UNKNOWN"}'
@@ -144,10 +145,11 @@ def segment_policies(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(segment == "BUILDING", "High").when(segment == "FURNITURE", "Medium")
             .when(segment == "HOUSEHOLD", "Severe").otherwise("Low").alias("criticality"),
             F.lit(ENTITIES[0]).alias("violator"),
-            F.when(segment == "BUILDING", F.lit(SENTENCE)).when(segment == "FURNITURE", F.lit('${message} by ${accountname} [${nosuchfield!"n/a"}]'))
+            F.when(segment == "BUILDING", F.lit(SENTENCE)).when(segment == "FURNITURE", F.lit(SHORT_SENTENCE))
             .when(segment != "MACHINERY", F.lit("")).alias("verboseinfotemplate"),
             F.when(segment != "FURNITURE", F.lit("message")).alias("grouping_attribute"),
-            F.when(segment != "FURNITURE", F.array(F.lit("transactionstring1"), F.lit("categorybehavior"))).alias("level1_meta"),
+            F.when(segment != "FURNITURE", F.array(F.lit("transactionstring1"), F.lit("categorybehavior")))
+            .alias("level1_meta"),
             F.when(segment != "HOUSEHOLD", F.lit("ipaddress")).alias("level2_attribute"),
             F.when(segment == "BUILDING", F.array(F.lit("hour"))).alias("level2_meta"),
         )
@@ -166,19 +168,23 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Settings of wanted policies as text, one set per order, good and bad."""
     priority, status = F.col("o_orderpriority"), F.col("o_orderstatus")
     key, customer = F.col("o_orderkey"), F.col("o_custkey")
-    functionality = F.get(F.array(*[F.lit(f) for f in [*FUNCTIONALITIES, "Home Network", " "]]), (customer % 25).cast("int"))
-    threat = F.get(F.array(*[F.lit(t) for t in THREATS]), (key % 130).cast("int"))
+
+    def pick(texts: list[str], number: Column) -> Column:
+        return F.get(F.array(*[F.lit(text) for text in texts]), number.cast("int"))
+
     return read(spark, sf_dir, "orders").select(
         key.alias("request_no"),
         F.concat(F.lit("Account "), customer.cast("string")).alias("policyname"),
-        functionality.alias("functionality"),
+        pick([*FUNCTIONALITIES, "Home Network", " "], customer % 25).alias("functionality"),
         F.when(status == "F", (key % 13).cast("string")).when(status == "O", "7").otherwise(" 5").alias("categoryid"),
         F.when(priority == "1-URGENT", F.concat(F.lit("Threat to "), customer.cast("string")))
-        .otherwise(threat).alias("riskthreatname"),
+        .otherwise(pick(THREATS, key % 130)).alias("riskthreatname"),
         F.when(priority == "1-URGENT", "High").when(priority == "3-MEDIUM", "Medium")
         .when(priority == "4-NOT SPECIFIED", " ").when(priority == "5-LOW", "Severe").alias("criticality"),
-        F.get(F.array(*[F.lit(e) for e in [*ENTITIES, "Device"]]), (customer % 6).cast("int")).alias("violationentity"),
-        F.when(status == "F", F.lit(" " + SENTENCE + " ")).when(status == "O", F.concat(F.lit("${message} of "), customer.cast("string"), F.lit(" ${bytesout$SUM!\"0\"}"))).alias("verboseinformation"),
+        pick([*ENTITIES, "Device"], customer % 6).alias("violationentity"),
+        F.when(status == "F", F.lit(f" {SENTENCE} "))
+        .when(status == "O", F.concat(F.lit("${message} of "), customer.cast("string"), F.lit(' ${bytesout$SUM!"0"}')))
+        .alias("verboseinformation"),
         F.when(status == "F", " message ").when(status == "P", "").alias("grouping_attribute"),
         F.lit("transactionstring1").alias("level1_metadataattribute1"),
         F.when(priority == "2-HIGH", "categorybehavior").when(priority == "5-LOW", " ").alias("level1_metadataattribute2"),
