@@ -71,13 +71,18 @@ def attach(
 
     ``how`` is a join that keeps each left row with its own matches: inner, left, left_semi or
     left_anti. ``salt_by`` names columns that differ between rows of one key. ``sizes`` gives rows
-    per key in column ``n`` where that is known already.
+    per key in column ``n`` where that is known already. The lookup of an inner or left join should
+    have few rows per key; for a semi or anti join its keys may repeat without bound.
     """
+    only_tests = how in ("left_semi", "left_anti")
+    if only_tests:
+        lookup = lookup.select(*keys)
     if fits_broadcast(lookup, limit):
         joined = rows.join(F.broadcast(lookup), keys, how)
     else:
-        joined = _salted(rows, lookup, keys, how, salt_by, sizes)
-    extra = [] if how in ("left_semi", "left_anti") else [c for c in lookup.columns if c not in keys]
+        # Repeated keys go before the join's shuffle, most of them already in the tasks that read them.
+        joined = _salted(rows, lookup.distinct() if only_tests else lookup, keys, how, salt_by, sizes)
+    extra = [] if only_tests else [c for c in lookup.columns if c not in keys]
     return joined.select(*rows.columns, *extra)
 
 

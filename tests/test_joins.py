@@ -47,6 +47,14 @@ def test_hot_key_is_spread(tables, monkeypatch):
     assert max(n for (k, _), n in seen.items() if k is None) <= 3
 
 
+def test_keys_that_repeat_in_the_lookup_are_merged_before_the_join(spark, tables):
+    rows, _ = tables
+    lookup = spark.range(4000).selectExpr("CASE WHEN id % 3 = 0 THEN 'hot' ELSE cast(id AS string) END AS k")
+    got = attach(rows, lookup, ["k"], "left_semi", ["id"], limit=0)
+    assert got.count() == rows.where("k = 'hot'").count() == 100
+    assert attach(rows, lookup, ["k"], "left_anti", ["id"], limit=0).count() == 230
+
+
 def test_measure(spark, tables):
     rows, _ = tables
     size = measure(rows)
