@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +32,22 @@ def blank_words(text: bytes | None) -> list[bytes]:
     return [w for w in text.translate(NOT_BLANK).split(b" ") if w] if text else []
 
 
+SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors' Python this package, once for each application."""
+    context = spark.sparkContext
+    if context.applicationId not in SHIPPED:
+        package = Path(__file__).resolve().parent.parent
+        archive = Path(tempfile.mkdtemp(prefix="burstline-package-")) / "burstline_package.zip"
+        with zipfile.ZipFile(archive, "w") as out:
+            for path in sorted(package.rglob("*.py")):
+                out.write(path, path.relative_to(package.parent))
+        context.addPyFile(str(archive))
+        SHIPPED.add(context.applicationId)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors reach: ``spark.checkpoint.dir``, or one made up for a local master."""
     named = spark.conf.get("spark.checkpoint.dir", None)
@@ -38,7 +55,7 @@ def shared_folder(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    made = "file://" + tempfile.mkdtemp(prefix="burstline-llm-", dir=os.environ.get("TMPDIR") or None)
+    made = "file://" + tempfile.mkdtemp(prefix="burstline-llm-")
     spark.conf.set("spark.checkpoint.dir", made)
     return made
 

@@ -3,22 +3,41 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+from burstline.llm.common import ship_package
 from burstline.llm.decontaminate import op1_decontaminate
+from burstline.llm.near_dup import op7_minhash
 from burstline.llm.pieces import op3_sentencepiece
 from burstline.llm.url_filter import op6_url_filter
 from burstline.llm.warc_zip import op2_warc_zip
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
-        "op1_decontaminate": op1_decontaminate,
-        "op2_warc_zip": op2_warc_zip,
-        "op3_sentencepiece": op3_sentencepiece,
-        "op6_url_filter": op6_url_filter,
-    }
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def _ready(query: Query) -> Query:
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+def queries() -> dict[str, Query]:
+    return {name: _ready(query) for name, query in OPERATORS.items()}
+
+
+OPERATORS: dict[str, Query] = {
+    "op1_decontaminate": op1_decontaminate,
+    "op2_warc_zip": op2_warc_zip,
+    "op3_sentencepiece": op3_sentencepiece,
+    "op6_url_filter": op6_url_filter,
+    "op7_minhash": op7_minhash,
+}
 
 
 def oracle_sql() -> dict[str, str]:
