@@ -12,6 +12,7 @@ from burstline.llm.decontaminate import op1_decontaminate
 from burstline.llm.near_dup import op7_minhash
 from burstline.llm.pieces import op3_sentencepiece
 from burstline.llm.url_filter import op6_url_filter
+from burstline.llm.vectors import op10_multi_index
 from burstline.llm.warc_zip import op2_warc_zip
 
 
@@ -37,6 +38,7 @@ OPERATORS: dict[str, Query] = {
     "op3_sentencepiece": op3_sentencepiece,
     "op6_url_filter": op6_url_filter,
     "op7_minhash": op7_minhash,
+    "op10_multi_index": op10_multi_index,
 }
 
 
