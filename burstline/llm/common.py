@@ -29,7 +29,7 @@ def plain_words(text: bytes | None) -> list[bytes]:
 
 def blank_words(text: bytes | None) -> list[bytes]:
     """Lower-cased words between blanks (space, tab, line ends); none for null."""
-    return [w for w in text.translate(NOT_BLANK).split(b" ") if w] if text else []
+    return text.translate(NOT_BLANK).split() if text else []
 
 
 SHIPPED: set[str] = set()

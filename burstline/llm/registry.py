@@ -7,6 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+from burstline.llm.brown import op8_brown
 from burstline.llm.common import ship_package
 from burstline.llm.decontaminate import op1_decontaminate
 from burstline.llm.near_dup import op7_minhash
@@ -38,6 +39,7 @@ OPERATORS: dict[str, Query] = {
     "op3_sentencepiece": op3_sentencepiece,
     "op6_url_filter": op6_url_filter,
     "op7_minhash": op7_minhash,
+    "op8_brown": op8_brown,
     "op10_multi_index": op10_multi_index,
 }
 
