@@ -10,8 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from burstline.llm.brown import op8_brown
 from burstline.llm.common import ship_package
 from burstline.llm.decontaminate import op1_decontaminate
+from burstline.llm.langid import op4_language
 from burstline.llm.near_dup import op7_minhash
 from burstline.llm.pieces import op3_sentencepiece
+from burstline.llm.quality import op9_attention_quality
+from burstline.llm.rollups import op5_token_rollup
 from burstline.llm.url_filter import op6_url_filter
 from burstline.llm.vectors import op10_multi_index
 from burstline.llm.warc_zip import op2_warc_zip
@@ -37,9 +40,12 @@ OPERATORS: dict[str, Query] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_warc_zip": op2_warc_zip,
     "op3_sentencepiece": op3_sentencepiece,
+    "op4_language": op4_language,
+    "op5_token_rollup": op5_token_rollup,
     "op6_url_filter": op6_url_filter,
     "op7_minhash": op7_minhash,
     "op8_brown": op8_brown,
+    "op9_attention_quality": op9_attention_quality,
     "op10_multi_index": op10_multi_index,
 }
 
