@@ -7,7 +7,7 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # A side is broadcast only if its rows were measured to take no more than this.
@@ -81,5 +81,14 @@ def hinted(df: DataFrame, width: int, limit: int | None = None) -> DataFrame:
     return F.broadcast(df) if fits(df, width, limit) else df
 
 
+def bounded_sample(df: DataFrame, key: Column, size: int) -> DataFrame:
+    """About ``size`` rows, or all if they are fewer, by the hash of ``key``: the same rows each time, and no sort."""
+    count = df.count()
+    if count <= size:
+        return df
+    scale = 1 << 40
+    return df.where(F.pmod(F.xxhash64(key), F.lit(scale)) < int(scale * size / count))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

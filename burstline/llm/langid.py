@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from burstline.llm.common import hinted, table
+from burstline.llm.common import bounded_sample, hinted, table
 from burstline.llm.url_filter import url_host
 
 SAMPLE = 4_000  # labelled documents that fit the trigram tables
@@ -71,15 +71,14 @@ class TextModel:
 
 
 def trained(labelled: DataFrame, id_column: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> TextModel:
-    """A text model from at most ``sample`` rows with text and language, picked by the hash of their id."""
+    """A text model from about ``sample`` rows with text and language, picked by the hash of their id."""
     rows = labelled.select(F.col(f"`{lang}`").alias("lang"), F.col(f"`{text}`").cast("string").alias("_text"), F.col(f"`{id_column}`").cast("string").alias("id"))
     some = rows.where(F.col("lang").isNotNull() & (F.octet_length("_text") <= SAMPLE_BYTES))
-    # The ids are picked first; texts of the picked rows only are read again.
-    picked = some.select("id", F.xxhash64("id").alias("order")).where("id is not null").orderBy("order", "id").limit(sample).select("id").distinct()
     got = (
-        some.join(F.broadcast(picked), "id").mapInArrow(_counted, "lang string, gram long, n long")
+        bounded_sample(some, F.col("id"), sample).mapInArrow(_counted, "lang string, gram long, n long")
         .groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     )
+    got = got.persist()
     totals = got.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
     languages = sorted(r["lang"] for r in totals)
     counts = np.zeros((len(languages), BUCKETS))

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from burstline.llm.common import table
+from burstline.llm.common import bounded_sample, table
 
 SAMPLE = 4_000  # labelled documents that train the model
 SAMPLE_BYTES = 100_000  # of a document that may be in the sample
@@ -213,17 +213,20 @@ def held_out(id_column: str = "doc_id") -> Column:
 
 
 def trained(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str = "text", label: str = "quality", sample: int = SAMPLE) -> Model:
-    """A model from at most ``sample`` labelled documents that are not held out, picked by the hash of their id.
+    """A model from about ``sample`` labelled documents that are not held out, picked by the hash of their id.
 
     Labels other than 0 and 1, ids with both, and texts of more than SAMPLE_BYTES are passed over; of documents that repeat an id each counts.
     """
     clean = (
         labels.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{label}`").cast("int").alias("label")).where("id is not null and label in (0, 1)")
         .groupBy("id").agg(F.min("label").alias("label"), F.max("label").alias("other")).where("label = other")
-        .where(~held_out("id")).orderBy(F.xxhash64(F.col("id").cast("string")), "id").limit(sample).select("id", "label")
+        .where(~held_out("id")).select("id", "label")
     )
+    clean = bounded_sample(clean, F.col("id").cast("string"), sample)
     rows = docs.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{text}`").cast("string").alias("_text"))
-    short = rows.where(F.octet_length("_text") <= SAMPLE_BYTES).join(F.broadcast(clean), "id").orderBy("id", F.xxhash64("_text")).limit(sample)
+    short = rows.where(F.octet_length("_text") <= SAMPLE_BYTES).join(F.broadcast(clean), "id")
+    # Ids may repeat among the documents.
+    short = bounded_sample(short, F.col("_text"), 2 * sample).orderBy("id", "_text")
     got = short.select("label", "_text").mapInArrow(_featured, "label int, passages binary").toArrow()
     x = [np.frombuffer(p, dtype=np.float32).reshape(-1, WIDTH + 1) for p in got.column("passages").to_pylist()]
     return fit(np.concatenate(x) if x else np.zeros((0, WIDTH + 1), np.float32), np.array([len(p) for p in x]), got.column("label").to_numpy().astype(float))
