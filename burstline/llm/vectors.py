@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from burstline.llm.common import table, written
+from burstline.llm.common import bounded_sample, table, written
 from burstline.llm.components import components
 
 LEAST = 0.93
@@ -240,11 +240,11 @@ def fitted_index(nodes: DataFrame, dim: int, least: float, recall: float):
     spark = nodes.sparkSession
     size = nodes.agg(F.count("*").alias("n"), F.countDistinct("label").alias("labels")).first()
     codes = int(min(MOST_CODES, max(2, round((size["n"] / size["labels"] / CELL_ROWS) ** 0.5))))
-    picked = nodes.orderBy(F.xxhash64("node"), "node").limit(SAMPLE).toArrow()
+    picked = bounded_sample(nodes, F.col("node"), SAMPLE).orderBy("node").toArrow()
     sample = unit(picked.column("vector").combine_chunks(), dim)
     index = spark.sparkContext.broadcast(MultiIndex(sample, codes))
-    some = min(QUERIES, len(sample))
-    queries = spark.sparkContext.broadcast((picked.column("node").to_numpy()[:some], picked.column("label").to_numpy()[:some], sample[:some]))
+    some = np.random.default_rng(1).permutation(len(sample))[:QUERIES]
+    queries = spark.sparkContext.broadcast((picked.column("node").to_numpy()[some], picked.column("label").to_numpy()[some], sample[some]))
     ranks = (
         nodes.select("label", "node", "vector").mapInArrow(_ranks(index, queries, dim, least), "rank long, links long")
         .groupBy("rank").agg(F.sum("links").alias("links")).orderBy("rank").collect()  # one row per cell at most
