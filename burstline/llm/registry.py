@@ -7,6 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from burstline.llm.brown import op8_brown
 from burstline.llm.common import ship_package
 from burstline.llm.decontaminate import op1_decontaminate
@@ -47,6 +48,7 @@ OPERATORS: dict[str, Query] = {
     "op8_brown": op8_brown,
     "op9_attention_quality": op9_attention_quality,
     "op10_multi_index": op10_multi_index,
+    "pipeline": corpus_pipeline.run,
 }
 
 
