@@ -87,23 +87,34 @@ def trained(labelled: DataFrame, id_column: str = "doc_id", text: str = "text",
     return TextModel(languages, counts)
 
 
-def _softmax(scores: list[Column]) -> list[Column]:
-    top = F.greatest(*scores) if len(scores) > 1 else scores[0]
-    parts = [F.exp(s - top) for s in scores]
-    total = sum(parts[1:], parts[0])
-    return [p / total for p in parts]
+def _softmax(scores: np.ndarray) -> np.ndarray:
+    parts = np.exp(scores - scores.max(axis=1, keepdims=True))
+    return parts / parts.sum(axis=1, keepdims=True)
 
 
-def _sums(rows: DataFrame, key: str, count: int) -> DataFrame:
-    return rows.groupBy(key).agg(*[F.sum(f"p{k}").alias(f"s{k}") for k in range(count)])
+def _sums(rows: DataFrame, key: str, column: str, count: int, name: str) -> DataFrame:
+    """The summed text posteriors of each value of ``key``, as an array; broadcast if they are counted to be small."""
+    sums = rows.groupBy(key).agg(F.array(*[F.sum(F.col(column)[k]) for k in range(count)]).alias(name))
+    return hinted(sums.persist(), 8 * count + 128)
 
 
-def _likelihood(rows: DataFrame, key: str, count: int, mark: str) -> DataFrame:
-    """log P(value | language) of every value of ``key``, one added to each sum."""
-    sums = _sums(rows, key, count).persist()
-    total = sums.agg(*[F.sum(f"s{k}").alias(f"s{k}") for k in range(count)], F.count("*").alias("values")).first()
-    logs = [F.log((F.col(f"s{k}") + 1) / F.lit((total[f"s{k}"] or 0.0) + total["values"] + 1)).alias(f"{mark}{k}") for k in range(count)]
-    return hinted(sums.select(key, *logs), 8 * count + 64)
+def fused(text: np.ndarray, own: np.ndarray, letters: np.ndarray, host: np.ndarray, domain: np.ndarray, named: np.ndarray, whole: np.ndarray,
+          values: list[tuple[np.ndarray, np.ndarray, int]], strength: float = STRENGTH) -> np.ndarray:
+    """log of the evidence of each row (rows by languages), up to a constant per row.
+
+    ``text``: log likelihoods; ``own``: the text posteriors that are in the sums of ``host`` and ``domain`` and are taken out again;
+    ``named``: whether there is a host; ``whole``: the share of each language; ``values``: for every other evidence the sums of
+    the row's value, of all rows, and the number of values.
+    """
+    own = own * letters[:, None]
+    above = np.maximum(domain - own, 0) + strength * whole
+    above /= above.sum(1, keepdims=True)
+    prior = np.maximum(host - own, 0) + strength * above
+    prior /= prior.sum(1, keepdims=True)
+    out = text + np.log(np.where(named[:, None], prior, whole))
+    for sums, total, count in values:
+        out = out + np.log((sums + 1) / (total + count + 1))
+    return out
 
 
 def identify(rows: DataFrame, model: TextModel, text: Column, declared: Column, host: Column, least: float = LEAST) -> DataFrame:
@@ -119,48 +130,47 @@ def identify(rows: DataFrame, model: TextModel, text: Column, declared: Column,
 
     @F.pandas_udf("array<double>")
     def evidence(column: pd.Series) -> pd.Series:
-        return pd.Series([send.value.evidence(t) for t in column])
+        """Text posteriors, log likelihoods, and the number of trigrams."""
+        got = np.array([send.value.evidence(t) for t in column]).reshape(-1, count + 1)
+        return pd.Series(list(np.concatenate([_softmax(got[:, :count]), got], axis=1)))
 
     clean_host = F.lower(F.coalesce(host, F.lit("")))
-    labels = F.split(clean_host, r"\.", -1)
-    base = rows.select(
-        F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), clean_host.alias("host"), F.concat_ws(".", F.slice(labels, F.greatest(F.size(labels) - 1, F.lit(1)), 2)).alias("domain"),
-        F.element_at(labels, -1).alias("suffix"), F.lower(F.coalesce(declared, F.lit(""))).alias("declared"), evidence(text).alias("e"),
-    )
-    parts = _softmax([F.col("e")[k] for k in range(count)])
-    seen = base.select("*", (F.col("e")[count] > 0).alias("letters"), *[p.alias(f"p{k}") for k, p in enumerate(parts)])
-    # Rows without letters say nothing about their host.
-    narrow = seen.where("letters").select("host", "domain", "suffix", "declared", *[f"p{k}" for k in range(count)])
-    groups = narrow.groupBy("host", "domain", "suffix", "declared").agg(*[F.sum(f"p{k}").alias(f"p{k}") for k in range(count)]).persist()
-
-    by_host, by_domain = _sums(groups, "host", count), _sums(groups, "domain", count)
-    all_rows = groups.agg(*[F.sum(f"p{k}").alias(f"p{k}") for k in range(count)]).first()
-    whole = np.array([all_rows[f"p{k}"] or 0.0 for k in range(count)]) + 1
-    whole = whole / whole.sum()
-    host_sums = hinted(by_host.toDF("host", *[f"h{k}" for k in range(count)]).persist(), 8 * count + 64)
-    domain_sums = hinted(by_domain.toDF("domain", *[f"d{k}" for k in range(count)]).persist(), 8 * count + 64)
-
-    joined = (
-        seen.join(host_sums, "host", "left").join(domain_sums, "domain", "left")
-        .join(_likelihood(groups, "declared", count, "l"), "declared", "left").join(_likelihood(groups, "suffix", count, "x"), "suffix", "left")
-    )
-    own = [F.when(F.col("letters"), F.col(f"p{k}")).otherwise(0.0) for k in range(count)]
-    left = lambda mark, k: F.greatest(F.coalesce(F.col(f"{mark}{k}"), F.lit(0.0)) - own[k], F.lit(0.0))
-    total = lambda mark: sum([left(mark, k) for k in range(1, count)], left(mark, 0))
-    has_host = F.col("host") != ""
-    domain_prior = [(left("d", k) + STRENGTH * float(whole[k])) / (total("d") + STRENGTH) for k in range(count)]
-    prior = [F.when(has_host, (left("h", k) + STRENGTH * domain_prior[k]) / (total("h") + STRENGTH)).otherwise(float(whole[k])) for k in range(count)]
-    scores = [
-        F.log(prior[k]) + F.col("e")[k] + F.coalesce(f"l{k}", F.lit(0.0)) + F.when(has_host, F.coalesce(f"x{k}", F.lit(0.0))).otherwise(0.0)
-        for k in range(count)
-    ]
-    fused = joined.select("*", *[s.alias(f"q{k}") for k, s in enumerate(scores)])
-    best = lambda mark: F.array_max(F.array(*[F.struct(F.col(f"{mark}{k}").alias("p"), F.lit(-k).alias("k"), F.lit(n).alias("name")) for k, n in enumerate(names)]))
-    post = _softmax([F.col(f"q{k}") for k in range(count)])
-    done = fused.select("row", "letters", best("p").alias("by_text"), *[p.alias(f"r{k}") for k, p in enumerate(post)]).withColumn("best", best("r"))
+    labels = F.split("host", r"\.", -1)
+    seen = rows.select(
+        F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), clean_host.alias("host"), F.lower(F.coalesce(declared, F.lit(""))).alias("declared"), evidence(text).alias("e"),
+    ).withColumns({
+        "domain": F.concat_ws(".", F.slice(labels, F.greatest(F.size(labels) - 1, F.lit(1)), 2)), "suffix": F.element_at(labels, -1),
+    })
+    # One row per distinct address and declaration; rows without letters say nothing.
+    p = F.array(*[F.sum(F.col("e")[k]) for k in range(count)])
+    groups = seen.where(F.col("e")[2 * count] > 0).groupBy("host", "domain", "suffix", "declared").agg(p.alias("p")).persist()
+    totals = groups.agg(
+        F.array(*[F.sum(F.col("p")[k]) for k in range(count)]).alias("p"), F.countDistinct("declared").alias("declared"), F.countDistinct("suffix").alias("suffix"),
+    ).first()
+    total = np.array([x or 0.0 for x in totals["p"]])
+    whole = (total + 1) / (total + 1).sum()
+    size = {"declared": totals["declared"], "suffix": totals["suffix"]}
+
+    @F.pandas_udf("array<double>")
+    def decide(e: pd.Series, host: pd.Series, host_sums: pd.Series, domain_sums: pd.Series, declared_sums: pd.Series, suffix_sums: pd.Series) -> pd.Series:
+        """The languages by text and by all evidence, and the confidence in the latter."""
+        known = lambda sums: np.array([np.zeros(count) if x is None else np.asarray(x) for x in sums]).reshape(-1, count)
+        got = np.array(list(e)).reshape(-1, 2 * count + 1)
+        own, logs, letters, named = got[:, :count], got[:, count:-1], got[:, -1] > 0, (host != "").to_numpy()
+        suffix = np.where(named[:, None], known(suffix_sums), (total + size["suffix"] + 1) - 1)
+        post = _softmax(fused(logs, own, letters, known(host_sums), known(domain_sums), named, whole, [
+            (known(declared_sums), total, size["declared"]), (suffix, total, size["suffix"]),
+        ]))
+        return pd.Series(list(np.stack([logs.argmax(1), post.argmax(1), post.max(1)], axis=1)))
+
+    joined = seen
+    for key, mark in (("host", "h"), ("domain", "d"), ("declared", "l"), ("suffix", "x")):
+        joined = joined.join(_sums(groups, key, "p", count, mark), key, "left")
+    done = joined.select("row", (F.col("e")[2 * count] > 0).alias("letters"), decide("e", "host", "h", "d", "l", "x").alias("best"))
+    name = lambda k: F.array(*map(F.lit, names))[F.col("best")[k].cast("int")]
     return done.select(
-        *[F.col(f"row.`{c}`").alias(c) for c in kept], F.when(F.col("letters"), F.col("by_text.name")).alias("text_lang"),
-        F.col("best.name").alias("language"), F.col("best.p").alias("confidence"), (F.col("letters") & (F.col("best.p") >= least)).alias("accepted"),
+        *[F.col(f"row.`{c}`").alias(c) for c in kept], F.when(F.col("letters"), name(0)).alias("text_lang"), name(1).alias("language"),
+        F.col("best")[2].alias("confidence"), (F.col("letters") & (F.col("best")[2] >= least)).alias("accepted"),
     )
 
 
