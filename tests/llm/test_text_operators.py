@@ -1,0 +1,238 @@
+"""Decontamination, archives, sentence pieces, URL rules and language against plain Python."""
+
+import gzip
+import hashlib
+import io
+import random
+import re
+import zipfile
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from burstline.llm import decontaminate, langid, warc_zip
+from burstline.llm.common import new_path
+from burstline.llm.pieces import Pieces, encoded
+from burstline.llm.url_filter import judge
+
+MODEL = public_tokenizers.path("piece_bpe_32k.model")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def words(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
+
+
+def hits(text, items, n=10):
+    own, hit, found = words(text), set(), set()
+    for item, item_text in items:
+        theirs = words(item_text)
+        size = min(n, len(theirs))
+        if item is None or not size:
+            continue
+        grams = {tuple(theirs[i : i + size]) for i in range(len(theirs) - size + 1)}
+        for i in range(len(own) - size + 1):
+            if tuple(own[i : i + size]) in grams:
+                hit |= set(range(i, i + size))
+                found.add(str(item))
+    return len(own), len(hit), sorted(found)
+
+
+def corpus():
+    rnd = random.Random(4)
+    vocabulary = ["the", "Of", "naïve", "x1", "été", "zoo", "a"]
+    say = lambda n: " ".join(rnd.choice(vocabulary) for _ in range(n))
+    items = [(k, say(14)) for k in range(6)] + [(7, "one short"), (8, ""), (9, None), (None, say(20)), (7, "Another, short!"), (10, items_end := say(12))]
+    texts = [None, "", "?!", "one SHORT", "say one-short. Another short", items_end, items_end.upper() + ", " + items_end]
+    texts += [f"{say(5)}\n{rnd.choice(items)[1]} {say(30)}" for _ in range(30)] + [say(3000)]
+    return [(k, t, "s") for k, t in enumerate(texts)] + [(3, "one SHORT", "s"), (None, "one short", None)], items
+
+
+@pytest.mark.parametrize("limit", [None, 0])
+def test_windows_as_by_hand(spark, limit):
+    rows, items = corpus()
+    docs = spark.createDataFrame(rows, "doc_id long, text string, items string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.find_hits(docs, benchmark, limit=limit).withColumn("n_hit", decontaminate.hit_words())
+    got = sorted((r["text"] or "", str(r["doc_id"]), r["n_words"], r["n_hit"], r["items"]) for r in found.collect())
+    assert got == sorted((t or "", str(i), *hits(t, items)) for i, t, _ in rows)
+    assert found.columns == ["doc_id", "text", "n_words", "spans", "items", "n_hit"]
+
+
+def test_hits_leave_the_text(spark):
+    docs = spark.createDataFrame([(1, "keep this, one Short! and that, keep all of it"), (2, "one short"), (3, None), (4, "clean")], "doc_id long, text string")
+    items = spark.createDataFrame([(7, "one short")], "item_id long, text string")
+    left = {r["doc_id"]: r["text"] for r in decontaminate.decontaminate(docs, items).collect()}
+    assert left == {1: "keep this, ! and that, keep all of it", 3: None, 4: "clean"}
+    assert {r["doc_id"] for r in decontaminate.decontaminate(docs, items, remove="documents").collect()} == {3, 4}
+    assert decontaminate.decontaminate(docs.limit(0), items).count() == 0
+    assert decontaminate.decontaminate(docs, items.limit(0)).count() == 4
+
+
+PAGES = [
+    (5, "http://a/", "x" * 200), (3, "http://b/\r\nX: y", "x" * 200), (9, None, "x" * 200), (4, "u", "é" * 60), (6, "u", "é" * 60), (1, "u", "short"),
+    (2, "u", "short"), (7, "u", None), (8, "u", ""), (9, "u", "long\r\n\r\n" * 9000), (3, "u", "x" * 200), (None, "u", "x" * 200), (None, "u", "alone" * 50),
+    (None, "u", "alone" * 50),
+]
+
+
+def records(spark, folder):
+    return sorted((str(r["record_id"]), r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"], bytes(r["payload"] or b"")) for r in warc_zip.read_archives(spark, folder, range_bytes=64).collect())
+
+
+@pytest.mark.parametrize("force64", [False, True])
+def test_archives_round_trip(spark, force64):
+    pages = spark.createDataFrame(PAGES, "page_id long, url string, html string")
+    folder = new_path(spark, "warc-test")
+    warc_zip.write_archives(warc_zip.classified(pages), folder, archive_bytes=100, force64=force64)
+    want = []
+    for i, _, html in PAGES:
+        raw = (html or "").encode()
+        same = [j for j, _, h in PAGES if (h or "") == (html or "") and j is not None]
+        first = min(same) if same and len(raw) >= 100 else i
+        again = first != i
+        want.append(("" if i is None else str(i), len(raw), hashlib.sha256(raw).hexdigest(), "revisit" if again else "response", str(first) if again else None, b"" if again else raw))
+    assert records(spark, folder) == sorted(want)
+    assert warc_zip.read_archives(spark, folder, payloads=False).where("payload is not null").count() == 0
+
+
+def test_archives_are_plain_zip_files(spark):
+    pages = spark.createDataFrame(PAGES[:4], "page_id long, url string, html string")
+    for force64 in (False, True):
+        folder = new_path(spark, "warc-test")
+        warc_zip.write_archives(warc_zip.classified(pages).coalesce(1), folder, force64=force64)
+        (name, size), = [tuple(r) for r in spark.read.parquet(f"{folder}/manifest").collect()]
+        store, base = warc_zip.filesystem(folder)
+        raw = store.open_input_file(f"{base}/data/{name}").read()
+        assert len(raw) == size
+        with zipfile.ZipFile(io.BytesIO(raw)) as archive:
+            assert archive.testzip() is None and archive.namelist() == ["archive/data.warc.gz", "indexes/index.cdxj"]
+            assert gzip.decompress(archive.read("archive/data.warc.gz")).count(b"WARC/1.1\r\n") == 4
+        assert set(warc_zip.zip_members(io.BytesIO(raw), len(raw))) == {"archive/data.warc.gz", "indexes/index.cdxj"}
+
+
+def test_broken_archives_are_reported():
+    with pytest.raises(ValueError, match="cut off"):
+        warc_zip.zip_members(io.BytesIO(b"PK\3\4" + b"\0" * 50), 54)
+    with pytest.raises(ValueError, match="digest"):
+        warc_zip.parse_record(warc_zip.warc_record("1", "response", None, None, b"text", hashlib.sha256(b"other").hexdigest(), 4))
+
+
+def test_foreign_zip_members_are_found():
+    """A ZIP of another writer: compressed members are passed over, a comment and several members do no harm."""
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as archive:
+        archive.writestr(zipfile.ZipInfo("a/stored.bin"), b"PK\5\6 inside the data")
+        archive.writestr("packed.bin", b"z" * 999, zipfile.ZIP_DEFLATED)
+        archive.comment = b"PK\5\6 in a comment" + b"\0" * 30
+    raw = out.getvalue()
+    (name, (place, size)), = warc_zip.zip_members(io.BytesIO(raw), len(raw)).items()
+    assert name == "a/stored.bin" and raw[place : place + size] == b"PK\5\6 inside the data"
+
+
+PIECES = Pieces(MODEL)
+
+
+def same_as_library(texts):
+    ids, ends = PIECES.encode(texts)
+    low = 0
+    for text, end in zip(texts, ends.tolist()):
+        own = [PIECES.bos, *ids[low:end].tolist(), PIECES.eos]
+        want = PIECES.lib.encode(text or "", add_bos=True, add_eos=True)
+        assert own == want, text
+        assert PIECES.decode(np.array(own)) == PIECES.lib.decode(want)
+        low = end
+
+
+@given(st.lists(st.one_of(st.none(), st.text(), st.text(alphabet=" \n▁ab\tthé<s>0x日\x00"))))
+@settings(max_examples=150, deadline=None)
+def test_pieces_of_any_text(texts):
+    same_as_library(texts)
+
+
+def test_pieces_of_long_and_odd_texts():
+    same_as_library(["", None, " ", "  a  b", "word " * 3000, "<s></s><unk><0x0A>", "\n \n", "▁▁x", "x" * 3000, "\r\n\t", "日本語 😀"])
+    for ids in ([0, 5, 300], [3 + 0xFF, 3 + 0xC3], [29871], [29871, 29871], []):
+        assert PIECES.decode(np.array(ids, dtype=np.int64)) == PIECES.lib.decode(ids)
+
+
+def test_encoded_rows(spark):
+    docs = spark.createDataFrame([(1, "a b", "old"), (1, "a b", "old"), (None, None, None)], "doc_id long, text string, ids string")
+    got = encoded(docs, MODEL, ["ids", "n_tokens", "decoded"]).collect()
+    want = PIECES.lib.encode("a b", add_bos=True, add_eos=True)
+    assert sorted((r["n_tokens"], r["ids"], r["decoded"]) for r in got) == [(2, [1, 2], ""), (len(want), want, "a b"), (len(want), want, "a b")]
+    assert encoded(docs.limit(0), MODEL, ["n_tokens"]).count() == 0
+
+
+def test_rules_as_by_hand(spark):
+    rnd = random.Random(2)
+    labels = ["net", "a", "b-c", "a/b"[:1], "é", "x"]
+    hosts = [".".join(rnd.choice(labels) for _ in range(rnd.randint(1, 4))) for _ in range(60)]
+    rules = {(h, rnd.choice(["", "/", "/en", "/en/", "/de/"])) for h in hosts[:25]} | {("net", "/"), ("a.net", "/en/"), ("A.Net", "/en/x")}
+    verdicts = [(h, p, rnd.choice(["block", "allow"])) for h, p in sorted(rules)]
+    urls = [None, "", "no scheme", "http://", "http:///en/", "HTTP://A.NET:80/", "http://u@a.net/en/", "x://a.net#f", "http://net./en/", "http://.net/", "a\n://x.net/en/"]
+    urls += [f"http{rnd.choice(['', 's'])}://{rnd.choice(['', 'www.', 'anet.', 'M.'])}{h}{rnd.choice(['', '/', '/en', '/en/x?q', '/de/#f', '?/en/'])}" for h in hosts for _ in range(4)]
+    rows = [(k % 50, u, "mine") for k, u in enumerate(urls * 2)]
+
+    def expected(url):
+        rest = url.split("://", 1)[1] if url and "://" in url else ""
+        raw = re.match(r"[^/?#]*", rest)[0]
+        host, path = raw.translate(LOWER), re.match(r"[^?#]*", rest[len(raw):])[0]
+        fit = [(len(h.lower() + p), h.lower() + p, v) for h, p, v in verdicts if (host == h.lower() or host.endswith("." + h.lower())) and path.startswith(p)]
+        _, rule, verdict = max(fit, default=(0, None, "allow"))
+        return host, path, rule, verdict
+
+    found = judge(spark.createDataFrame(rows, "page_id long, url string, verdict string"), spark.createDataFrame(verdicts, "host string, path string, verdict string"))
+    got = sorted((r["page_id"], str(r["url"]), r["host"], r["path"], str(r["rule"]), r["verdict"]) for r in found.collect())
+    assert got == sorted((i, str(u), h, p, str(r), v) for i, u, _ in rows for h, p, r, v in [expected(u)])
+
+
+def test_no_rules_and_no_urls(spark):
+    urls = spark.createDataFrame([(1, "http://a.net/")], "page_id long, url string")
+    rules = spark.createDataFrame([(None, None, "block")], "host string, path string, verdict string")
+    assert [r["verdict"] for r in judge(urls, rules.limit(0)).collect()] == ["allow"]
+    assert [r["verdict"] for r in judge(urls, rules).collect()] == ["allow"]
+    assert judge(urls.limit(0), rules).count() == 0
+
+
+def test_languages_of_odd_rows(spark):
+    from pyspark.sql import functions as F
+
+    english, german = "the house of the other thing that is there", "der hund und die katze sind nicht in dem haus"
+    train = spark.createDataFrame([(k, english if k % 2 else german, "en" if k % 2 else "de") for k in range(40)] + [(99, None, "en"), (98, "x", None)], "doc_id long, text string, lang string")
+    model = langid.trained(train)
+    assert model.languages == ["de", "en"]
+    rows = spark.createDataFrame([
+        (1, english, "en", "a.x.net", "mine"), (2, german, None, None, None), (3, None, "en", "a.x.net", None), (4, "", None, "", None), (5, "123 !!", "de", "b.x.net", None),
+        (6, "und", "de", "b.x.net", None), (6, english * 3000, "de", "b.x.net", None), (None, german, "odd", "de", None),
+    ], "id long, text string, said string, host string, language string")
+    found = langid.identify(rows, model, F.col("text"), F.col("said"), F.col("host"))
+    got = {(r["id"], len(r["text"] or "")): (r["text_lang"], r["accepted"], 0 <= r["confidence"] <= 1.000001) for r in found.collect()}
+    assert got == {
+        (1, len(english)): ("en", True, True), (2, len(german)): ("de", True, True), (3, 0): (None, False, True), (4, 0): (None, False, True), (5, 6): (None, False, True),
+        (6, 3): ("de", True, True), (6, 3000 * len(english)): ("en", True, True), (None, len(german)): ("de", True, True),
+    }
+    assert langid.identify(rows.limit(0), model, F.col("text"), F.col("said"), F.col("host")).count() == 0
+    nothing = langid.trained(train.limit(0))
+    assert {r["language"] for r in langid.identify(rows, nothing, F.col("text"), F.col("said"), F.col("host")).collect()} == {"und"}
+
+
+def test_evidence_beside_the_text_decides_close_cases():
+    """Two languages that the text does not tell apart: the host's other rows, without the row's own, decide."""
+    flat, own, on = np.zeros((2, 2)), np.full((2, 2), 0.5), np.ones(2, bool)
+    host = np.array([[9.5, 0.5], [0.5, 0.5]])
+    out = langid.fused(flat, own, on, host, host, on, np.array([0.5, 0.5]), [])
+    assert out[0, 0] > out[0, 1] + 1 and out[1, 0] == pytest.approx(out[1, 1])
+    told = langid.fused(flat, own, on, own, own, on, np.array([0.5, 0.5]), [(np.array([[8.0, 0.0], [0.0, 8.0]]), np.array([10.0, 10.0]), 3)])
+    assert told[0].argmax() == 0 and told[1].argmax() == 1
+
+
+def test_visible_text_and_declared_language(spark):
+    from pyspark.sql import functions as F
+
+    html = '<!DOCTYPE html><HTML class="x" LANG=\'De-at\'><style>p{}</style><script>var t="</p>";</script><!-- <p>no</p> --><p>yes</p>'
+    row = spark.createDataFrame([(html,), (None,), ("<b",)], "html string").select(langid.visible_text(F.col("html")).alias("t"), langid.declared_language(F.col("html")).alias("d")).collect()
+    assert row[0]["t"].split() == ["yes"] and row[0]["d"] == "de" and row[1]["t"] is None and row[2]["t"] == "<b"
