@@ -5,13 +5,18 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # A side is broadcast only if its rows were measured to take no more than this.
 BROADCAST_BYTES = 32 * 1024 * 1024
+PIECE_BYTES = 1 << 20
 
 # A-Z to a-z, every byte outside words to a space: digits, letters and all bytes from 0x80 on are words.
 LETTERS_AND_DIGITS = bytes(
@@ -32,6 +37,16 @@ def blank_words(text: bytes | None) -> list[bytes]:
     return text.translate(NOT_BLANK).split() if text else []
 
 
+def pieces_of(batches: Iterator[pa.RecordBatch], column: str = "_text", most: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches, cut to about ``most`` bytes of a text column each: what a task holds at once stays small."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        part = (np.cumsum(sizes) - sizes) // most
+        starts = np.concatenate([[0], np.flatnonzero(np.diff(part)) + 1, [batch.num_rows]]) if len(part) else [0, 0]
+        for low, high in zip(starts[:-1], starts[1:]):
+            yield batch.slice(int(low), int(high - low))
+
+
 SHIPPED: set[str] = set()
 
 

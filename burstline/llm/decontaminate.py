@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from burstline.llm.common import plain_words, table, written
+from burstline.llm.common import pieces_of, plain_words, table, written
 
 WINDOW = 10
 # A task's copy of the windows takes some 150 bytes a word; the benchmark's bytes are counted before.
@@ -95,7 +95,7 @@ def _scan(windows):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = windows.value
-        for batch in batches:
+        for batch in pieces_of(batches):
             counts, spans, items = [], [], []
             for text in _bytes(batch.column("_text")):
                 words = plain_words(text)
@@ -117,7 +117,7 @@ def _grams(n: int, sizes: list[int]):
     """A row for each window of a text: (place, words joined by blanks); ``owner`` is carried along."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces_of(batches):
             for owner, text in zip(batch.column("owner"), _bytes(batch.column("_text"))):
                 words = [w.decode() for w in plain_words(text)]
                 own = [min(n, len(words))] if not sizes else [s for s in sizes if s <= len(words)]
@@ -203,7 +203,7 @@ def find_hits(
 
 
 def _without_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in pieces_of(batches):
         texts = []
         for text, spans in zip(_bytes(batch.column("_text")), batch.column("spans").to_pylist()):
             if spans:

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from burstline.llm.common import bounded_sample, hinted, table
+from burstline.llm.common import bounded_sample, hinted, pieces_of, table
 from burstline.llm.url_filter import url_host
 
 SAMPLE = 4_000  # labelled documents that fit the trigram tables
@@ -26,7 +26,7 @@ BUCKETS = 1 << 15
 TEMPER = 0.25
 STRENGTH = 5.0  # rows that a host's (a domain's) parent counts for
 LEAST = 0.5  # posterior below which a row is rejected
-RUN = 1_000_000
+RUN = 200_000
 
 LETTERS = bytes(b if 0x61 <= b <= 0x7A or b >= 0x80 else b + 32 if 0x41 <= b <= 0x5A else 0x20 for b in range(256))
 
@@ -43,7 +43,7 @@ def grams(text: str | None) -> np.ndarray:
 def _counted(batches):
     import pyarrow as pa
 
-    for batch in batches:
+    for batch in pieces_of(batches):
         for lang in set(batch.column("lang").to_pylist()):
             some = [t for t, own in zip(batch.column("_text").to_pylist(), batch.column("lang").to_pylist()) if own == lang]
             total = np.zeros(BUCKETS, dtype=np.int64)

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from burstline.llm.common import hinted, table, written
+from burstline.llm.common import hinted, pieces_of, table, written
 from burstline.llm.components import components
 from burstline.llm.shingles import (
     BUCKETS, FINE, SHINGLE, WordHashes, band_keys, estimate, fine_estimate, fine_registers, registers, shingle_set,
@@ -54,7 +54,7 @@ def _fingerprint(hashes: np.ndarray) -> bytes:
 def _sketcher(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
-        for batch in batches:
+        for batch in pieces_of(batches):
             sizes, prints, sketches = [], [], []
             for text in _texts(batch.column("_text")):
                 hashes = shingle_set(text, known, n)
@@ -83,7 +83,7 @@ def _set_maker(n: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
-        for batch in batches:
+        for batch in pieces_of(batches):
             nodes, sizes, keys, fine, sets = [], [], [], [], []
             for node, print_, text in zip(batch.column("node").to_pylist(), batch.column("print").to_pylist(), _texts(batch.column("_text"))):
                 hashes = shingle_set(text, known, n)

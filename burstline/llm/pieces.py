@@ -24,11 +24,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from burstline.llm.common import table
+from burstline.llm.common import pieces_of, table
 
 MARK = "▁"
-RUN_CHARS = 4_000_000  # documents are taken together up to about this many characters
-TABLE_CHUNKS = 400_000  # distinct chunks a task remembers
+TABLE_CHUNKS = 200_000  # distinct chunks a task remembers
 CHUNK = re.compile(r" *[^ \n]+| +|\n")
 
 
@@ -116,46 +115,31 @@ def loaded(model: str) -> Pieces:
     return LOADED[model]
 
 
-def runs(texts: list[str | None]) -> Iterator[slice]:
-    """Neighbouring texts of about RUN_CHARS characters together."""
-    low, size = 0, 0
-    for k, text in enumerate(texts):
-        size += len(text or "")
-        if size >= RUN_CHARS:
-            yield slice(low, k + 1)
-            low, size = k + 1, 0
-    if low < len(texts):
-        yield slice(low, len(texts))
-
-
 def _encoder(model: str, want: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = loaded(model)
-        for batch in batches:
-            texts = batch.column("_text").to_pylist()
+        for batch in pieces_of(batches):
+            ids, ends = pieces.encode(batch.column("_text").to_pylist())
+            out = {name: [] for name in want}
+            low = 0
+            for end in ends.tolist():
+                own = np.concatenate([[pieces.bos], ids[low:end], [pieces.eos]]).astype("<u4")
+                low = end
+                if "ids" in out:
+                    out["ids"].append(own.astype(np.int32))
+                if "n_tokens" in out:
+                    out["n_tokens"].append(len(own))
+                if "ids_sha256" in out:
+                    out["ids_sha256"].append(hashlib.sha256(own.tobytes()).hexdigest())
+                if "decoded_sha256" in out:
+                    out["decoded_sha256"].append(hashlib.sha256(pieces.decode(own).encode()).hexdigest())
+                if "decoded" in out:
+                    out["decoded"].append(pieces.decode(own))
+            kinds = {"ids": pa.list_(pa.int32()), "n_tokens": pa.int64()}
             kept = batch.drop_columns(["_text"])
-            for part in runs(texts):
-                ids, ends = pieces.encode(texts[part])
-                out = {name: [] for name in want}
-                low = 0
-                for end in ends.tolist():
-                    own = np.concatenate([[pieces.bos], ids[low:end], [pieces.eos]]).astype("<u4")
-                    low = end
-                    if "ids" in out:
-                        out["ids"].append(own.astype(np.int32))
-                    if "n_tokens" in out:
-                        out["n_tokens"].append(len(own))
-                    if "ids_sha256" in out:
-                        out["ids_sha256"].append(hashlib.sha256(own.tobytes()).hexdigest())
-                    if "decoded_sha256" in out:
-                        out["decoded_sha256"].append(hashlib.sha256(pieces.decode(own).encode()).hexdigest())
-                    if "decoded" in out:
-                        out["decoded"].append(pieces.decode(own))
-                kinds = {"ids": pa.list_(pa.int32()), "n_tokens": pa.int64()}
-                rows = kept.slice(part.start, part.stop - part.start)
-                yield pa.RecordBatch.from_arrays(
-                    [*rows.columns, *[pa.array(out[n], kinds.get(n, pa.string())) for n in want]], names=[*rows.schema.names, *want]
-                )
+            yield pa.RecordBatch.from_arrays(
+                [*kept.columns, *[pa.array(out[n], kinds.get(n, pa.string())) for n in want]], names=[*kept.schema.names, *want]
+            )
 
     return run
 

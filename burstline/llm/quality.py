@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from burstline.llm.common import bounded_sample, table
+from burstline.llm.common import bounded_sample, pieces_of, table
 
 SAMPLE = 4_000  # labelled documents that train the model
 SAMPLE_BYTES = 100_000  # of a document that may be in the sample
@@ -27,7 +27,7 @@ PAIRS = 64  # buckets of byte pairs
 HIDDEN, GATE = 16, 8
 EPOCHS, BATCH, RATE, DECAY = 40, 64, 4e-3, 1e-3
 SHORT = 256  # a passage of so many bytes counts half
-RUN = 2_000_000  # bytes worked on at once
+RUN = 400_000  # bytes worked on at once
 
 
 def _kinds() -> np.ndarray:
@@ -190,7 +190,7 @@ def _texts(column: pa.Array) -> list[bytes]:
 
 
 def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in pieces_of(batches):
         x, counts = passages(_texts(batch.column("_text")))
         stops = np.cumsum(counts)
         rows = [x[stop - n : stop].tobytes() for stop, n in zip(stops, counts)]
@@ -199,7 +199,7 @@ def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _scorer(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces_of(batches):
             x, counts = passages(_texts(batch.column("_text")))
             kept = batch.drop_columns(["_text"])
             yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(model.value.scores(x, counts))], names=[*kept.schema.names, "score"])
