@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 # A side is broadcast only if its rows were measured to take no more than this.
 BROADCAST_BYTES = 32 * 1024 * 1024
 PIECE_BYTES = 1 << 20
+ARROW_ROWS, ARROW_CONF = 1000, "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 # A-Z to a-z, every byte outside words to a space: digits, letters and all bytes from 0x80 on are words.
 LETTERS_AND_DIGITS = bytes(
@@ -47,11 +48,21 @@ def pieces_of(batches: Iterator[pa.RecordBatch], column: str = "_text", most: in
             yield batch.slice(int(low), int(high - low))
 
 
+def with_text(docs: DataFrame, kept: list[str], text: str) -> tuple[DataFrame, str]:
+    """The kept columns and the text, not twice if it is kept, and the name it goes by."""
+    columns = [F.col(f"`{c}`") for c in kept]
+    if text in kept and docs.schema[text].dataType.simpleString() == "string":
+        return docs.select(*columns), text
+    return docs.select(*columns, F.col(f"`{text}`").cast("string").alias("_text")), "_text"
+
+
 SHIPPED: set[str] = set()
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Give the executors' Python this package, once for each application."""
+def prepare(spark: SparkSession) -> None:
+    """Make a session ready: executors get this package once, and long texts reach Python in small batches."""
+    if int(spark.conf.get(ARROW_CONF)) > ARROW_ROWS:
+        spark.conf.set(ARROW_CONF, ARROW_ROWS)
     context = spark.sparkContext
     if context.applicationId not in SHIPPED:
         package = Path(__file__).resolve().parent.parent

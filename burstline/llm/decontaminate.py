@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from burstline.llm.common import pieces_of, plain_words, table, written
+from burstline.llm.common import pieces_of, plain_words, table, with_text, written
 
 WINDOW = 10
 # A task's copy of the windows takes some 150 bytes a word; the benchmark's bytes are counted before.
@@ -90,24 +90,23 @@ def _bytes(column: pa.Array) -> Iterator[bytes | None]:
         yield value.as_py()
 
 
-def _scan(windows):
+def _scan(windows, text: str, keep: list[str]):
     """Adds n_words, spans and items to each row of an Arrow batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = windows.value
-        for batch in pieces_of(batches):
+        for batch in pieces_of(batches, text):
             counts, spans, items = [], [], []
-            for text in _bytes(batch.column("_text")):
-                words = plain_words(text)
+            for raw in _bytes(batch.column(text)):
+                words = plain_words(raw)
                 places, found = held.find(words)
                 counts.append(len(words))
                 spans.append([list(p) for p in places])
                 items.append(sorted(found))
-            kept = [c for c in batch.schema.names if c != "_text"]
-            arrays = [batch.column(c) for c in kept] + [
+            arrays = [batch.column(c) for c in keep] + [
                 pa.array(counts, pa.int64()), pa.array(spans, pa.list_(pa.list_(pa.int64()))), pa.array(items, pa.list_(pa.string())),
             ]
-            yield pa.RecordBatch.from_arrays(arrays, names=[*kept, "n_words", "spans", "items"])
+            yield pa.RecordBatch.from_arrays(arrays, names=[*keep, "n_words", "spans", "items"])
 
     return run
 
@@ -180,25 +179,26 @@ def lowered(text: str) -> Column:
 
 def find_hits(
     docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text",
-    n: int = WINDOW, limit: int | None = None,
+    n: int = WINDOW, limit: int | None = None, keep: list[str] | None = None,
 ) -> DataFrame:
-    """All rows and columns of ``docs`` with ``n_words``, ``spans`` (runs of hit words, [from, to)) and ``items``.
+    """All rows of ``docs``, the columns ``keep`` (all) with ``n_words``, ``spans`` (runs of hit words, [from, to)) and ``items``.
 
     ``items`` are the item ids as strings, sorted. Columns of ``docs`` with these names are replaced. Items without id
     or words are passed over; several items with one id count as one, and repeated documents are each judged.
     """
     new = [f.name for f in NEW]
-    kept = [c for c in docs.columns if c not in new]
-    rows = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").cast("string").alias("_text"))
+    kept = [c for c in (docs.columns if keep is None else keep) if c not in new]
     items = benchmark.select(F.col(f"`{item}`").cast("string").alias("item"), F.col(f"`{item_text}`").alias("text")).where(
         "item is not null and length(text) > 0"
     )
     size = items.agg(F.coalesce(F.sum(F.octet_length("text") + 16), F.lit(0))).first()[0]
     if size <= (BROADCAST_TEXT if limit is None else limit):
         windows = docs.sparkSession.sparkContext.broadcast(Windows([(r["item"], r["text"].encode()) for r in items.collect()], n))
-        rows = rows.mapInArrow(_scan(windows), T.StructType([*rows.drop("_text").schema.fields, *NEW]))
+        rows, name = with_text(docs, kept, text)
+        fields = rows.select(*[F.col(f"`{c}`") for c in kept]).schema.fields
+        rows = rows.mapInArrow(_scan(windows, name, kept), T.StructType([*fields, *NEW]))
     else:
-        rows = _joined(rows, items, n)
+        rows = _joined(docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").cast("string").alias("_text")), items, n)
     return rows.select(*[F.col(f"`{c}`") for c in kept], *new)
 
 
@@ -229,7 +229,8 @@ def decontaminate(
     ``remove="documents"`` drops every document with a hit. ``remove="spans"`` cuts the hit words, with what
     stands between them, out of the text, and drops documents of whose words more than the share ``most`` is hit.
     """
-    found = find_hits(docs.withColumn("_doc", F.struct(*[F.col(f"`{c}`") for c in docs.columns])), benchmark, text, **options)
+    nested = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), F.col(f"`{text}`"))
+    found = find_hits(nested, benchmark, text, keep=["_doc"], **options)
     back = [F.col(f"_doc.`{c}`").alias(c) for c in docs.columns]
     if remove == "documents":
         return found.where(F.size("spans") == 0).select(*back)
@@ -245,7 +246,7 @@ def hit_words() -> Column:
 
 
 def op1_decontaminate(spark, sf_dir: str) -> DataFrame:
-    found = find_hits(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    found = find_hits(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
     n_hit = hit_words()
     return found.select(
         "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),

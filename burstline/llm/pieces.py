@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from burstline.llm.common import pieces_of, table
+from burstline.llm.common import pieces_of, table, with_text
 
 MARK = "▁"
 TABLE_CHUNKS = 200_000  # distinct chunks a task remembers
@@ -115,11 +115,11 @@ def loaded(model: str) -> Pieces:
     return LOADED[model]
 
 
-def _encoder(model: str, want: list[str]):
+def _encoder(model: str, want: list[str], text: str, keep: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = loaded(model)
-        for batch in pieces_of(batches):
-            ids, ends = pieces.encode(batch.column("_text").to_pylist())
+        for batch in pieces_of(batches, text):
+            ids, ends = pieces.encode(batch.column(text).to_pylist())
             out = {name: [] for name in want}
             low = 0
             for end in ends.tolist():
@@ -136,7 +136,7 @@ def _encoder(model: str, want: list[str]):
                 if "decoded" in out:
                     out["decoded"].append(pieces.decode(own))
             kinds = {"ids": pa.list_(pa.int32()), "n_tokens": pa.int64()}
-            kept = batch.drop_columns(["_text"])
+            kept = batch.select(keep)
             yield pa.RecordBatch.from_arrays(
                 [*kept.columns, *[pa.array(out[n], kinds.get(n, pa.string())) for n in want]], names=[*kept.schema.names, *want]
             )
@@ -147,19 +147,19 @@ def _encoder(model: str, want: list[str]):
 TYPES = {"ids": "array<int>", "n_tokens": "bigint", "ids_sha256": "string", "decoded": "string", "decoded_sha256": "string"}
 
 
-def encoded(docs: DataFrame, model: str, want: list[str], text: str = "text") -> DataFrame:
-    """``docs`` with the columns named in ``want`` (see TYPES); columns of these names are replaced.
+def encoded(docs: DataFrame, model: str, want: list[str], text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """The columns ``keep`` of ``docs`` (all) with the columns named in ``want`` (see TYPES); columns of these names are replaced.
 
     ``model`` is a path that every executor has.
     """
-    kept = [c for c in docs.columns if c not in want]
-    rows = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").cast("string").alias("_text"))
-    schema = T.StructType([*rows.drop("_text").schema.fields, *[T.StructField(n, T._parse_datatype_string(TYPES[n])) for n in want]])
-    return rows.mapInArrow(_encoder(model, want), schema)
+    kept = [c for c in (docs.columns if keep is None else keep) if c not in want]
+    rows, name = with_text(docs, kept, text)
+    schema = T.StructType([*rows.select(*[F.col(f"`{c}`") for c in kept]).schema.fields, *[T.StructField(n, T._parse_datatype_string(TYPES[n])) for n in want]])
+    return rows.mapInArrow(_encoder(model, want, name, kept), schema)
 
 
 def op3_sentencepiece(spark, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return encoded(docs, public_tokenizers.path("piece_bpe_32k.model"), ["n_tokens", "ids_sha256", "decoded_sha256"]).drop("text")
+    return encoded(docs, public_tokenizers.path("piece_bpe_32k.model"), ["n_tokens", "ids_sha256", "decoded_sha256"], keep=["doc_id"])

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from burstline.llm.common import bounded_sample, pieces_of, table
+from burstline.llm.common import bounded_sample, pieces_of, table, with_text
 
 SAMPLE = 4_000  # labelled documents that train the model
 SAMPLE_BYTES = 100_000  # of a document that may be in the sample
@@ -197,11 +197,11 @@ def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(rows, pa.binary())], names=["label", "passages"])
 
 
-def _scorer(model):
+def _scorer(model, text: str, keep: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces_of(batches):
-            x, counts = passages(_texts(batch.column("_text")))
-            kept = batch.drop_columns(["_text"])
+        for batch in pieces_of(batches, text):
+            x, counts = passages(_texts(batch.column(text)))
+            kept = batch.select(keep)
             yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(model.value.scores(x, counts))], names=[*kept.schema.names, "score"])
 
     return run
@@ -232,18 +232,17 @@ def trained(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text:
     return fit(np.concatenate(x) if x else np.zeros((0, WIDTH + 1), np.float32), np.array([len(p) for p in x]), got.column("label").to_numpy().astype(float))
 
 
-def scored(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """All rows and columns of ``docs`` with ``score`` (0 to 1); a null text is empty. A column of that name is replaced."""
-    kept = [c for c in docs.columns if c != "score"]
-    rows = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").cast("string").alias("_text"))
+def scored(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """All rows of ``docs`` with the columns ``keep`` (all) and ``score`` (0 to 1); a null text is empty. A column of that name is replaced."""
+    kept = [c for c in (docs.columns if keep is None else keep) if c != "score"]
+    rows, name = with_text(docs, kept, text)
     send = docs.sparkSession.sparkContext.broadcast(model)
-    schema = rows.drop("_text").schema.add("score", "double")
-    return rows.mapInArrow(_scorer(send), schema)
+    return rows.mapInArrow(_scorer(send, name, kept), rows.select(*[F.col(f"`{c}`") for c in kept]).schema.add("score", "double"))
 
 
 def op9_attention_quality(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = trained(docs, table(spark, sf_dir, "labels"))
-    return scored(docs, model).select(
+    return scored(docs, model, keep=["doc_id"]).select(
         "doc_id", held_out().alias("held_out"), "score", F.when(F.col("score") >= THRESHOLD, 1).otherwise(0).alias("predicted")
     )

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from burstline.llm.brown import op8_brown
-from burstline.llm.common import ship_package
+from burstline.llm.common import prepare
 from burstline.llm.decontaminate import op1_decontaminate
 from burstline.llm.langid import op4_language
 from burstline.llm.near_dup import op7_minhash
@@ -27,7 +27,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def _ready(query: Query) -> Query:
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        ship_package(spark)
+        prepare(spark)
         return query(spark, sf_dir)
 
     return run

@@ -12,18 +12,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from burstline.llm import decontaminate, langid, near_dup, pieces, quality
-from burstline.llm.common import hinted, ship_package, table, written
+from burstline.llm.common import hinted, prepare, table, written
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the attention classifier, trained on their labels, does not reject."""
-    ship_package(spark)
+    prepare(spark)
     model = quality.trained(docs, table(spark, sf_dir, "labels"))
     return quality.scored(docs, model).where(F.col("score") >= quality.THRESHOLD).select(*docs.columns)
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in whose language the evidence agrees well enough; ``lang`` stays as declared."""
-    ship_package(spark)
+    prepare(spark)
     model = langid.trained(docs)
     found = langid.identify(docs, model, F.col("text"), F.col("lang"), F.col("source"))
     return found.where("accepted").select(*docs.columns)
@@ -34,7 +34,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows without id stay if no row of their group has one.
     """
-    ship_package(spark)
+    prepare(spark)
     found = near_dup.near_duplicates(docs)
     keys = found.groupBy("row_key").agg(F.max("kept").alias("kept"), F.count("*").alias("n")).where("not kept or n > 1").persist()
     again = docs.withColumn("row_key", near_dup.row_key("doc_id", "text")).join(hinted(keys, 32), "row_key", "left")
@@ -45,7 +45,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages of the benchmark; those that are mostly benchmark go."""
-    ship_package(spark)
+    prepare(spark)
     clean = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
     if "n_chars" not in docs.columns:
         return clean
@@ -54,9 +54,9 @@ def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each text with begin and end id, and digests of the ids and of the text they decode to."""
-    ship_package(spark)
+    prepare(spark)
     model = public_tokenizers.path("piece_bpe_32k.model")
-    return pieces.encoded(docs.select("doc_id", "text"), model, ["ids", "n_tokens", "ids_sha256", "decoded_sha256"]).drop("text")
+    return pieces.encoded(docs, model, ["ids", "n_tokens", "ids_sha256", "decoded_sha256"], keep=["doc_id"])
 
 
 STAGES = [

@@ -1,8 +1,8 @@
 import pytest
 
-from burstline.llm.common import ship_package
+from burstline.llm.common import prepare
 
 
 @pytest.fixture(autouse=True)
 def shipped(spark):
-    ship_package(spark)
+    prepare(spark)
