@@ -7,15 +7,20 @@ from pyspark.sql import functions as F
 
 DEFAULT_ZONE = "GMT"
 DAY_MS = 86_400_000
-# Times and years beyond these cannot be calendar days here, and give null.
-LAST_MS = 253_402_300_799_999
-FIRST_YEAR, LAST_YEAR = 1, 9999
+# Timestamps end here, about year 294,000, less two days for time zones; times and years beyond give null.
+LAST_MS = 9_223_372_036_854_775 - 2 * DAY_MS
+FIRST_YEAR, LAST_YEAR = 1, 294_246
 
 
 def zone_or_default(zone: Column) -> Column:
     return F.coalesce(zone, F.lit(DEFAULT_ZONE))
 
 
+def out_of_range(epoch_ms: Column) -> Column:
+    """Whether a time has no calendar day here."""
+    return ~epoch_ms.between(-LAST_MS, LAST_MS)
+
+
 def day_epoch(epoch_ms: Column, zone: Column) -> Column:
     """Start of the local day that holds a time, as epoch milliseconds."""
     name = zone_or_default(zone)

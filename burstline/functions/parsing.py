@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from burstline.functions.calendar import out_of_range
 from burstline.schema import FIELD_TYPES, NUMBER_ONLY_FIELDS, STRICT_LONG_FIELDS
 
 # The names among numbers, as they may be written, and as a cast reads them.
@@ -91,7 +92,7 @@ def check_number_only(events: DataFrame) -> None:
 
 
 def parse_fields(events: DataFrame, text_fields: tuple[str, ...] = ()) -> DataFrame:
-    """Every known field in its type; ``text_fields`` as text; other columns as they are."""
+    """Every known field in its type; ``text_fields`` besides them as text; other columns as they are."""
     check_number_only(events)
     changes = {
         name: parsed(F.col(name), source, target)
@@ -122,14 +123,19 @@ def quarantined(events: DataFrame) -> DataFrame:
 
 
 def parse_failures(events: DataFrame) -> DataFrame:
-    """How many values of each field could not be read: one pass, one row per field."""
-    fields = [f for f in _typed_fields(events) if not isinstance(f[2], T.BooleanType)]
+    """How many values of each field could not be read: one pass, one row per field.
+
+    ``eventtime.day`` counts times that were read but lie beyond the calendar, so that they have no day.
+    """
+    fields = [f for f in _typed_fields(events) if not isinstance(f[2], (T.BooleanType, T.StringType))]
     counts = [
         F.count_if(F.col(name).isNotNull() & parsed(F.col(name), source, target).isNull())
         for name, source, target in fields
     ]
-    rows = F.array(*[
-        F.struct(F.lit(name).alias("field"), count.alias("failures"))
-        for (name, _, _), count in zip(fields, counts)
-    ])
+    named = [(name, count) for (name, _, _), count in zip(fields, counts)]
+    named += [
+        (f"{name}.day", F.count_if(out_of_range(parsed(F.col(name), source, target))))
+        for name, source, target in fields if name == "eventtime"
+    ]
+    rows = F.array(*[F.struct(F.lit(name).alias("field"), count.alias("failures")) for name, count in named])
     return events.agg(rows.alias("rows")).select(F.inline("rows"))

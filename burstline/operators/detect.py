@@ -36,14 +36,14 @@ def matching(events: DataFrame, rule: Rule) -> DataFrame:
 
 
 def detect(events: DataFrame, rule: Rule) -> DataFrame:
-    """Keys over the threshold with their counts.
+    """Keys over the threshold with their counts: ``n`` of the counted column, ``events`` of all matching rows.
 
     Counts are formed before the shuffle, so one key holding most rows costs one row per task.
     """
     return (
         matching(events, rule)
         .groupBy(*rule.group_keys)
-        .agg(F.count(rule.counted).alias("n"))
+        .agg(F.count(rule.counted).alias("n"), F.count("*").alias("events"))
         .where(F.col("n") > rule.more_than)
     )
 

@@ -6,24 +6,34 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from burstline.operators.detect import Rule, equals, matching
-from burstline.operators.joins import attach
+from burstline.operators.joins import attach, fits_broadcast
+from burstline.session import pin
+
+
+HIT = "_hit"
+
+
+def marked_hits(hits: DataFrame) -> DataFrame:
+    """The hits, pinned, with a constant column that ``drilldown`` filters on."""
+    return pin(hits.withColumn(HIT, F.lit(1)))
 
 
 def drilldown(events: DataFrame, hits: DataFrame, rule: Rule, event_id: str = "eventid",
-              limit: int | None = None) -> DataFrame:
+              few: bool | None = None) -> DataFrame:
     """Whole rows of the matching events whose keys are among ``hits``.
 
-    ``hits`` is used more than once here, so pass it pinned. If it fits a broadcast, the wide
-    event rows are not shuffled at all. Rows with a null key belong to no hit.
+    ``hits`` is used more than once here, so pass it pinned (``marked_hits``). If it fits a broadcast, the wide
+    event rows are not shuffled at all. Rows with a null key belong to no hit. Whatever ``n`` an analyzer gives, a hit is a hit.
+    ``few`` says whether the hits fit a broadcast; they are measured if it is not told.
     """
     keys = rule.group_keys
-    sizes = None
-    if "n" in hits.columns:
-        sizes = hits
-        # True of every count. Given a predicate on the hits, the optimizer skips the partitions
+    sizes = hits.withColumn("n", F.col("events")) if "events" in hits.columns else None
+    if HIT in hits.columns:
+        # True of every row. Given a predicate on the hits, the optimizer skips the partitions
         # of the event table that no hit falls in.
-        hits = hits.where(F.col("n") > 0)
-    return attach(matching(events, rule), hits.select(*keys), keys, "left_semi", [event_id], sizes, limit)
+        hits = hits.where(F.col(HIT) == 1)
+    few = fits_broadcast(hits) if few is None else few
+    return attach(matching(events, rule), hits.select(*keys), keys, "left_semi", [event_id], sizes, few)
 
 
 def drilldown_one(events: DataFrame, rule: Rule, key: dict[str, object]) -> DataFrame:

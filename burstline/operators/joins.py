@@ -1,8 +1,9 @@
-"""Joins of a large table with a lookup whose size is not known beforehand.
+"""Joins of a large table with a lookup.
 
-A lookup is broadcast only after its size was measured. A larger one is joined by shuffle, with
-the frequent keys of the large side spread over salts, more of them the more rows a key has, so
-that a key holding a third of all rows does not end in one task. Both ways give the same rows.
+A lookup that is a table or a pinned result has a size the planner knows: it is broadcast if that is small,
+and else joined by shuffle, where adaptive execution splits large keys. No job runs beforehand for that. Where the rows
+per key of the large side are known anyhow, its frequent keys are spread over salts, more of them the more rows
+a key has, so that a key holding a third of all rows does not end in one task. All ways give the same rows.
 """
 
 from __future__ import annotations
@@ -19,7 +20,6 @@ from burstline.session import pin
 BROADCAST_BYTES = 64 * 1024 * 1024
 # A key with more rows than this is spread, about this many rows to a salt.
 SALT_ROWS = 1_000_000
-HOT_KEYS = 100_000
 # Rows whose key is null match nothing; they are spread over this many salts.
 NULL_SALTS = 1 << 20
 
@@ -50,14 +50,6 @@ def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
     return measure(df).bytes <= (BROADCAST_BYTES if limit is None else limit)
 
 
-def frequent(sizes: DataFrame, keys: list[str], above: int, limit: int = HOT_KEYS) -> DataFrame:
-    """Keys with more than ``above`` rows, by the counts in ``n``: at most ``limit`` of them.
-
-    A key left out has at most ``above`` rows, or at most ``1/limit`` of all rows.
-    """
-    return sizes.where(F.col("n") > above).orderBy(F.desc("n")).limit(limit).select(*keys, "n")
-
-
 def attach(
     rows: DataFrame,
     lookup: DataFrame,
@@ -65,35 +57,33 @@ def attach(
     how: str,
     salt_by: list[str],
     sizes: DataFrame | None = None,
-    limit: int | None = None,
+    small: bool | None = None,
 ) -> DataFrame:
     """``rows.join(lookup, keys, how)`` for a lookup of unknown size and skewed ``keys``.
 
     ``how`` is a join that keeps each left row with its own matches: inner, left, left_semi or
-    left_anti. ``salt_by`` names columns that differ between rows of one key. ``sizes`` gives rows
-    per key in column ``n`` where that is known already. The lookup of an inner or left join should
-    have few rows per key; for a semi or anti join its keys may repeat without bound.
+    left_anti. ``small`` says whether the lookup was measured to fit a broadcast, where that is known. ``sizes`` gives
+    rows per key in column ``n`` where that is known: the frequent keys of a lookup that is not small are then salted by
+    ``salt_by``, columns that differ between rows of one key. The lookup of an inner or left join should have few rows per key; for a semi or anti
+    join its keys may repeat without bound.
     """
     only_tests = how in ("left_semi", "left_anti")
     if only_tests:
         lookup = lookup.select(*keys)
-    if fits_broadcast(lookup, limit):
+    extra = [] if only_tests else [c for c in lookup.columns if c not in keys]
+    if small:
         joined = rows.join(F.broadcast(lookup), keys, how)
     else:
         # Repeated keys go before the join's shuffle, most of them already in the tasks that read them.
-        joined = _salted(rows, lookup.distinct() if only_tests else lookup, keys, how, salt_by, sizes)
-    extra = [] if only_tests else [c for c in lookup.columns if c not in keys]
+        lookup = lookup.distinct() if only_tests else lookup
+        joined = rows.join(lookup, keys, how) if sizes is None else _salted(rows, lookup, keys, how, salt_by, sizes)
     return joined.select(*rows.columns, *extra)
 
 
-def _salted(
-    rows: DataFrame, lookup: DataFrame, keys: list[str], how: str, salt_by: list[str], sizes: DataFrame | None
-) -> DataFrame:
-    if sizes is None:
-        sizes = rows.dropna(subset=keys).groupBy(*keys).agg(F.count("*").alias("n"))
+def _salted(rows: DataFrame, lookup: DataFrame, keys: list[str], how: str, salt_by: list[str], sizes: DataFrame) -> DataFrame:
     salts = F.floor(F.col("n") / F.lit(SALT_ROWS)) + 1
-    # Both sides must use the same hot keys, also when counts tie at the limit: pin them.
-    hot = F.broadcast(pin(frequent(sizes, keys, SALT_ROWS).select(*keys, salts.alias("_salts"))))
+    # One row per SALT_ROWS rows at most; pinned, so that the planner knows its size and both sides see the same.
+    hot = pin(sizes.where(F.col("n") > SALT_ROWS).select(*keys, salts.alias("_salts")))
     no_match = reduce(lambda a, b: a | b, [F.col(key).isNull() for key in keys])
     spread = F.when(no_match, F.lit(NULL_SALTS).cast("long")).otherwise(F.coalesce("_salts", F.lit(1)))
     left = rows.join(hot, keys, "left").withColumn("_salt", F.pmod(F.xxhash64(*salt_by), spread)).drop("_salts")

@@ -7,7 +7,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from burstline.operators.joins import frequent
 from burstline.session import pin
 
 PAGE_SIZE = 1000
@@ -16,7 +15,7 @@ EVENT_ORDER = ("eventtime", "eventid")
 HOT_ROWS = 1_000_000
 # Pages listed from one row at a time.
 PAGES_AT_ONCE = 100_000
-# Up to this row, a page is cut from a top-k; beyond it, from row numbers.
+# Up to this row, a page is cut from a top-k; beyond it, from ranges.
 TOP_ROWS = 10_000
 
 
@@ -40,18 +39,20 @@ def numbered(
 ) -> DataFrame:
     """``row_number() over (partition by keys order by order)`` as column ``name``.
 
-    ``order`` must be unique within a group. ``sizes`` gives rows per group in column ``n``
-    where that is already known. Without ``keys`` all rows are one group.
+    ``order`` must be unique within a group. ``sizes`` gives rows per group in column ``n`` where that is already known;
+    otherwise the rows are pinned, counted, and numbered from there, so that what they come from runs once.
+    Without ``keys`` all rows are one group.
     """
     if not keys:
         return _numbered_by_range(rows, [], order, name)
     if sizes is None:
+        rows = pin(rows)
         sizes = rows.groupBy(*keys).agg(F.count("*").alias("n"))
-    hot = pin(_marked(frequent(sizes, keys, HOT_ROWS if hot_rows is None else hot_rows), keys))
+    # One row per HOT_ROWS rows at most.
+    hot = pin(_marked(sizes.where(F.col("n") > (HOT_ROWS if hot_rows is None else hot_rows)), keys))
     by_window = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("long")
     if hot.isEmpty():
         return rows.withColumn(name, by_window)
-    hot = F.broadcast(hot)
     large = rows.join(hot, _same_group(keys), "left_semi")
     small = rows.join(hot, _same_group(keys), "left_anti").withColumn(name, by_window)
     return small.unionByName(_numbered_by_range(large, keys, order, name))
@@ -78,7 +79,7 @@ def _numbered_by_range(rows: DataFrame, keys: list[str], order: list[str], name:
     shift = F.coalesce(F.sum("_size").over(earlier), F.lit(0)) - F.col("_first")
     shifts = _marked(runs.withColumn("_shift", shift), [*keys, "_piece"], "_shift")
     number = F.col("_at") + F.col("_shift") + 1
-    return placed.join(F.broadcast(shifts), _same_group([*keys, "_piece"])).select(
+    return placed.join(shifts, _same_group([*keys, "_piece"])).select(
         *rows.columns, number.alias(name)
     )
 
@@ -99,19 +100,44 @@ def page_number(
 
 def page(rows: DataFrame, offset: int, page_size: int = PAGE_SIZE,
          order: tuple[str, ...] = EVENT_ORDER) -> DataFrame:
-    """One page of the rows in event order."""
+    """One page of the rows, in event order. Rows that ``order`` does not tell apart may stand on either of two pages.
+
+    A deep page is found by its first and last row: the order columns alone are cut into ranges and counted, the ranges that
+    the page touches are sorted, and only rows between the two ends are read whole.
+    """
     if offset + page_size <= TOP_ROWS:
         return rows.orderBy(*order).offset(offset).limit(page_size)
-    counted = numbered(rows, [], list(order), "_number")
-    return counted.where(F.col("_number").between(offset + 1, offset + page_size)).drop("_number")
-
-
-def page_counts(sizes: DataFrame, keys: list[str], page_size: int = PAGE_SIZE) -> DataFrame:
-    """Rows on each page of each group, from the group sizes alone; pass them pinned.
+    cut = pin(rows.select(*order).repartitionByRange(*order).withColumn("_piece", F.spark_partition_id()))
+    first, last, before, touched = offset + 1, offset + page_size, 0, {}
+    for row in cut.groupBy("_piece").count().orderBy("_piece").collect():  # one row per range
+        if before < last and before + row["count"] >= first:
+            touched[row["_piece"]] = before
+        before += row["count"]
+    if not touched:
+        return rows.limit(0)
+    inside = cut.where(F.col("_piece").isin(list(touched))).select(*order).orderBy(*order)
+    skip = first - 1 - min(touched.values())
+    ends = inside.offset(skip).limit(page_size).select(F.struct(*order).alias("at")).agg(F.min("at").alias("low"), F.max("at").alias("high")).first()
+    if ends["low"] is None:
+        return rows.limit(0)
+    at = F.struct(*order)
+    kinds = rows.select(*order).schema
+    low, high = (F.struct(*[F.lit(end[f.name]).cast(f.dataType).alias(f.name) for f in kinds]) for end in (ends["low"], ends["high"]))
+    found = rows.where((at >= low) & (at <= high))
+    # Rows equal to the first one that belong to earlier pages.
+    skip -= inside.where(at < low).count()
+    if ends["low"][0] is not None:
+        # The scan can use this one.
+        found = found.where(F.col(order[0]).between(ends["low"][0], ends["high"][0]))
+    return found.orderBy(*order).offset(skip).limit(page_size)
+
+
+def page_counts(sizes: DataFrame, keys: list[str], page_size: int = PAGE_SIZE, rows: str = "events") -> DataFrame:
+    """Rows on each page of each group, from the group sizes (column ``rows``) alone; pass them pinned.
 
     A group with a null key has no pages: drilling down into it finds no rows.
     """
-    sizes = sizes.dropna(subset=keys)
+    sizes = sizes.dropna(subset=keys).select(*keys, F.col(rows).alias("n"))
     last = F.floor((F.col("n") - 1) / F.lit(page_size))
     # A large group has many pages: its list is made in parts, and the parts spread over tasks.
     parts = (

@@ -41,23 +41,21 @@ def groups_of_functionality(groups: DataFrame, functionality: str) -> DataFrame:
 def policy_groups(policies: DataFrame, groups: DataFrame) -> DataFrame:
     """Each policy with every resource group it applies to, as column ``rg_id``.
 
-    Two branches, each with a plain key: by functionality where no group is set, else the set one.
+    One join with a plain key: the functionality where no group is set; a set group needs no partner.
     """
-    by_functionality = attach(
-        policies.where(F.col("resourcegroupid") == ALL_GROUPS),
-        groups.select("functionality", F.col("id").cast("long").alias(GROUP)),
-        ["functionality"], "inner", ["id"],
-    )
-    by_group = policies.where(F.col("resourcegroupid") != ALL_GROUPS).withColumn(
-        GROUP, F.col("resourcegroupid").cast("long")
+    by = policies.withColumn("_by", F.when(F.col("resourcegroupid") == ALL_GROUPS, F.col("functionality")))
+    listed = groups.select(F.col("functionality").alias("_by"), F.col("id").cast("long").alias("_group"))
+    own = F.when(F.col("resourcegroupid") != ALL_GROUPS, F.col("resourcegroupid").cast("long"))
+    return (
+        attach(by, listed, ["_by"], "left", ["id"]).withColumn(GROUP, F.coalesce(own, "_group"))
+        .where(F.col(GROUP).isNotNull()).drop("_by", "_group")
     )
-    return by_functionality.unionByName(by_group)
 
 
 def with_category_name(policies: DataFrame, categories: DataFrame) -> DataFrame:
     """``category`` by ``categoryid``; an unknown id has an empty name."""
     names = categories.select(F.col("id").alias("categoryid"), F.col("name").alias("category"))
-    return attach(policies, names, ["categoryid"], "left", ["name"]).withColumn(
+    return attach(policies.drop("category"), names, ["categoryid"], "left", ["name"]).withColumn(
         "category", F.coalesce("category", F.lit(""))
     )
 
@@ -145,14 +143,24 @@ def assign_ids(rows: DataFrame, order: str, columns: dict[str, int]) -> DataFram
 
 def assign_signature_ids(policies: DataFrame, last: str | None = None) -> DataFrame:
     """Text ids counted on from ``last``, or from the first one when that is blank."""
-    start = int(last) if last and last.strip() else FIRST_SIGNATURE_ID
-    return assign_ids(policies, "name", {"signatureid": start}).withColumn(
+    return assign_ids(policies, "name", {"signatureid": _after(last)}).withColumn(
         "signatureid", F.col("signatureid").cast("string")
     )
 
 
+def _after(last: str | None) -> int:
+    return int(last) if last and last.strip() else FIRST_SIGNATURE_ID
+
+
+def last_ids(table: DataFrame, columns: list[str]) -> dict[str, int]:
+    """The largest id in each column, in one pass; 0 where there is none. Text that is no number counts as none."""
+    known = [c for c in columns if c in table.columns]
+    row = table.agg(*[F.max(F.col(c).try_cast("long")).alias(c) for c in known]).first() if known else None
+    return {c: (row[c] if c in known else None) or 0 for c in columns}
+
+
 def last_id(table: DataFrame, column: str = "id") -> int:
-    return table.agg(F.max(column)).first()[0] or 0
+    return last_ids(table, [column])[column]
 
 
 def threat_ids(names: DataFrame, threats: DataFrame) -> DataFrame:
@@ -169,46 +177,75 @@ def threat_ids(names: DataFrame, threats: DataFrame) -> DataFrame:
     )
 
 
-def replace_categories(old: DataFrame, new: DataFrame, categories: DataFrame) -> DataFrame:
-    """The rows of every policy named in ``new`` give way to its rows there."""
-    named = with_category_name(new.withColumn("name", F.col("policyid")), categories).drop("name")
+IDS_OF_CATEGORY = ["riskthreatid", "risktypeid"]
+
+
+def category_rows(policies: DataFrame) -> DataFrame:
+    """The category row of each policy: policy, category, and the policy's threat and risk-type ids."""
+    return policies.select(F.col("id").alias("policyid"), "categoryid", *IDS_OF_CATEGORY, "category")
+
+
+def replace_categories(old: DataFrame, new: DataFrame, categories: DataFrame, policies: DataFrame | None = None) -> DataFrame:
+    """The rows of every policy named in ``new`` give way to its rows there.
+
+    Threat and risk-type ids that ``new`` lacks are those of the policy in ``policies``, null for an unknown policy.
+    """
+    missing = [c for c in IDS_OF_CATEGORY if c in old.columns and c not in new.columns]
+    if missing:
+        if policies is None:
+            raise ValueError(f"the old rows have {missing}: policies are needed to fill them in")
+        ids = policies.select(F.col("id").alias("policyid"), *missing)
+        new = attach(new, ids, ["policyid"], "left", ["policyid", "categoryid"])
+    named = with_category_name(new, categories).select(*old.columns)
     kept = attach(old, new.select("policyid"), ["policyid"], "left_anti", ["policyid", "categoryid"])
     return kept.unionByName(named)
 
 
+# What a new policy sets. Columns that the table of policies lacks are added to it.
+SETTINGS = [
+    "id", "name", "functionality", "categoryid", "category", "criticality", "threatname", "riskthreatid", "risktypeid", "riskname",
+    "violator", "signatureid", "verboseinfotemplate", "grouping_attribute", "level1_meta", "level2_attribute", "level2_meta", *NEW_POLICY,
+]
+
+
 def merge_policies(
     requests: DataFrame,
     policies: DataFrame,
     categories: DataFrame,
     threats: DataFrame,
     last_signature: str | None = None,
-    last_risk_type: int = 0,
+    last_risk_type: int | None = None,
 ) -> DataFrame:
     """``policies`` and a new row for each accepted request whose name is not among them.
 
-    Where several requests share a name, the first by ``request_no`` makes the policy.
+    Where several requests share a name, the first by ``request_no`` makes the policy. Ids go on from the largest
+    in ``policies`` unless the last ones given out are told. ``category_rows`` of the new rows belong into the table of categories.
     """
     accepted = display_config(policy_defaults(validate(requests, policies).where("accepted AND NOT exists")))
     fields = [c for c in accepted.columns if c not in ("policyname", "request_no")]
     first = accepted.groupBy("policyname").agg(
         F.min_by(F.struct(*fields), "request_no").alias("_request")
     ).select(F.col("policyname").alias("name"), "_request.*")
-    start = int(last_signature) if last_signature and last_signature.strip() else FIRST_SIGNATURE_ID
-    made = assign_ids(first, "name", {
-        "id": last_id(policies), "signatureid": start, "risktypeid": last_risk_type,
+    last = last_ids(policies, ["id", "signatureid", "risktypeid"])
+    made = assign_ids(pin(first), "name", {
+        "id": last["id"],
+        "signatureid": max(_after(last_signature), last["signatureid"] if last_signature is None else 0),
+        "risktypeid": last["risktypeid"] if last_risk_type is None else last_risk_type,
     }).withColumns({
         "signatureid": F.col("signatureid").cast("string"),
         "categoryid": F.col("categoryid").cast("int"),
         "threatname": F.col("riskthreatname"),
         "violator": F.col("violationentity"),
         "verboseinfotemplate": F.col("verboseinformation"),
-        "riskname": F.concat("name", F.lit(" Risk")),
+        "riskname": risk_name(F.col("name")),
         **{name: F.lit(value) for name, value in NEW_POLICY.items()},
     })
-    made = with_category_name(made, categories)
-    ids = pin(threat_ids(made, threats).select("threatname", "riskthreatid"))
-    made = attach(made, ids, ["threatname"], "left", ["name"])
-    fill = [c for c in policies.columns if c in made.columns]
+    ids = threat_ids(made, threats).select("threatname", "riskthreatid")
+    made = attach(with_category_name(made, categories), ids, ["threatname"], "left", ["name"])
     return policies.withColumn("is_new", F.lit(False)).unionByName(
-        made.select(*fill).withColumn("is_new", F.lit(True)), allowMissingColumns=True
+        made.select(*SETTINGS).withColumn("is_new", F.lit(True)), allowMissingColumns=True
     )
+
+
+def risk_name(name: Column) -> Column:
+    return F.concat(name, F.lit(" Risk"))

@@ -9,24 +9,40 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from burstline.functions.parsing import parse_fields, quarantined, readable
-from burstline.functions.templates import template_vars
+from burstline.functions.templates import with_parsed_template
 from burstline.operators.detect import Rule, detect
-from burstline.operators.drilldown import drilldown
+from burstline.operators.drilldown import HIT, drilldown, marked_hits
+from burstline.operators.joins import fits_broadcast
 from burstline.operators.policies import policy_groups, with_score
-from burstline.operators.violations import event_day, sentences, tag_policy, with_violation_id
+from burstline.operators.violations import (
+    DISPLAY_FIELDS, VALUES, event_day, sentences, tag_policy, violations_nested, with_values, with_violation_id,
+)
 from burstline.session import pin
-from burstline.sources.activity import scan_activity_multi
+from burstline.sources.activity import scan_activity_multi, skipped_groups
 
 # An analyzer turns events into the keys of violating groups: the columns of
-# ``rule.group_keys``, with a count ``n`` where it has one. The engine does the rest.
+# ``rule.group_keys``, and whatever else it has to say of them. With a column ``events``,
+# the number of matching rows, large groups are spread by it. The engine does the rest.
 Analyzer = Callable[[DataFrame, Rule], DataFrame]
 
 
 @dataclass(frozen=True)
 class Found:
+    """``hits`` with what the analyzer says of them; ``few`` if they were measured to fit a broadcast."""
+
     hits: DataFrame
     events: DataFrame
     rejected: DataFrame
+    few: bool
+
+
+@dataclass(frozen=True)
+class Violations:
+    """``violations``; events of violating groups set ``rejected`` as unreadable; ``skipped`` groups without events."""
+
+    violations: DataFrame
+    rejected: DataFrame
+    skipped: DataFrame
 
 
 def find_events(events: DataFrame, rule: Rule, groups: DataFrame | None = None,
@@ -34,36 +50,58 @@ def find_events(events: DataFrame, rule: Rule, groups: DataFrame | None = None,
     """Violating events of the given groups (column ``rg_id``; all groups if none are given)."""
     if groups is not None:
         events = scan_activity_multi(events, groups)
-    hits = pin(analyzer(events, rule))
-    raw = drilldown(events, hits, rule)
-    return Found(hits, parse_fields(readable(raw)), quarantined(raw))
+    hits = marked_hits(analyzer(events, rule))
+    few = fits_broadcast(hits)
+    raw = drilldown(events, hits, rule, few=few)
+    return Found(hits.drop(HIT), parse_fields(readable(raw)), quarantined(raw), few)
 
 
-def used_columns(policies: DataFrame, events: DataFrame) -> list[str]:
-    """Event columns that some policy's template or display tree names.
+def used_variables(applied: DataFrame, events: DataFrame) -> tuple[list[str], list[tuple[str, str]]]:
+    """Event columns, and totals of them, that some policy's template or display tree names.
 
-    What comes to the driver is at most one name per event column.
+    What comes to the driver is at most three names per event column.
     """
-    names = F.concat(
-        F.coalesce(template_vars(F.col("verboseinfotemplate")), F.array()),
-        F.array("grouping_attribute", "level2_attribute"),
-        F.coalesce("level1_meta", F.array()),
-        F.coalesce("level2_meta", F.array()),
+    keys = F.concat(
+        F.coalesce("template_keys", F.array()), F.array("grouping_attribute", "level2_attribute"),
+        F.coalesce("level1_meta", F.array()), F.coalesce("level2_meta", F.array()),
+        # The verbose values have the event's own value of a variable that the sentence totals.
+        F.coalesce("template_names", F.array()),
     )
-    named = policies.select(F.explode(names).alias("name")).where(F.col("name").isin(events.columns)).distinct()
-    used = {row["name"] for row in named.collect()}
-    return [c for c in events.columns if c in used]
+    parts = F.split("key", r"\$")
+    named = applied.select(F.explode(keys).alias("key")).where(parts[0].isin(events.columns)).distinct()
+    used = {row["key"] for row in named.collect()}
+    totals = [(c, kind) for c in events.columns for kind in ("COUNT", "SUM") if f"{c}${kind}" in used]
+    return [c for c in events.columns if c in used], totals
+
 
+def applied_policies(policies: DataFrame, groups: DataFrame) -> DataFrame:
+    """A row per policy and resource group, templates read, pinned."""
+    return pin(with_parsed_template(policy_groups(policies, groups)))
 
-def describe(events: DataFrame, applied: DataFrame, time: str = "eventtime", zone: str = "tenanttz") -> DataFrame:
+
+def tagged_events(events: DataFrame, applied: DataFrame, keys: list[str] | None = None, few_groups: bool = False) -> DataFrame:
+    """Events with each policy of their group and the values that its texts look up; see ``with_values``."""
+    columns, totals = used_variables(applied, events)
+    return tag_policy(with_values(events, columns, totals, keys, few_groups), applied)
+
+
+def describe(events: DataFrame, applied: DataFrame, keys: list[str] | None = None, few_groups: bool = False,
+             time: str = "eventtime", zone: str = "tenanttz") -> DataFrame:
     """Violating events tagged with each policy of their group, and with id, day and sentence.
 
-    ``applied`` has a row per policy and group, with scores; pass it pinned. Whoever finds
+    ``applied`` comes from ``applied_policies``; ``keys`` name the groups that totals in a template count over. Whoever finds
     violating events in another way than by keys starts here.
     """
-    tagged = with_violation_id(tag_policy(events, applied))
+    tagged = with_violation_id(tagged_events(events, applied, keys, few_groups))
     day = event_day(time, zone if zone in tagged.columns else None)
-    return sentences(tagged.withColumn("day_epoch", day), used_columns(applied, events))
+    return sentences(tagged.withColumn("day_epoch", day)).drop(VALUES, *DISPLAY_FIELDS)
+
+
+def records(events: DataFrame, applied: DataFrame, keys: list[str] | None = None, few_groups: bool = False,
+            time: str = "eventtime", zone: str = "tenanttz") -> DataFrame:
+    """The record to publish: each event with its nested violation, tree and verbose values, and the violation's id."""
+    tagged = with_violation_id(tagged_events(events, applied, keys, few_groups))
+    return violations_nested(tagged, time, zone if zone in tagged.columns else None)
 
 
 def find_violations(
@@ -73,7 +111,10 @@ def find_violations(
     scores: DataFrame,
     rule: Rule,
     analyzer: Analyzer = detect,
-) -> DataFrame:
-    """Violations of a rule among the events of all groups that the policies apply to."""
-    applied = pin(policy_groups(with_score(policies, scores), groups))
-    return describe(find_events(events, rule, applied, analyzer).events, applied)
+) -> Violations:
+    """Violations of a rule among the events of all groups that the policies apply to, and what was left out."""
+    applied = applied_policies(with_score(policies, scores), groups)
+    found = find_events(events, rule, applied, analyzer)
+    return Violations(
+        describe(found.events, applied, rule.group_keys, found.few), found.rejected, skipped_groups(events, applied)
+    )

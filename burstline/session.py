@@ -1,31 +1,25 @@
-"""Session helpers: where checkpoints go, and how an intermediate result is pinned."""
+"""Where intermediate results go, and how one is pinned."""
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def use_checkpoint_folder(spark: SparkSession) -> None:
-    """Use the shared folder the session names; make one up only for local runs."""
-    context = spark.sparkContext
-    if context.getCheckpointDir():
-        return
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the session names for such results, else one beside its tables: all executors reach both."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        context.setCheckpointDir(named)
-        return
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="burstline-checkpoint-"))
+    return named.rstrip("/") if named else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_pinned"
 
 
 def pin(df: DataFrame) -> DataFrame:
-    """Write the rows once to the checkpoint folder and read them from there.
+    """Write the rows once to the shared folder and read them from there.
 
-    Used where a result feeds several branches of a plan: every branch then sees the same
-    rows, nothing upstream runs twice, and a lost executor costs only a re-read.
+    Used where a result feeds several branches of a plan: every branch then sees the same rows, nothing
+    upstream runs twice, a lost executor costs only a re-read, and the planner knows the size from the files,
+    so it broadcasts a small result by itself.
     """
-    use_checkpoint_folder(df.sparkSession)
-    return df.checkpoint()
+    path = f"{shared_folder(df.sparkSession)}/burstline-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

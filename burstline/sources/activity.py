@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
-from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -22,22 +21,23 @@ def scan_activity(events: DataFrame, group: int = 1) -> DataFrame:
     return events.where(F.col(GROUP) == group)
 
 
-def scan_activity_multi(events: DataFrame, groups: DataFrame, event_id: str = "eventid") -> DataFrame:
+def scan_activity_multi(events: DataFrame, groups: DataFrame) -> DataFrame:
     """Events of all given groups (column ``rg_id``) in one scan.
 
-    A short list of groups becomes part of the scan's own filter, so that other groups'
-    partitions are not read; a long one is a semi-join.
+    A short list of groups becomes part of the scan's own filter, so that other groups' partitions are not read. A
+    long one is a semi-join whose small side has a filter, and partitions are skipped while the query runs.
     """
-    wanted = groups.select(GROUP).dropna()
-    some = wanted.distinct().limit(IN_LIST + 1).collect()
+    wanted = groups.select(GROUP).dropna().distinct()
+    some = wanted.limit(IN_LIST + 1).collect()
     if len(some) <= IN_LIST:
         return events.where(F.col(GROUP).isin([row[GROUP] for row in some]))
-    return attach(events, wanted, [GROUP], "left_semi", [event_id])
+    listed = pin(wanted.withColumn("_listed", F.lit(1)))
+    return events.join(listed.where("_listed = 1").select(GROUP), GROUP, "left_semi").select(*events.columns)
 
 
 def skipped_groups(events: DataFrame, groups: DataFrame) -> DataFrame:
-    """Requested groups that have no events to read."""
-    present = pin(events.select(GROUP).distinct())
+    """Requested groups that have no events to read. Only the requested groups are looked for."""
+    present = scan_activity_multi(events, groups).select(GROUP).distinct()
     return attach(groups.select(GROUP).distinct(), present, [GROUP], "left_anti", [GROUP])
 
 
@@ -45,19 +45,28 @@ def table_of_group(group: int) -> str:
     return f"activity{group}incoming"
 
 
+def union_all(tables: list[DataFrame]) -> DataFrame:
+    """One union of many tables. It is built from halves: each table is analysed a few times only."""
+    if len(tables) == 1:
+        return tables[0]
+    half = len(tables) // 2
+    return union_all(tables[:half]).unionByName(union_all(tables[half:]), allowMissingColumns=True)
+
+
 def scan_group_tables(
     spark: SparkSession, groups: Iterable[int], table: Callable[[int], str] = table_of_group
-) -> tuple[DataFrame | None, list[int]]:
-    """Union of the per-group tables that can be read, and the groups left out.
+) -> tuple[DataFrame | None, DataFrame]:
+    """Union of the per-group tables that exist, and the groups left out (column ``rg_id``).
 
-    The tables stay apart in the plan, so a filter on ``rg_id`` drops the others' scans.
+    The tables stay apart in the plan, so a filter on ``rg_id`` drops the others' scans. Only a table that is not there is
+    skipped: any other error is raised.
     """
     found, skipped = [], []
     for group in groups:
         try:
             found.append(spark.table(table(group)).withColumn(GROUP, F.lit(group).cast("long")))
-        except AnalysisException:
-            skipped.append(group)
-    if not found:
-        return None, skipped
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), found), skipped
+        except AnalysisException as error:
+            if error.getCondition() != "TABLE_OR_VIEW_NOT_FOUND":
+                raise
+            skipped.append((group,))
+    return union_all(found) if found else None, spark.createDataFrame(skipped, f"{GROUP} long")

@@ -9,9 +9,8 @@ from pyspark.sql import Window
 
 from burstline.operators import joins
 from burstline.operators.detect import Rule, detect, detect_keys, detect_sql, hits_per_group, matching
-from burstline.operators.drilldown import drilldown, drilldown_one
+from burstline.operators.drilldown import drilldown, drilldown_one, marked_hits
 from burstline.plans.violation_plan import find_events
-from burstline.session import pin
 
 SCHEMA = ("rg_id long, eventid string, accountname string, ipaddress string, message string, "
           "year int, dayofyear int, hour int, minute int")
@@ -30,9 +29,9 @@ def ids(df):
     return sorted(row["eventid"] for row in df.collect())
 
 
-def found(df, limit=None):
-    hits = pin(detect(df, RULE))
-    return hits, drilldown(df, hits, RULE, limit=limit)
+def found(df, few=None):
+    hits = marked_hits(detect(df, RULE))
+    return hits, drilldown(df, hits, RULE, few=few)
 
 
 @pytest.fixture(autouse=True)
@@ -40,7 +39,7 @@ def few_rows_to_a_salt(monkeypatch):
     monkeypatch.setattr(joins, "SALT_ROWS", 4)
 
 
-@pytest.mark.parametrize("limit", [None, 0], ids=["broadcast", "salted"])
+@pytest.mark.parametrize("few", [None, False], ids=["broadcast", "salted"])
 @pytest.mark.parametrize("name, parts, hits, published", [
     ("at threshold", [rows(5)], 0, 0),
     ("over threshold", [rows(6)], 1, 6),
@@ -53,8 +52,8 @@ def few_rows_to_a_salt(monkeypatch):
     ("two groups", [rows(4), rows(4, 10, rg=2)], 0, 0),
     ("two hits", [rows(6), rows(7, 10, account="b"), rows(2, 20, account="c")], 2, 13),
 ], ids=lambda value: value if isinstance(value, str) else None)
-def test_fixture_rows(spark, name, parts, hits, published, limit):
-    found_hits, found_events = found(events(spark, *parts), limit)
+def test_fixture_rows(spark, name, parts, hits, published, few):
+    found_hits, found_events = found(events(spark, *parts), few)
     assert found_hits.count() == hits
     assert found_events.count() == published
 
@@ -77,7 +76,7 @@ def test_salted_join_on_a_key_with_most_rows(spark):
     df = events(spark, rows(400, account="hot"), *[rows(6, 1000 + 10 * i, account=f"u{i}") for i in range(60)],
                 *[rows(3, 5000 + 10 * i, account=f"v{i}") for i in range(20)])
     expected = [str(i) for i in range(400)] + [str(1000 + 10 * i + j) for i in range(60) for j in range(6)]
-    assert ids(found(df, limit=0)[1]) == sorted(expected)
+    assert ids(found(df, few=False)[1]) == sorted(expected)
     assert ids(found(df)[1]) == sorted(expected)
 
 
@@ -139,8 +138,8 @@ def test_plans_push_down_and_prune(spark, tmp_path, capsys):
 
 
 @pytest.mark.parametrize("seed", range(3))
-@pytest.mark.parametrize("limit", [None, 0], ids=["broadcast", "salted"])
-def test_against_brute_force(spark, seed, limit):
+@pytest.mark.parametrize("few", [None, False], ids=["broadcast", "salted"])
+def test_against_brute_force(spark, seed, few):
     """One query per hit, as plain Python: count non-null accounts, then look each key up again."""
     chance = random.Random(seed)
     data = [
@@ -157,6 +156,6 @@ def test_against_brute_force(spark, seed, limit):
     want_hits = {key: n for key, n in counts.items() if n > 5}
     want = sorted(r["eventid"] for key in want_hits if None not in key
                   for r in failed if tuple(r[k] for k in RULE.group_keys) == key)
-    hits, out = found(spark.createDataFrame(data, SCHEMA).repartition(4), limit)
+    hits, out = found(spark.createDataFrame(data, SCHEMA).repartition(4), few)
     assert {tuple(r[k] for k in RULE.group_keys): r["n"] for r in hits.collect()} == want_hits
     assert want and ids(out) == want

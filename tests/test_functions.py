@@ -8,8 +8,8 @@ from pyspark.sql import types as T
 
 from burstline.functions.calendar import day_epoch, minute_epoch
 from burstline.functions.parsing import filled, parse_failures, parse_fields, quarantined, readable
-from burstline.functions.templates import render, render_column, template_vars, value_key, variable_names
-from burstline.schema import BOOLEAN_FIELDS, DOUBLE_FIELDS, FIELD_TYPES, INT_FIELDS, LONG_FIELDS, event_schema
+from burstline.functions.templates import render, render_parsed, template_vars, value_key, variable_names, with_parsed_template
+from burstline.schema import BOOLEAN_FIELDS, DOUBLE_FIELDS, FIELD_TYPES, INT_FIELDS, LONG_FIELDS, TEXT_FIELDS, event_schema
 
 
 def read(spark, field, texts):
@@ -18,8 +18,8 @@ def read(spark, field, texts):
 
 
 def test_field_counts():
-    assert [len(x) for x in (LONG_FIELDS, DOUBLE_FIELDS, INT_FIELDS, BOOLEAN_FIELDS)] == [36, 24, 23, 8]
-    assert len(FIELD_TYPES) == 91
+    assert [len(x) for x in (LONG_FIELDS, DOUBLE_FIELDS, INT_FIELDS, BOOLEAN_FIELDS, TEXT_FIELDS)] == [36, 24, 23, 8, 236]
+    assert len(FIELD_TYPES) == 327
 
 
 def test_event_schema():
@@ -65,9 +65,9 @@ def test_typed_columns_are_kept_or_widened(spark):
 
 
 def test_text_fields_on_request(spark):
-    df = spark.createDataFrame([(5,)], "eventcount int")
-    assert parse_fields(df).dtypes == [("eventcount", "int")]
-    assert parse_fields(df, ("eventcount",)).first()["eventcount"] == "5"
+    df = spark.createDataFrame([(5,)], "elsewhere int")
+    assert parse_fields(df).dtypes == [("elsewhere", "int")]
+    assert parse_fields(df, ("elsewhere",)).first()["elsewhere"] == "5"
 
 
 def test_strict_fields(spark):
@@ -141,7 +141,8 @@ def test_sentences(spark, template, account, ip, want):
 
     names = ["accountname", "ipaddress", "ipaddress$COUNT"]
     values = F.map_from_arrays(F.array(*map(F.lit, names)), F.array(*[F.col(f"`{n}`") for n in names]))
-    row = df.select(render(template, value_of).alias("fixed"), render_column(F.col("template"), values).alias("by_column")).first()
+    parsed = with_parsed_template(df, "template")
+    row = parsed.select(render(template, value_of).alias("fixed"), render_parsed(values).alias("by_column")).first()
     assert (row["fixed"], row["by_column"]) == (want, want)
 
 
@@ -149,3 +150,17 @@ def test_template_variables(spark):
     text = 'a ${x!"d"} ${y$SUM!"e"} ${z} ${bad name} $q'
     assert variable_names(text) == [("x", None), ("y", "SUM"), ("z", None)]
     assert spark.range(1).select(template_vars(F.lit(text))).first()[0] == ["x", "y", "z"]
+
+
+def test_times_beyond_year_9999(spark):
+    """A microsecond epoch taken for milliseconds is a day far off, not an unknown one; what has no day is counted."""
+    times = [1522540800000, 1522540800000000, -1522540800000000, 2**63 - 1, None]
+    df = spark.createDataFrame([(t,) for t in times], "eventtime long")
+    days = [r[0] for r in df.select(day_epoch(F.col("eventtime"), F.lit("GMT"))).collect()]
+    assert days == [1522540800000, 1522540800000000 - 1522540800000000 % 86_400_000, -1522540800000000 - (-1522540800000000) % 86_400_000, None, None]
+    assert {r["field"]: r["failures"] for r in parse_failures(df).collect()} == {"eventtime": 0, "eventtime.day": 1}
+
+
+def test_text_fields_become_text(spark):
+    df = spark.createDataFrame([(5, 7, 1.5)], "eventcount int, ipaddress long, elsewhere double")
+    assert parse_fields(df).dtypes == [("eventcount", "string"), ("ipaddress", "string"), ("elsewhere", "double")]

@@ -5,7 +5,7 @@ import random
 import pytest
 
 from burstline.operators import joins
-from burstline.operators.joins import attach, fits_broadcast, frequent, measure
+from burstline.operators.joins import attach, fits_broadcast, measure
 
 
 @pytest.fixture(scope="module")
@@ -18,12 +18,13 @@ def tables(spark):
             spark.createDataFrame(lookup, "k string, p int, v string"))
 
 
-@pytest.mark.parametrize("limit, salt_rows", [(None, 1), (0, 1_000_000), (0, 7)], ids=["broadcast", "shuffled", "salted"])
+@pytest.mark.parametrize("way", ["small", "unknown", "salted"])
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_same_as_plain_join(tables, how, limit, salt_rows, monkeypatch):
-    monkeypatch.setattr(joins, "SALT_ROWS", salt_rows)
+def test_same_as_plain_join(tables, how, way, monkeypatch):
+    monkeypatch.setattr(joins, "SALT_ROWS", 7)
     rows, lookup = tables
-    got = attach(rows, lookup, ["k", "p"], how, ["id"], limit=limit)
+    sizes = rows.dropna(subset=["k"]).groupBy("k", "p").count().withColumnRenamed("count", "n") if way == "salted" else None
+    got = attach(rows, lookup, ["k", "p"], how, ["id"], sizes, way == "small" or None)
     want = rows.join(lookup, ["k", "p"], how)
     assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect()))
     assert got.columns[:3] == rows.columns
@@ -41,7 +42,7 @@ def test_hot_key_is_spread(tables, monkeypatch):
         return plain(self, other, on, how)
 
     monkeypatch.setattr(type(rows), "join", spy)
-    attach(rows, rows.select("k"), ["k"], "left_semi", ["id"], limit=0)
+    attach(rows, rows.select("k"), ["k"], "left_semi", ["id"], rows.groupBy("k").count().withColumnRenamed("count", "n"))
     hot = [n for (k, _), n in seen.items() if k == "hot"]
     assert sum(hot) == 100 and len(hot) >= 9 and max(hot) <= 30
     assert max(n for (k, _), n in seen.items() if k is None) <= 3
@@ -50,9 +51,9 @@ def test_hot_key_is_spread(tables, monkeypatch):
 def test_keys_that_repeat_in_the_lookup_are_merged_before_the_join(spark, tables):
     rows, _ = tables
     lookup = spark.range(4000).selectExpr("CASE WHEN id % 3 = 0 THEN 'hot' ELSE cast(id AS string) END AS k")
-    got = attach(rows, lookup, ["k"], "left_semi", ["id"], limit=0)
+    got = attach(rows, lookup, ["k"], "left_semi", ["id"])
     assert got.count() == rows.where("k = 'hot'").count() == 100
-    assert attach(rows, lookup, ["k"], "left_anti", ["id"], limit=0).count() == 230
+    assert attach(rows, lookup, ["k"], "left_anti", ["id"]).count() == 230
 
 
 def test_measure(spark, tables):
@@ -64,8 +65,3 @@ def test_measure(spark, tables):
     assert measure(nested).bytes > 16
     assert not fits_broadcast(rows, 10)
 
-
-def test_frequent_keys_are_bounded(spark):
-    sizes = spark.createDataFrame([(str(i), i) for i in range(50)], "k string, n int")
-    assert [r["k"] for r in frequent(sizes, ["k"], 10, 3).collect()] == ["49", "48", "47"]
-    assert frequent(sizes, ["k"], 47, 100).count() == 2

@@ -52,22 +52,47 @@ def test_pages(spark, count, pages, hot_rows):
     paged = page_number(df, ["k"], 2, hot_rows=hot_rows)
     assert [r["page"] for r in paged.orderBy("eventtime").collect()] == pages
     sizes = df.groupBy("k").agg(F.count("*").alias("n"))
-    counts = {r["page"]: r["events"] for r in page_counts(sizes, ["k"], 2).collect()}
+    counts = {r["page"]: r["events"] for r in page_counts(sizes, ["k"], 2, rows="n").collect()}
     assert counts == {p: pages.count(p) for p in set(pages)}
 
 
-@pytest.mark.parametrize("top_rows", [10_000, 0], ids=["top-k", "numbers"])
+@pytest.mark.parametrize("top_rows", [10_000, 0], ids=["top-k", "ranges"])
 def test_one_page(rows, monkeypatch, top_rows):
     monkeypatch.setattr(paging, "TOP_ROWS", top_rows)
     df, data = rows
     order = [event for _, _, event in sorted(data, key=lambda d: d[1:])]
-    assert sorted(r["eventid"] for r in page(df, 20, 10).collect()) == sorted(order[20:30])
-    assert page(df, 595, 10).count() == 5
-    assert page(df, 600, 10).count() == 0
+    for offset, size in ((20, 10), (0, 7), (190, 200), (595, 10), (600, 10), (10_000, 5)):
+        assert [r["eventid"] for r in page(df, offset, size).collect()] == order[offset : offset + size]
 
 
+@pytest.mark.parametrize("top_rows", [10_000, 0])
+def test_pages_of_equal_and_null_times(spark, monkeypatch, top_rows):
+    """Pages are full and in order also where the order does not tell rows apart, or is null."""
+    monkeypatch.setattr(paging, "TOP_ROWS", top_rows)
+    df = spark.createDataFrame([(None if i % 4 == 0 else i // 10, i) for i in range(200)], "eventtime long, no long").repartition(4)
+    times = [None] * 50 + sorted(i // 10 for i in range(200) if i % 4)
+    for offset in (0, 45, 60, 150, 195):
+        assert [r["eventtime"] for r in page(df, offset, 10, ("eventtime",)).collect()] == times[offset : offset + 10]
+
+
+def test_deep_page_reads_only_between_its_ends(spark, monkeypatch, tmp_path, capsys):
+    monkeypatch.setattr(paging, "TOP_ROWS", 0)
+    spark.range(1000).selectExpr("id AS eventtime", "cast(id AS string) AS eventid", "repeat('x', 10) AS wide").write.parquet(f"{tmp_path}/t")
+    found = page(spark.read.parquet(f"{tmp_path}/t"), 500, 10)
+    found.explain("formatted")
+    assert "GreaterThanOrEqual(eventtime,500), LessThanOrEqual(eventtime,509)" in capsys.readouterr().out
+    assert [r["eventtime"] for r in found.collect()] == list(range(500, 510))
+
+
+def test_numbering_runs_its_input_once(rows):
+    df, data = rows
+    seen = df.sparkSession.sparkContext.accumulator(0)
+    counted = df.rdd.map(lambda r: (seen.add(1), r)[1]).toDF(df.schema)
+    assert numbered(counted, ["k"], ["eventtime", "eventid"], "no", hot_rows=150).count() == len(data)
+    assert seen.value == len(data)
+
 def test_page_counts_of_a_large_group(spark, monkeypatch):
     monkeypatch.setattr(paging, "PAGES_AT_ONCE", 3)
     sizes = spark.createDataFrame([("big", 41), ("small", 4), ("none", 0), (None, 9)], "k string, n long")
-    got = sorted(tuple(r) for r in page_counts(sizes, ["k"], 4).collect())
+    got = sorted(tuple(r) for r in page_counts(sizes, ["k"], 4, rows="n").collect())
     assert got == [("big", p, 4) for p in range(10)] + [("big", 10, 1), ("small", 0, 4)]

@@ -142,3 +142,41 @@ def test_merge(spark, policies, categories):
     assert (new["riskthreatid"], also["riskthreatid"]) == (4, 5)
     assert also["level1_meta"] == ["a", "b"] and new["level1_meta"] is None
     assert not got["one"]["is_new"] and new["is_new"]
+
+
+def test_merge_goes_on_from_the_ids_in_the_table(spark, policies, categories):
+    table = policies.withColumns({"signatureid": F.when(F.col("id") == 9, "old").otherwise("1000001"), "risktypeid": F.lit(1).cast("long")})
+    threats = spark.createDataFrame([("Lateral Movement", 4)], "name string, id long")
+    rows = [request(1, name="new", sentence="s ${a}", group="g", level1=("a", None, None), primary="ip", level2=("b", None, None))]
+    got = {r["name"]: r for r in p.merge_policies(spark.createDataFrame(rows, REQUEST), table, categories, threats).collect()}
+    new = got["new"]
+    assert (new["id"], new["signatureid"], new["risktypeid"]) == (10, "1000002", 2)
+    # Settings that the table has no column for are not lost.
+    assert (new["verboseinfotemplate"], new["grouping_attribute"], new["level1_meta"], new["level2_attribute"], new["level2_meta"]) == (
+        "s ${a}", "g", ["a"], "ip", ["b"])
+    assert got["one"]["level1_meta"] is None and got["two"]["risktypeid"] == 1
+
+
+def test_category_rows_of_new_policies(spark, policies, categories):
+    table = policies.withColumns({"riskthreatid": F.col("id") + 500, "risktypeid": F.col("id") + 900})
+    threats = spark.createDataFrame([("Lateral Movement", 4)], "name string, id long")
+    merged = p.merge_policies(spark.createDataFrame([request(1, name="new", category="5")], REQUEST), table, categories, threats)
+    rows = [tuple(r) for r in p.category_rows(merged.where("is_new")).collect()]
+    assert rows == [(10, 5, 4, 910, "FRAUD")]
+
+
+def test_replaced_categories_take_the_policies_ids(spark, policies, categories):
+    table = policies.withColumns({"riskthreatid": F.col("id") + 500, "risktypeid": F.col("id") + 900})
+    old = p.category_rows(p.with_category_name(table, categories))
+    new = spark.createDataFrame([(1, 5), (3, 5)], "policyid long, categoryid int")
+    got = {tuple(r) for r in p.replace_categories(old, new, categories, table).collect()}
+    assert got == {(2, 99, 502, 902, ""), (9, 11, 509, 909, "ALERT"), (1, 5, 501, 901, "FRAUD"), (3, 5, None, None, "FRAUD")}
+    with pytest.raises(ValueError, match="riskthreatid"):
+        p.replace_categories(old, new, categories)
+
+
+def test_groups_with_nulls(spark):
+    rows = [(1, None, "Audit"), (2, -1, None), (3, -1, "Audit"), (4, 8, None)]
+    groups = spark.createDataFrame([(5, "Audit"), (6, None)], "id long, functionality string")
+    got = {(r["id"], r["rg_id"]) for r in p.policy_groups(spark.createDataFrame(rows, "id long, resourcegroupid long, functionality string"), groups).collect()}
+    assert got == {(3, 5), (4, 8)}

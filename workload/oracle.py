@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from burstline.fixed_values import CATEGORIES, CRITICALITIES, ENTITIES, FUNCTIONALITIES, THREATS
-from workload.tables import SCORES, SENTENCE
+from workload.tables import ABSENT_GROUP, SCORES, SENTENCE
 
 
 def quoted(text: str) -> str:
@@ -31,7 +31,7 @@ ACTIVITY = """activity AS (
   FROM events e JOIN customer c ON e.user_id = c.c_custkey)"""
 
 HITS = ACTIVITY + """, hits AS (
-  SELECT rg_id, accountname, year, dayofyear, count(accountname) AS n FROM activity
+  SELECT rg_id, accountname, year, dayofyear, count(accountname) AS n, count(*) AS events FROM activity
   WHERE message = 'error' GROUP BY ALL HAVING count(accountname) > 2)"""
 
 FOUND = HITS + """, found AS (
@@ -72,11 +72,14 @@ SEGMENTS = CUSTOMERS + f""", segments AS (
 CATEGORY_TABLE = f"categories(id, name) AS (VALUES {values(CATEGORIES)})"
 SCORE_TABLE = f"scores(criticality, score) AS (VALUES {values(SCORES)})"
 
-TAGGED = FOUND + ", " + SEGMENTS + ", " + CATEGORY_TABLE + ", " + SCORE_TABLE + """, tagged AS (
+TAGGED = FOUND + """, totals AS (
+  SELECT rg_id, accountname, year, dayofyear, count(transactionstring1) AS total_count,
+    CAST(sum(CAST(bytesout AS DECIMAL(18, 2))) AS DECIMAL(38, 2)) AS total_sum FROM found GROUP BY ALL)""" + ", " + SEGMENTS + ", " + CATEGORY_TABLE + ", " + SCORE_TABLE + """, tagged AS (
   SELECT f.*, a.id AS policy_id, a.name AS policy_name, a.violator, a.riskthreatid AS risk_threat_id,
     a.threatname AS risk_threat_name, a.risktypeid AS risk_type_id, a.categoryid AS category_id,
-    coalesce(k.name, '') AS category, CAST(s.score AS DOUBLE) AS risk_score, a.segment
+    coalesce(k.name, '') AS category, CAST(s.score AS DOUBLE) AS risk_score, a.segment, t.total_count, t.total_sum
   FROM found f JOIN applied a ON f.rg_id = a.rg_id
+  JOIN totals t ON t.rg_id = f.rg_id AND t.accountname = f.accountname AND t.year = f.year AND t.dayofyear = f.dayofyear
   LEFT JOIN categories k ON k.id = a.categoryid LEFT JOIN scores s ON s.criticality = a.criticality)"""
 
 REQUESTS = f"""requests AS (
@@ -113,6 +116,33 @@ CHECKED = POLICIES + ", " + REQUESTS + f""", checked AS (
   FROM requests r LEFT JOIN existing e ON e.name = r.policyname)"""
 ACCEPTED = "name_ok AND category_ok AND threat_ok AND functionality_ok AND criticality_ok AND entity_ok"
 
+MERGED = CHECKED + ", " + CATEGORY_TABLE + f""", picked AS (
+    SELECT * FROM checked WHERE {ACCEPTED} AND NOT "exists" QUALIFY row_number() OVER (PARTITION BY policyname ORDER BY request_no) = 1),
+  threat_names AS (SELECT DISTINCT riskthreatname FROM picked),
+  threat_made AS (SELECT riskthreatname, (SELECT max(id) FROM known_threats) + row_number() OVER (ORDER BY riskthreatname) AS id
+    FROM threat_names WHERE riskthreatname NOT IN (SELECT name FROM known_threats)),
+  threat_all AS (SELECT name, id FROM known_threats UNION ALL SELECT riskthreatname, id FROM threat_made),
+  made AS (SELECT p.*, row_number() OVER (ORDER BY policyname) AS no FROM picked p),
+  merged AS (
+    SELECT id, name, functionality, resourcegroupid, categoryid, criticality, id + 500 AS riskthreatid, id + 900 AS risktypeid,
+      CASE WHEN id % 2 = 0 THEN 'old' ELSE CAST(id + 1000000 AS VARCHAR) END AS signatureid, false AS is_new,
+      NULL::VARCHAR AS category, NULL::VARCHAR AS threatname, NULL::VARCHAR AS riskname, NULL::VARCHAR AS violator,
+      NULL::VARCHAR AS verboseinfotemplate, NULL::VARCHAR AS grouping_attribute, NULL::VARCHAR AS level1_meta,
+      NULL::VARCHAR AS level2_attribute, NULL::VARCHAR AS level2_meta, NULL::INTEGER AS resourcetypeid, NULL::VARCHAR AS type,
+      NULL::VARCHAR AS analyticstype, NULL::VARCHAR AS targetworkflow, NULL::INTEGER AS weight, NULL::VARCHAR AS createdby,
+      NULL::VARCHAR AS updatedby, NULL::BOOLEAN AS dashboarddisplay, NULL::BOOLEAN AS enabled FROM existing
+    UNION ALL
+    SELECT (SELECT max(id) FROM existing) + no, policyname, m.functionality, -1, CAST(m.categoryid AS INTEGER),
+      coalesce(CASE WHEN trim(criticality) <> '' THEN criticality END, 'Low'), t.id, (SELECT max(id) + 900 FROM existing) + no,
+      CAST((SELECT max(id) + 1000000 FROM existing WHERE id % 2 = 1) + no AS VARCHAR), true, coalesce(c.name, ''), riskthreatname,
+      policyname || ' Risk', coalesce(violationentity, 'Activityaccount'), nullif(trim(verboseinformation), ''), nullif(trim(grouping_attribute), ''),
+      CASE WHEN trim(grouping_attribute) <> '' THEN concat_ws(',', nullif(trim(l1a), ''), nullif(trim(l1b), ''), nullif(trim(l1c), '')) END,
+      nullif(trim(level2_primaryattribute), ''),
+      CASE WHEN trim(level2_primaryattribute) <> '' THEN nullif(concat_ws(',', nullif(trim(l2a), ''), nullif(trim(l2b), ''), nullif(trim(l2c), '')), '') END,
+      -1, 'HDFS', 'CUSTOM', 'PolicyOutlierWorkflow', 1, 'admin', 'admin', true, true
+    FROM made m LEFT JOIN categories c ON c.id = CAST(m.categoryid AS INTEGER)
+    JOIN threat_all t ON t.name = m.riskthreatname)"""
+
 RAW = """raw AS (
   SELECT CAST(event_id AS VARCHAR) AS eventid, event_type AS kind, value, user_id,
     CAST(epoch_us(ts) // 1000 AS VARCHAR) AS ms, json_extract_string(props, '$.k') AS k FROM events),
@@ -149,9 +179,17 @@ FIXED_SENTENCE = (
 )
 POLICY_SENTENCE = f"""CASE segment WHEN 'BUILDING' THEN {FIXED_SENTENCE}
     WHEN 'FURNITURE' THEN message || ' by ' || accountname || ' [n/a]'
+    WHEN 'AUTOMOBILE' THEN 'Account ' || {filled('accountname', 'ACCOUNTNAME')} || ' performed a total of ' || total_count
+      || ' uploads amounting to ' || coalesce(CAST(total_sum AS VARCHAR), 'UNKNOWN')
     WHEN 'MACHINERY' THEN NULL ELSE '' END"""
+VERBOSE = """CASE segment
+    WHEN 'BUILDING' THEN concat_ws(',', 'accountname=' || accountname, 'ipaddress=' || ipaddress, 'transactionstring1=' || transactionstring1)
+    WHEN 'FURNITURE' THEN concat_ws(',', 'accountname=' || accountname, 'message=' || message)
+    WHEN 'AUTOMOBILE' THEN concat_ws(',', 'accountname=' || accountname, 'bytesout=' || bytesout, 'transactionstring1=' || transactionstring1)
+    ELSE '' END"""
 VIOLATION_ID = "sha256(policy_id || '|' || rg_id || '|' || eventid)"
-TREE = """SELECT policy_id, eventid, """ + DAY + """ AS day_epoch, accountname AS root,
+TREE = """SELECT policy_id, policy_name, violator, risk_threat_id, risk_threat_name, risk_type_id, category_id, category, risk_score,
+    eventid, """ + VIOLATION_ID + """ AS key, """ + VERBOSE + """ AS verbose_values, """ + DAY + """ AS day_epoch, accountname AS root,
     CASE WHEN segment <> 'FURNITURE' THEN message END AS level1,
     CASE WHEN segment <> 'FURNITURE' THEN concat_ws('/', transactionstring1, categorybehavior) ELSE '' END AS level1_meta,
     CASE WHEN segment <> 'HOUSEHOLD' THEN ipaddress END AS level2,
@@ -161,7 +199,10 @@ TREE = """SELECT policy_id, eventid, """ + DAY + """ AS day_epoch, accountname A
 def oracle_sql() -> dict[str, str]:
     key_columns = "rg_id, accountname, year, dayofyear"
     new_categories = """requested AS (SELECT DISTINCT o_custkey + 1 AS policyid, CAST(o_custkey % 13 AS INTEGER) AS categoryid
-      FROM orders WHERE o_orderstatus = 'P')"""
+      FROM orders)"""
+    flat_record = """eventid, 1 AS violations, policy_id, policy_name, violator, risk_threat_id, risk_threat_name, risk_type_id,
+      category_id, category, risk_score, day_epoch, day_epoch AS verbose_day, root,
+      level1, level1_meta, level2, level2_meta, verbose_values"""
     return {
         "scan_activity": f"WITH {ACTIVITY} SELECT * FROM activity WHERE rg_id = 1",
         "scan_activity_multi": f"WITH {ACTIVITY}, {NATION_GROUPS} SELECT * FROM activity WHERE rg_id IN "
@@ -176,7 +217,7 @@ def oracle_sql() -> dict[str, str]:
         "detect_sql": f"WITH {ACTIVITY} SELECT accountname, ipaddress, count(accountname) AS n FROM activity "
             "WHERE message = 'error' GROUP BY ALL HAVING count(accountname) > 1",
         "burst_hits": f"""WITH {ACTIVITY} SELECT rg_id, accountname, ipaddress, year, dayofyear, hour, minute,
-            count(accountname) AS n FROM activity WHERE message = 'error' GROUP BY ALL HAVING count(accountname) > 0""",
+            count(accountname) AS n, count(*) AS events FROM activity WHERE message = 'error' GROUP BY ALL HAVING count(accountname) > 0""",
         "hits_per_group": f"WITH {HITS} SELECT rg_id, count(*) AS hits FROM hits GROUP BY rg_id",
         "drilldown": f"WITH {FOUND} SELECT * FROM found",
         "drilldown_one": f"""WITH {FOUND} SELECT * FROM found WHERE ({key_columns}) IN (
@@ -186,7 +227,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT a.* FROM activity a SEMI JOIN wide w ON a.rg_id = w.rg_id AND a.accountname = w.accountname
             WHERE a.message = 'error'""",
         "policy_by_id": f"WITH {POLICIES} SELECT id, name, functionality FROM policies WHERE id IN "
-            "(SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')",
+            "(SELECT o_custkey FROM orders)",
         "policy_by_name": f"WITH {POLICIES}, {REQUESTS} SELECT request_no, policyname, e.id AS policy_id "
             "FROM requests r LEFT JOIN existing e ON e.name = r.policyname",
         "rgs_for_functionality": f"WITH {NATION_GROUPS} SELECT s_suppkey AS id FROM supplier JOIN nation_groups "
@@ -216,46 +257,40 @@ def oracle_sql() -> dict[str, str]:
         "validate_policies": f"WITH {CHECKED} SELECT request_no, policyname, \"exists\", name_ok, category_ok, threat_ok, "
             f"functionality_ok, criticality_ok, entity_ok, functionality_listed, threat_listed, {ACCEPTED} AS accepted FROM checked",
         "replace_categories": f"""WITH {POLICIES}, {CATEGORY_TABLE}, {new_categories}
-            SELECT p.id AS policyid, p.categoryid, coalesce(c.name, '') AS category FROM policies p
-            LEFT JOIN categories c ON c.id = p.categoryid WHERE p.id NOT IN (SELECT policyid FROM requested)
-            UNION ALL SELECT r.policyid, r.categoryid, coalesce(c.name, '') FROM requested r
-            LEFT JOIN categories c ON c.id = r.categoryid""",
+            SELECT p.id AS policyid, p.categoryid, p.id + 500 AS riskthreatid, p.id + 900 AS risktypeid, coalesce(c.name, '') AS category
+            FROM policies p LEFT JOIN categories c ON c.id = p.categoryid WHERE p.id NOT IN (SELECT policyid FROM requested)
+            UNION ALL SELECT r.policyid, r.categoryid, p.id + 500, p.id + 900, coalesce(c.name, '') FROM requested r
+            LEFT JOIN policies p ON p.id = r.policyid LEFT JOIN categories c ON c.id = r.categoryid""",
         "assign_signature_ids": f"WITH {POLICIES} SELECT name, CAST(1000000 + row_number() OVER (ORDER BY name) AS VARCHAR) AS signatureid FROM policies",
-        "merge_policies": f"""WITH {CHECKED}, {CATEGORY_TABLE}, picked AS (
-              SELECT * FROM checked WHERE {ACCEPTED} AND NOT "exists"
-              QUALIFY row_number() OVER (PARTITION BY policyname ORDER BY request_no) = 1),
-            threat_names AS (SELECT DISTINCT riskthreatname FROM picked),
-            threat_made AS (SELECT riskthreatname, (SELECT max(id) FROM known_threats) + row_number() OVER (ORDER BY riskthreatname) AS id
-              FROM threat_names WHERE riskthreatname NOT IN (SELECT name FROM known_threats)),
-            threat_all AS (SELECT name, id FROM known_threats UNION ALL SELECT riskthreatname, id FROM threat_made),
-            made AS (SELECT p.*, row_number() OVER (ORDER BY policyname) AS no FROM picked p)
-            SELECT id, name, functionality, resourcegroupid, CAST(categoryid AS INTEGER) AS categoryid, criticality,
-              NULL::VARCHAR AS category, NULL::VARCHAR AS threatname, NULL::BIGINT AS riskthreatid, NULL::BIGINT AS risktypeid,
-              NULL::VARCHAR AS riskname, NULL::VARCHAR AS violator, NULL::VARCHAR AS signatureid, NULL::VARCHAR AS type,
-              NULL::BOOLEAN AS enabled, NULL::VARCHAR AS level2_attribute, false AS is_new FROM existing
-            UNION ALL
-            SELECT (SELECT max(id) FROM existing) + no, policyname, m.functionality, -1, CAST(m.categoryid AS INTEGER),
-              coalesce(CASE WHEN trim(criticality) <> '' THEN criticality END, 'Low'), coalesce(c.name, ''), riskthreatname, t.id, no,
-              policyname || ' Risk', coalesce(violationentity, 'Activityaccount'), CAST(1000000 + no AS VARCHAR), 'HDFS', true,
-              nullif(trim(level2_primaryattribute), ''), true
-            FROM made m LEFT JOIN categories c ON c.id = CAST(m.categoryid AS INTEGER)
-            JOIN threat_all t ON t.name = m.riskthreatname""",
+        "merge_policies": f"""WITH {MERGED} SELECT * FROM merged""",
+        "merged_categories": f"""WITH {MERGED} SELECT m.id AS policyid, m.categoryid, m.riskthreatid, m.risktypeid, coalesce(c.name, '') AS category
+            FROM merged m LEFT JOIN categories c ON c.id = m.categoryid""",
+        "page_deep": "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice FROM lineitem ORDER BY ALL LIMIT 500 OFFSET 30000",
+        "group_tables": f"""WITH {ACTIVITY} SELECT rg_id, eventid, false AS skipped FROM activity WHERE rg_id <> {ABSENT_GROUP}
+            UNION ALL SELECT {ABSENT_GROUP}, NULL, true""",
+        "rejected_events": f"""WITH {TAGGED} SELECT eventid, count(*) AS violations, NULL::VARCHAR AS tenantid FROM tagged
+            WHERE hour % 5 <> 0 GROUP BY eventid
+            UNION ALL SELECT eventid, 0, 'x' FROM found WHERE hour % 5 = 0""",
+        "analyzer_without_count": f"WITH {FOUND} SELECT * FROM found",
         "page_one": f"WITH {FOUND} SELECT * FROM found ORDER BY eventtime, eventid LIMIT 10 OFFSET 5",
         "page_number": f"""WITH {FOUND} SELECT eventid, {key_columns}, CAST((row_number() OVER (PARTITION BY {key_columns}
             ORDER BY eventtime, eventid) - 1) // 2 AS BIGINT) AS page FROM found""",
         "page_number_all": f"""WITH {ACTIVITY} SELECT eventid, message, CAST((row_number() OVER (PARTITION BY message
             ORDER BY eventtime, eventid) - 1) // 1000 AS BIGINT) AS page FROM activity""",
-        "violations_per_page": f"""WITH {FOUND}, paged AS (SELECT {key_columns}, CAST((row_number() OVER (PARTITION BY {key_columns}
-            ORDER BY eventtime, eventid) - 1) // 2 AS BIGINT) AS page FROM found)
+        "violations_per_page": f"""WITH {ACTIVITY}, heavy AS (SELECT {key_columns} FROM activity WHERE message = 'error' GROUP BY ALL
+              HAVING count(transactionstring1) > 1),
+            paged AS (SELECT {key_columns}, CAST((row_number() OVER (PARTITION BY {key_columns}
+            ORDER BY eventtime, eventid) - 1) // 2 AS BIGINT) AS page FROM activity JOIN heavy USING ({key_columns}) WHERE message = 'error')
             SELECT {key_columns}, page, count(*) AS events FROM paged GROUP BY ALL""",
-        "parse_fields": f"WITH {RAW} SELECT eventid, eventtime, destinationport, transactionnumber1, u_encrypted, tenantid, rg_riskscore, message FROM typed",
+        "parse_fields": f"WITH {RAW} SELECT eventid, CAST(length(eventid) AS VARCHAR) AS eventcount, eventtime, destinationport, transactionnumber1, u_encrypted, tenantid, rg_riskscore, message FROM typed",
         "parse_strict": f"WITH {RAW} SELECT eventid, tenantid, tenantid IS NULL AS quarantined FROM typed",
         "parse_failures": f"""WITH {RAW}
             SELECT 'eventtime' AS field, count(*) FILTER (time_text IS NOT NULL AND eventtime IS NULL) AS failures FROM typed
             UNION ALL SELECT 'destinationport', count(*) FILTER (port_text IS NOT NULL AND destinationport IS NULL) FROM typed
             UNION ALL SELECT 'transactionnumber1', count(*) FILTER (number_text IS NOT NULL AND transactionnumber1 IS NULL) FROM typed
             UNION ALL SELECT 'tenantid', count(*) FILTER (tenant_text IS NOT NULL AND tenantid IS NULL) FROM typed
-            UNION ALL SELECT 'rg_riskscore', count(*) FILTER (rg_riskscore IS NULL) FROM typed""",
+            UNION ALL SELECT 'rg_riskscore', count(*) FILTER (rg_riskscore IS NULL) FROM typed
+            UNION ALL SELECT 'eventtime.day', 0""",
         "day_epoch": f"WITH {ACTIVITY} SELECT eventid, tenanttz, {DAY} AS day_epoch FROM activity",
         "template_vars": f"WITH {REQUESTS} SELECT request_no, array_to_string(regexp_extract_all(verboseinformation, "
             "'\\$\\{([A-Za-z0-9_]+)(?:\\$(COUNT|SUM))?(?:!\"([^\"]*)\")?\\}', 1), ',') AS variables FROM requests",
@@ -266,10 +301,12 @@ def oracle_sql() -> dict[str, str]:
             || coalesce(CAST(CAST(sum(CAST(bytesout AS DECIMAL(18, 2))) AS DECIMAL(38, 2)) AS VARCHAR), 'UNKNOWN') AS sentence
             FROM found GROUP BY {key_columns}""",
         "verbose_values": f"""WITH {TAGGED}, long AS (
-              SELECT policy_id, eventid, {DAY} AS day_epoch, segment, unnest(['accountname', 'transactionstring1', 'ipaddress', 'message']) AS variable,
-                unnest([accountname, transactionstring1, ipaddress, message]) AS value FROM tagged)
+              SELECT policy_id, eventid, {DAY} AS day_epoch, segment, unnest(['accountname', 'transactionstring1', 'ipaddress', 'message', 'bytesout']) AS variable,
+                unnest([accountname, transactionstring1, ipaddress, message, CAST(bytesout AS VARCHAR)]) AS value FROM tagged)
             SELECT policy_id, eventid, day_epoch, variable, value FROM long WHERE value IS NOT NULL AND
-              ((segment = 'BUILDING' AND variable <> 'message') OR (segment = 'FURNITURE' AND variable IN ('message', 'accountname')))""",
+              ((segment = 'BUILDING' AND variable IN ('accountname', 'transactionstring1', 'ipaddress')) OR
+                (segment = 'FURNITURE' AND variable IN ('message', 'accountname')) OR
+                (segment = 'AUTOMOBILE' AND variable IN ('accountname', 'transactionstring1', 'bytesout')))""",
         "tag_policy": f"""WITH {TAGGED} SELECT rg_id, eventid, eventtime, accountname, ipaddress, policy_id, policy_name, violator,
             risk_threat_id, risk_threat_name, risk_type_id, category_id, category, risk_score FROM tagged""",
         "violations": f"""WITH {TAGGED} SELECT {VIOLATION_ID} AS violation_id, rg_id, eventid, eventtime, accountname, policy_id,
@@ -277,9 +314,6 @@ def oracle_sql() -> dict[str, str]:
         "violation_tree": f"""WITH {TAGGED}, nodes AS ({TREE})
             SELECT policy_id, day_epoch, root, level1, level1_meta, level2, level2_meta, count(*) AS events FROM nodes GROUP BY ALL""",
         "violations_nested": f"""WITH {TAGGED}, nodes AS ({TREE})
-            SELECT eventid, 1 AS violations, policy_id, day_epoch, level1, level2,
-              level1_meta FROM nodes""",
-        "violations_json": f"""WITH {TAGGED} SELECT {VIOLATION_ID} AS key, CAST(to_json({{'rg_id': rg_id, 'eventid': eventid,
-            'accountname': accountname, 'policy_id': policy_id, 'policy_name': policy_name, 'category': category,
-            'violation_id': {VIOLATION_ID}}}) AS VARCHAR) AS value FROM tagged""",
+            SELECT {flat_record} FROM nodes""",
+        "violations_json": f"""WITH {TAGGED}, nodes AS ({TREE}) SELECT {flat_record} FROM nodes""",
     }

@@ -13,7 +13,7 @@ from burstline.functions.templates import render, template_vars, value_key
 from burstline.operators import detect as d
 from burstline.operators import paging, policies as p, violations as v
 from burstline.operators.drilldown import drilldown_one
-from burstline.plans.violation_plan import find_events, find_violations, used_columns
+from burstline.plans.violation_plan import applied_policies, find_events, find_violations, records, tagged_events
 from burstline.session import pin
 from burstline.sinks.publish import messages
 from burstline.sources import activity as a
@@ -22,6 +22,7 @@ from workload import tables as t
 RULE = t.DAILY_ERRORS
 KEYS = RULE.group_keys
 BY_MINUTE = d.Rule(equal={"message": "error"}, more_than=0)
+BY_VOLUME = d.Rule(equal={"message": "error"}, keys=t.DAILY_ERRORS.keys, counted="transactionstring1", more_than=1)
 BY_ACCOUNT = d.Rule(equal={"message": "error"}, keys=("accountname",), more_than=12)
 
 
@@ -34,22 +35,26 @@ def many_addresses(events: DataFrame, rule: d.Rule) -> DataFrame:
     )
 
 
+def zero_count(events: DataFrame, rule: d.Rule) -> DataFrame:
+    """An analyzer whose ``n`` says nothing: 0 for some hits and null for others."""
+    return d.detect_keys(events, rule).withColumn("n", F.when(F.col("dayofyear") % 2 == 0, F.lit(0).cast("long")))
+
+
 def found(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Hits and the events in them."""
     result = find_events(t.activity(spark, sf), RULE)
     return result.hits, result.events
 
 
-def applied_policies(spark: SparkSession, sf: str) -> DataFrame:
+def applied(spark: SparkSession, sf: str) -> DataFrame:
     scored = p.with_score(p.with_category_name(t.segment_policies(spark, sf), t.categories(spark)), t.scores(spark))
-    return pin(p.policy_groups(scored, t.nation_groups(spark, sf)))
+    return applied_policies(scored, t.nation_groups(spark, sf))
 
 
-def tagged(spark: SparkSession, sf: str) -> tuple[DataFrame, list[str]]:
-    """Tagged events, and the event columns their policies name."""
-    _, events = found(spark, sf)
-    policies = applied_policies(spark, sf)
-    return v.tag_policy(events, policies), used_columns(policies, events)
+def tagged(spark: SparkSession, sf: str) -> DataFrame:
+    """Violating events with their policies and values."""
+    result = find_events(t.activity(spark, sf), RULE)
+    return tagged_events(result.events, applied(spark, sf), KEYS, result.few)
 
 
 def scan_activity_multi(spark, sf):
@@ -80,14 +85,14 @@ def detect_sql(spark, sf):
 
 
 def drill_into_first(spark, sf):
-    """The events of one group: the first hit in key order."""
+    """The events of one group: the first hit in key order. Without hits there are none."""
     events = t.activity(spark, sf)
     key = d.detect_keys(events, RULE).orderBy(*KEYS).first()
-    return drilldown_one(events, RULE, key.asDict())
+    return drilldown_one(events, RULE, key.asDict()) if key else events.limit(0)
 
 
 def policy_by_id(spark, sf):
-    ids = t.read(spark, sf, "orders").where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("id"))
+    ids = t.read(spark, sf, "orders").select(F.col("o_custkey").alias("id"))
     return p.policy_by_id(t.customer_policies(spark, sf), ids).select("id", "name", "functionality")
 
 
@@ -141,34 +146,73 @@ def validate_policies(spark, sf):
 
 
 def replace_categories(spark, sf):
-    categories = t.categories(spark)
-    old = p.with_category_name(t.customer_policies(spark, sf), categories).select(
-        F.col("id").alias("policyid"), "categoryid", "category"
-    )
-    new = t.read(spark, sf, "orders").where("o_orderstatus = 'P'").select(
+    """Orders name policies, known and unknown ones, and a category for each."""
+    categories, policies = t.categories(spark), t.numbered_policies(t.customer_policies(spark, sf))
+    old = p.category_rows(p.with_category_name(policies, categories))
+    new = t.read(spark, sf, "orders").select(
         (F.col("o_custkey") + 1).alias("policyid"), (F.col("o_custkey") % 13).cast("int").alias("categoryid")
     ).distinct()
-    return p.replace_categories(old, new, categories)
+    return p.replace_categories(old, new, categories, policies)
+
+
+def merged(spark: SparkSession, sf: str) -> DataFrame:
+    """Requests merged into policies that have ids already, of which one is text that is no number."""
+    policies = t.numbered_policies(t.existing_policies(spark, sf)).withColumn(
+        "signatureid", F.when(F.col("id") % 2 == 0, F.lit("old")).otherwise((F.col("id") + 1000000).cast("string")))
+    return p.merge_policies(t.requests(spark, sf), policies, t.categories(spark), t.known_threats(spark, sf))
 
 
 def merge_policies(spark, sf):
-    policies = policy_table(t.existing_policies(spark, sf))
-    return p.merge_policies(t.requests(spark, sf), policies, t.categories(spark), pin(t.known_threats(spark, sf)))
+    return merged(spark, sf).withColumns({c: F.array_join(c, ",") for c in ("level1_meta", "level2_meta")})
 
 
-def policy_table(policies: DataFrame) -> DataFrame:
-    """Policies with all columns that new ones get, empty here."""
-    empty = {
-        "category": "string", "threatname": "string", "riskthreatid": "long", "risktypeid": "long",
-        "riskname": "string", "violator": "string", "signatureid": "string", "type": "string",
-        "enabled": "boolean", "level2_attribute": "string",
-    }
-    return policies.withColumns({name: F.lit(None).cast(kind) for name, kind in empty.items()})
+def merged_categories(spark, sf):
+    """The table of categories after a merge: the new policies' rows join those of the old ones."""
+    categories = t.categories(spark)
+    policies = merged(spark, sf)
+    old = p.category_rows(p.with_category_name(policies.where("not is_new"), categories))
+    return p.replace_categories(old, p.category_rows(policies.where("is_new")).drop("category"), categories)
 
 
 def page_number(spark, sf):
     hits, events = found(spark, sf)
-    return paging.page_number(events, KEYS, page_size=2, sizes=hits).select("eventid", *KEYS, "page")
+    sizes = hits.select(*KEYS, F.col("events").alias("n"))
+    return paging.page_number(events, KEYS, page_size=2, sizes=sizes).select("eventid", *KEYS, "page")
+
+
+def page_deep(spark, sf):
+    """One page of lineitem far behind the first rows."""
+    items = t.read(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    order = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    return paging.page(items, offset=30_000, page_size=500, order=order)
+
+
+def group_tables(spark, sf):
+    """A view for each nation but one: events of those there are, and the one that is skipped."""
+    events = t.activity(spark, sf)
+    groups = [row["n_nationkey"] for row in t.read(spark, sf, "nation").select("n_nationkey").collect()]
+    for group in groups:
+        if group != t.ABSENT_GROUP:
+            a.scan_activity(events, group).drop("rg_id").createOrReplaceTempView(a.table_of_group(group))
+    rows, skipped = a.scan_group_tables(spark, groups)
+    nothing = F.lit(None).cast("string").alias("eventid")
+    return rows.select("rg_id", "eventid", F.lit(False).alias("skipped")).unionByName(
+        skipped.select("rg_id", nothing, F.lit(True).alias("skipped")))
+
+
+def rejected_events(spark, sf):
+    """Events of violating groups whose tenant cannot be read: no violations, but not lost."""
+    result = find_violations(
+        t.tenant_activity(spark, sf), t.segment_policies(spark, sf), t.nation_groups(spark, sf), t.scores(spark), RULE
+    )
+    kept = result.violations.groupBy("eventid").agg(F.count("*").alias("violations"))
+    return kept.select("eventid", "violations", F.lit(None).cast("string").alias("tenantid")).unionByName(
+        result.rejected.select("eventid", F.lit(0).cast("long").alias("violations"), "tenantid"))
+
+
+def violations_per_page(spark, sf):
+    """Pages of the drill-down where the rule counts a column that has nulls."""
+    return paging.page_counts(pin(d.detect(t.activity(spark, sf), BY_VOLUME)), KEYS, page_size=2)
 
 
 def page_number_all(spark, sf):
@@ -207,18 +251,15 @@ def render_template_agg(spark, sf):
 
 
 def render_policy_template(spark, sf):
-    events, columns = tagged(spark, sf)
-    return v.sentences(events, columns).select("policy_id", "eventid", "sentence")
+    return v.sentences(tagged(spark, sf)).select("policy_id", "eventid", "sentence")
 
 
 def verbose_values(spark, sf):
-    events, columns = tagged(spark, sf)
-    return v.verbose_rows(events, columns, zone="tenanttz")
+    return v.verbose_rows(tagged(spark, sf), zone="tenanttz")
 
 
 def tag_policy(spark, sf):
-    events, _ = tagged(spark, sf)
-    return events.select(
+    return tagged(spark, sf).select(
         "rg_id", "eventid", "eventtime", "accountname", "ipaddress", *v.VIOLATION_FIELDS.values()
     )
 
@@ -226,7 +267,7 @@ def tag_policy(spark, sf):
 def violations(spark, sf):
     rows = find_violations(
         t.activity(spark, sf), t.segment_policies(spark, sf), t.nation_groups(spark, sf), t.scores(spark), RULE
-    )
+    ).violations
     return rows.select(
         "violation_id", "rg_id", "eventid", "eventtime", "accountname", "policy_id", "policy_name",
         "risk_score", "day_epoch", "sentence",
@@ -234,34 +275,39 @@ def violations(spark, sf):
 
 
 def violation_tree(spark, sf):
-    events, columns = tagged(spark, sf)
-    return v.tree_rows(events, columns, zone="tenanttz").withColumns({
+    return v.tree_rows(tagged(spark, sf), zone="tenanttz").withColumns({
         name: F.coalesce(F.array_join(name, "/"), F.lit("")) for name in ("level1_meta", "level2_meta")
     })
 
 
-def violations_nested(spark, sf):
-    events, columns = tagged(spark, sf)
-    nested = v.violations_nested(events, columns, zone="tenanttz")
-    info = "violations[0].info.violation_details"
-    node = f"map_values(map_values({info})[0])[0]"
+def flat(nested: DataFrame) -> DataFrame:
+    """All of a record's violation in plain columns: ten fields, both levels of the tree, and the verbose values."""
+    violation, text = F.col("violations")[0], lambda names: F.coalesce(F.array_join(names, "/"), F.lit(""))
+    tree, verbose = (violation["info"][name] for name in ("violation_details", "verbose_values"))
+    root = F.map_entries(F.map_values(tree)[0])[0]
+    node, values = root["value"], F.map_values(verbose)[0]
+    pairs = F.transform(F.array_sort(F.map_keys(values)), lambda k: F.concat(k, F.lit("="), values[k]))
     return nested.select(
-        "eventid",
-        F.size("violations").alias("violations"),
-        F.expr("violations[0].policy_id").alias("policy_id"),
-        F.expr(f"map_keys({info})[0]").alias("day_epoch"),
-        F.expr(f"{node}.level1").alias("level1"),
-        F.expr(f"{node}.level2").alias("level2"),
-        F.coalesce(F.array_join(F.expr(f"{node}.level1_meta"), "/"), F.lit("")).alias("level1_meta"),
-    )
+        "eventid", F.size("violations").alias("count"), *[violation[name].alias(name) for name in v.VIOLATION_FIELDS.values()],
+        F.map_keys(tree)[0].alias("day_epoch"), F.map_keys(verbose)[0].alias("verbose_day"), root["key"].alias("root"),
+        node["level1"].alias("level1"), text(node["level1_meta"]).alias("level1_meta"), node["level2"].alias("level2"),
+        text(node["level2_meta"]).alias("level2_meta"), F.array_join(pairs, ",").alias("verbose_values"),
+    ).withColumnRenamed("count", "violations")
+
+
+def violations_nested(spark, sf):
+    return flat(v.violations_nested(tagged(spark, sf), zone="tenanttz"))
 
 
 def violations_json(spark, sf):
-    events, _ = tagged(spark, sf)
-    rows = v.with_violation_id(events)
-    return messages(rows.select(
-        "rg_id", "eventid", "accountname", "policy_id", "policy_name", "category", "violation_id"
-    ))
+    """The messages to publish, read back: event, nested violation, tree and verbose values come through the text."""
+    result = find_events(t.activity(spark, sf), RULE)
+    record = records(result.events, applied(spark, sf), KEYS, result.few)
+    # Keys of JSON objects are text.
+    shape = record.schema.simpleString().replace("map<bigint,", "map<string,")
+    back = messages(record).select("key", F.from_json("value", shape).alias("record")).select("key", "record.*")
+    days = {name: F.col(name).cast("long") for name in ("day_epoch", "verbose_day")}
+    return flat(back.where("key = violation_id")).withColumns(days)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -292,11 +338,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "replace_categories": replace_categories,
         "assign_signature_ids": assign_signature_ids,
         "merge_policies": merge_policies,
+        "merged_categories": merged_categories,
         "page_one": lambda s, f: paging.page(found(s, f)[1], offset=5, page_size=10),
         "page_number": page_number,
         "page_number_all": page_number_all,
-        "violations_per_page": lambda s, f: paging.page_counts(pin(d.detect(t.activity(s, f), RULE)), KEYS, page_size=2),
-        "parse_fields": lambda s, f: parse_fields(t.raw_events(s, f)),
+        "page_deep": page_deep,
+        "violations_per_page": violations_per_page,
+        "group_tables": group_tables,
+        "rejected_events": rejected_events,
+        "analyzer_without_count": lambda s, f: find_events(t.activity(s, f), RULE, analyzer=zero_count).events,
+        "parse_fields": lambda s, f: parse_fields(t.raw_events(s, f).withColumn("eventcount", F.length("eventid"))),
         "parse_strict": parse_strict,
         "parse_failures": lambda s, f: parse_failures(t.raw_events(s, f)),
         "day_epoch": day_epoch,

@@ -21,13 +21,26 @@ TOTALS = (
     'Account ${accountname!"ACCOUNTNAME"} performed a total of ${transactionstring1$COUNT!"Unknown"} '
     'uploads amounting to ${bytesout$SUM!"UNKNOWN"}'
 )
+ABSENT_GROUP = 7
 SCORES = {"Low": 1.0, "Medium": 2.0, "High": 3.0}
 
 
+# The tables read here; given to the reader, so that no job looks into the files for it.
+COLUMNS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_extendedprice double",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+}
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     # Table times carry no zone; reading them as UTC is what the expressions below expect.
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return spark.read.schema(COLUMNS[table]).parquet(f"{sf_dir}/{table}.parquet")
 
 
 def epoch_ms(time: str) -> Column:
@@ -121,6 +134,16 @@ def customer_policies(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def numbered_policies(policies: DataFrame) -> DataFrame:
+    """Policies with threat and risk-type ids already given."""
+    return policies.withColumns({"riskthreatid": F.col("id") + 500, "risktypeid": F.col("id") + 900})
+
+
+def tenant_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with a tenant as text, which cannot be read for some hours."""
+    return activity(spark, sf_dir).withColumn("tenantid", F.when(F.col("hour") % 5 == 0, F.lit("x")).otherwise(F.lit("7")))
+
+
 def existing_policies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The policies of one market segment, as those made before."""
     return customer_policies(spark, sf_dir).where("segment = 'BUILDING'").drop("segment")
@@ -146,7 +169,7 @@ def segment_policies(spark: SparkSession, sf_dir: str) -> DataFrame:
             .when(segment == "HOUSEHOLD", "Severe").otherwise("Low").alias("criticality"),
             F.lit(ENTITIES[0]).alias("violator"),
             F.when(segment == "BUILDING", F.lit(SENTENCE)).when(segment == "FURNITURE", F.lit(SHORT_SENTENCE))
-            .when(segment != "MACHINERY", F.lit("")).alias("verboseinfotemplate"),
+            .when(segment == "AUTOMOBILE", F.lit(TOTALS)).when(segment != "MACHINERY", F.lit("")).alias("verboseinfotemplate"),
             F.when(segment != "FURNITURE", F.lit("message")).alias("grouping_attribute"),
             F.when(segment != "FURNITURE", F.array(F.lit("transactionstring1"), F.lit("categorybehavior")))
             .alias("level1_meta"),
