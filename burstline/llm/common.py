@@ -14,6 +14,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from burstline.session import shared_folder
+
 # A side is broadcast only if its rows were measured to take no more than this.
 BROADCAST_BYTES = 32 * 1024 * 1024
 PIECE_BYTES = 1 << 20
@@ -74,18 +76,6 @@ def prepare(spark: SparkSession) -> None:
         SHIPPED.add(context.applicationId)
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors reach: ``spark.checkpoint.dir``, or one made up for a local master."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    made = "file://" + tempfile.mkdtemp(prefix="burstline-llm-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
-
-
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
