@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the session names for such results, else one beside its tables: all executors reach both."""
+    """The folder the session names for such results, else one beside its tables: all executors reach both.
+
+    A local master without a named folder keeps them in one folder for temporary files.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    return named.rstrip("/") if named else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_pinned"
+    if named:
+        return named.rstrip("/")
+    if spark.sparkContext.master.split("[")[0] == "local":
+        return f"file://{tempfile.gettempdir()}/checkpoints"
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_pinned"
 
 
 def pin(df: DataFrame) -> DataFrame:
