@@ -11,6 +11,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -87,6 +88,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def kept(df: DataFrame) -> DataFrame:
+    """The rows, kept on the executors' disks for several uses. Whatever is lost is made again from written tables.
+
+    For rows that come out the same each time, and do not depend on how rows are numbered or dealt out.
+    """
+    return df.persist(StorageLevel.DISK_ONLY)
+
+
 def fits(df: DataFrame, width: int, limit: int | None = None) -> bool:
     """Whether the rows, ``width`` bytes each at most, may be broadcast: counted, never guessed."""
     return df.count() * width <= (BROADCAST_BYTES if limit is None else limit)

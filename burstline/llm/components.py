@@ -3,7 +3,7 @@
 Each round points every node at the first node next to it (or itself) in an order that is shuffled anew, moves the
 links onto the nodes pointed at, and drops links that have become loops. A star of any size takes one round,
 and in a chain a fixed share of the nodes goes in each, so rounds grow with the logarithm of the largest component. Rounds end at
-written tables: a lost executor costs no earlier round.
+written links: a lost executor costs no earlier round's search.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from burstline.llm.common import written
+from burstline.llm.common import kept, written
 
 
 def _shuffled(node: Column, turn: int) -> Column:
@@ -33,7 +33,7 @@ def components(links: DataFrame) -> DataFrame:
     while not pairs.isEmpty():
         new = pairs.select(_shuffled(F.col("a"), turn).alias("a"), _shuffled(F.col("b"), turn).alias("b"))
         ends = new.select(F.col("a").alias("x"), F.col("b").alias("other")).union(new.select("b", "a"))
-        points = written(ends.groupBy("x").agg(F.min("other").alias("low")).select("x", F.least("x", "low").alias("low")), "pointers")
+        points = kept(ends.groupBy("x").agg(F.min("other").alias("low")).select("x", F.least("x", "low").alias("low")))
         moved = (
             new.join(points.select(F.col("x").alias("a"), F.col("low").alias("low_a")), "a")
             .join(points.select(F.col("x").alias("b"), F.col("low").alias("low_b")), "b").where("low_a <> low_b")
@@ -44,6 +44,6 @@ def components(links: DataFrame) -> DataFrame:
             .select("node", F.coalesce("low", "x").alias("component"))
         )
         turn += 1
-    label = written(label, "labels")
+    label = kept(label)
     smallest = label.groupBy("component").agg(F.min("node").alias("smallest"))
     return label.join(smallest, "component").select("node", F.col("smallest").alias("component"))

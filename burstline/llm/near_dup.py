@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from burstline.llm.common import hinted, pieces_of, table, written
+from burstline.llm.common import hinted, kept, pieces_of, table, written
 from burstline.llm.components import components
 from burstline.llm.shingles import (
     BUCKETS, FINE, SHINGLE, WordHashes, band_keys, estimate, fine_estimate, fine_registers, registers, shingle_set,
@@ -186,24 +186,24 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     made = rows.mapInArrow(_sketcher(n), f"id {id_type}, row_key long, n_shingles long, print binary, sketch binary")
     sketches = written(made.withColumn("row", F.monotonically_increasing_id()), "sketches")
 
-    classes = written(
-        sketches.where("print is not null").groupBy("print").agg(F.min("row").alias("node"), F.min("id").alias("first")), "classes"
+    classes = kept(
+        sketches.where("print is not null").groupBy("print").agg(F.min("row").alias("node"), F.min("id").alias("first"))
     )
-    chosen = written(
+    chosen = kept(
         sketches.join(classes.select(F.col("node").alias("row")), "row")
-        .select(F.col("row").alias("node"), "row_key", "n_shingles", "print", "sketch"), "class-sketches",
+        .select(F.col("row").alias("node"), "row_key", "n_shingles", "print", "sketch")
     )
 
     # Buckets with several classes, and the first of each.
     bands = chosen.select("node", "sketch").mapInArrow(_bands, "bucket long, node long")
     heads = bands.groupBy("bucket").agg(F.min("node").alias("head"), F.count("*").alias("size")).where("size > 1")
-    members = written(bands.join(heads, "bucket"), "buckets")
+    members = kept(bands.join(heads, "bucket"))
 
     wanted = members.select("node").distinct().join(chosen.select("node", "row_key", "print"), "node")
     texts = rows.select("row_key", "_text").join(hinted(wanted.persist(), 64), "row_key").select("node", "print", "_text")
     made = texts.mapInArrow(_set_maker(n), "node long, n long, keys binary, fine binary, hashes binary")
     # Repeated rows (same id and text) bring a set again.
-    sets = written(made.dropDuplicates(["node"]), "sets")
+    sets = kept(made.dropDuplicates(["node"]))
 
     one = chosen.select("node", "sketch", "n_shingles")
     pairs = (
@@ -211,10 +211,10 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
         .join(one.toDF("b", "sketch_b", "n_b"), "b").join(one.toDF("a", "sketch_a", "n_a"), "a")
         .where(_likely(percent)("sketch_a", "sketch_b", "n_a", "n_b")).select("a", "b")
     )
-    links = written(_verified(pairs, sets, percent), "links-to-heads")
+    links = kept(_verified(pairs, sets, percent))
     label = components(links)
 
-    more = written(_verified(_further(members, sets, label, percent), sets, percent), "further-links")
+    more = kept(_verified(_further(members, sets, label, percent), sets, percent))
     if not more.isEmpty():
         label = components(links.union(more))
     return _answer(sketches, classes, label).withColumnRenamed("id", id_column)
@@ -226,7 +226,7 @@ def _further(members: DataFrame, sets: DataFrame, label: DataFrame, percent: int
         members.where("size > 2").join(label, "node", "left")
         .select("bucket", "node", "head", F.coalesce("component", "node").alias("component"))
     )
-    spread = written(spread, "bucket-components")
+    spread = kept(spread)
     open_buckets = spread.groupBy("bucket").agg(
         F.min("component").alias("low"), F.max("component").alias("high"),
         F.max(F.when(F.col("node") == F.col("head"), F.col("component"))).alias("main"),

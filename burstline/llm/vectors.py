@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from burstline.llm.common import bounded_sample, table, written
+from burstline.llm.common import bounded_sample, kept, table, written
 from burstline.llm.components import components
 
 LEAST = 0.93
@@ -219,7 +219,7 @@ def near_vectors(rows: DataFrame, id_column: str = "vec_id", vector: str = "embe
     if found is None:
         alone = F.col("id").alias("component_id")
         return named.select(F.col("id").alias(id_column), F.lit(0).cast("long").alias("n_links"), alone, F.lit(True).alias("kept"))
-    found = written(found, "vector-links")
+    found = kept(found)
     parts = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
     lowest = parts.join(nodes.select("node", "first"), "node").groupBy("component").agg(F.min("first").alias("lowest"))
     counted = found.groupBy("node").agg(F.sum("links").alias("links"))
@@ -259,7 +259,7 @@ def fitted_index(nodes: DataFrame, dim: int, least: float, recall: float):
 
 def _search(nodes: DataFrame, dim: int, least: float, recall: float) -> DataFrame:
     index, most = fitted_index(nodes, dim, least, recall)
-    placed = written(nodes.select("label", "node", "vector").mapInArrow(_placed(index, dim, most), "label long, cell long, side int, node long"), "cells")
+    placed = kept(nodes.select("label", "node", "vector").mapInArrow(_placed(index, dim, most), "label long, cell long, side int, node long"))
     sizes = placed.groupBy("label", "cell").agg(
         F.count(F.when(F.col("side") == 0, 1)).alias("n_data"), F.count("*").alias("n_asked")
     ).where("n_data > 0")
