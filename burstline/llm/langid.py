@@ -128,22 +128,28 @@ def identify(rows: DataFrame, model: TextModel, text: Column, declared: Column,
     count, names = len(model.languages), model.languages
     send = rows.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("array<double>")
-    def evidence(column: pd.Series) -> pd.Series:
-        """Text posteriors, log likelihoods, and the number of trigrams."""
+    def seen_in(column: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each text: log likelihoods, posteriors, and whether it has letters."""
         got = np.array([send.value.evidence(t) for t in column]).reshape(-1, count + 1)
-        return pd.Series(list(np.concatenate([_softmax(got[:, :count]), got], axis=1)))
+        return got[:, :count], _softmax(got[:, :count]), got[:, count] > 0
+
+    @F.pandas_udf("array<double>")
+    def posteriors(column: pd.Series) -> pd.Series:
+        """The posteriors of each text; null without letters, which say nothing about their host."""
+        _, own, letters = seen_in(column)
+        return pd.Series([p if some else None for p, some in zip(own, letters)])
 
     clean_host = F.lower(F.coalesce(host, F.lit("")))
     labels = F.split("host", r"\.", -1)
     seen = rows.select(
-        F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), clean_host.alias("host"), F.lower(F.coalesce(declared, F.lit(""))).alias("declared"), evidence(text).alias("e"),
+        F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), clean_host.alias("host"), F.lower(F.coalesce(declared, F.lit(""))).alias("declared"), text.alias("said"),
     ).withColumns({
         "domain": F.concat_ws(".", F.slice(labels, F.greatest(F.size(labels) - 1, F.lit(1)), 2)), "suffix": F.element_at(labels, -1),
     })
-    # One row per distinct address and declaration; rows without letters say nothing.
+    # One row per distinct address and declaration.
+    address = ("host", "domain", "suffix", "declared")
     p = F.array(*[F.sum(F.col("e")[k]) for k in range(count)])
-    groups = seen.where(F.col("e")[2 * count] > 0).groupBy("host", "domain", "suffix", "declared").agg(p.alias("p")).persist()
+    groups = seen.select(*address, posteriors("said").alias("e")).where("e is not null").groupBy(*address).agg(p.alias("p")).persist()
     totals = groups.agg(
         F.array(*[F.sum(F.col("p")[k]) for k in range(count)]).alias("p"), F.countDistinct("declared").alias("declared"), F.countDistinct("suffix").alias("suffix"),
     ).first()
@@ -152,21 +158,21 @@ def identify(rows: DataFrame, model: TextModel, text: Column, declared: Column,
     size = {"declared": totals["declared"], "suffix": totals["suffix"]}
 
     @F.pandas_udf("array<double>")
-    def decide(e: pd.Series, host: pd.Series, host_sums: pd.Series, domain_sums: pd.Series, declared_sums: pd.Series, suffix_sums: pd.Series) -> pd.Series:
-        """The languages by text and by all evidence, and the confidence in the latter."""
+    def decide(said: pd.Series, host: pd.Series, host_sums: pd.Series, domain_sums: pd.Series, declared_sums: pd.Series, suffix_sums: pd.Series) -> pd.Series:
+        """The languages by text and by all evidence, the confidence in the latter, and whether there are letters."""
         known = lambda sums: np.array([np.zeros(count) if x is None else np.asarray(x) for x in sums]).reshape(-1, count)
-        got = np.array(list(e)).reshape(-1, 2 * count + 1)
-        own, logs, letters, named = got[:, :count], got[:, count:-1], got[:, -1] > 0, (host != "").to_numpy()
+        logs, own, letters = seen_in(said)
+        named = (host != "").to_numpy()
         suffix = np.where(named[:, None], known(suffix_sums), (total + size["suffix"] + 1) - 1)
         post = _softmax(fused(logs, own, letters, known(host_sums), known(domain_sums), named, whole, [
             (known(declared_sums), total, size["declared"]), (suffix, total, size["suffix"]),
         ]))
-        return pd.Series(list(np.stack([logs.argmax(1), post.argmax(1), post.max(1)], axis=1)))
+        return pd.Series(list(np.stack([logs.argmax(1), post.argmax(1), post.max(1), letters], axis=1)))
 
     joined = seen
     for key, mark in (("host", "h"), ("domain", "d"), ("declared", "l"), ("suffix", "x")):
         joined = joined.join(_sums(groups, key, "p", count, mark), key, "left")
-    done = joined.select("row", (F.col("e")[2 * count] > 0).alias("letters"), decide("e", "host", "h", "d", "l", "x").alias("best"))
+    done = joined.select("row", decide("said", "host", "h", "d", "l", "x").alias("best")).withColumn("letters", F.col("best")[3] > 0)
     name = lambda k: F.array(*map(F.lit, names))[F.col("best")[k].cast("int")]
     return done.select(
         *[F.col(f"row.`{c}`").alias(c) for c in kept], F.when(F.col("letters"), name(0)).alias("text_lang"), name(1).alias("language"),
