@@ -7,6 +7,8 @@ executor never costs more than the stage at hand.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,19 +16,28 @@ from pyspark.sql import functions as F
 from burstline.llm import decontaminate, langid, near_dup, pieces, quality
 from burstline.llm.common import hinted, prepare, table, written
 
+def with_own_columns(docs: DataFrame, names: tuple[str, ...], work: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``work`` on the documents, whose own columns of the names it uses stay out of its way and come back as they were."""
+    away = {c: f"_own_{c}" for c in docs.columns if c in names}
+    done = work(docs.withColumnsRenamed(away))
+    return done.select(*[F.col(f"`{away.get(c, c)}`").alias(c) for c in docs.columns])
+
+
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the attention classifier, trained on their labels, does not reject."""
     prepare(spark)
     model = quality.trained(docs, table(spark, sf_dir, "labels"))
-    return quality.scored(docs, model).where(F.col("score") >= quality.THRESHOLD).select(*docs.columns)
+    return with_own_columns(docs, ("score",), lambda own: quality.scored(own, model).where(F.col("score") >= quality.THRESHOLD))
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in whose language the evidence agrees well enough; ``lang`` stays as declared."""
     prepare(spark)
     model = langid.trained(docs)
-    found = langid.identify(docs, model, F.col("text"), F.col("lang"), F.col("source"))
-    return found.where("accepted").select(*docs.columns)
+    new = ("text_lang", "language", "confidence", "accepted")
+    return with_own_columns(
+        docs, new, lambda own: langid.identify(own, model, F.col("text"), F.col("lang"), F.col("source")).where("accepted")
+    )
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,10 +48,12 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
     found = near_dup.near_duplicates(docs)
     keys = found.groupBy("row_key").agg(F.max("kept").alias("kept"), F.count("*").alias("n")).where("not kept or n > 1").persist()
-    again = docs.withColumn("row_key", near_dup.row_key("doc_id", "text")).join(hinted(keys, 32), "row_key", "left")
-    single = again.where("kept is null")
-    repeated = again.where("kept and n > 1").dropDuplicates(["row_key"])
-    return single.select(*docs.columns).union(repeated.select(*docs.columns))
+
+    def chosen(own: DataFrame) -> DataFrame:
+        again = own.withColumn("row_key", near_dup.row_key("doc_id", "text")).join(hinted(keys, 32), "row_key", "left")
+        return again.where("kept is null").union(again.where("kept and n > 1").dropDuplicates(["row_key"]))
+
+    return with_own_columns(docs, ("row_key", "kept", "n"), chosen)
 
 
 def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

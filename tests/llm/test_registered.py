@@ -4,6 +4,8 @@ import zlib
 
 import pytest
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from burstline.llm import near_dup, registry
 from burstline.llm.pieces import Pieces
@@ -40,8 +42,6 @@ def test_rollup_totals(spark):
 
 
 def test_languages_of_pages(spark):
-    from pyspark.sql import functions as F
-
     from burstline.llm.langid import declared_language
 
     found = registry.queries()["op4_language"](spark, SMALL)
@@ -72,12 +72,17 @@ def test_pipeline_stages_take_odd_rows(spark, tmp_path):
     text = "the house of the other thing that is there and the dog of the house is in it " * 4
     rows = [(1, text, "en", "s", 5, "x"), (2, text, "en", "s", 5, "x"), (2, text, "en", "s", 5, "x"), (None, None, None, None, None, None), (3, "", "en", "s", 0, "x"), (4, text * 900, None, None, None, "x")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, n_words string")
+    clashing = ("score", "language", "accepted", "kept", "row_key", "n", "ids", "spans", "_text")
+    docs = docs.withColumns({name: F.concat(F.lit(f"{name} of "), F.col("doc_id").cast("string")) for name in clashing})
     spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     spark.createDataFrame([(1, "the dog of the house")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     for rows_in in (docs, docs.limit(0)):
         for _, stage in corpus_pipeline.STAGES:
             out = stage(spark, rows_in, str(tmp_path))
             assert out.count() <= rows_in.count()
+            if stage is not corpus_pipeline.STAGES[-1][1]:
+                assert out.columns == docs.columns
+                assert all(r[c] == f"{c} of {r['doc_id']}" for r in out.where("doc_id is not null").collect() for c in clashing)
 
 
 def test_one_document_of_each_group_stays(spark):
