@@ -7,9 +7,10 @@
    is compared with the first one of its bucket. Similarity estimated from equal registers, corrected
    for those equal by chance, leaves out what is far below the threshold; the others are decided on the full sets.
 3. Buckets of three and more that these links leave in several components are searched further: rows with
-   512 registers are compared block against block, the component of the bucket's first class only with the rest,
-   and only pairs that the finer estimate leaves open go on to the full sets. Pairs already connected are
-   never formed, so a group of near copies costs about one comparison a member and not one a pair.
+   512 registers are compared block against block, the component of the bucket's first class only with the rest.
+   First the most similar pair of each class goes on to the full sets, then, between what is still apart, every pair
+   that the finer estimate leaves open. Pairs already connected are never formed, so a group of near copies
+   costs a few comparisons a member and not one a pair.
 4. Components of all links.
 
 Copies are never paired: they share a class. What can be missed is bounded by the parameters: pairs at the
@@ -133,8 +134,11 @@ def _linked(percent: int):
     return linked
 
 
-def _open_pairs(percent: int):
-    """Pairs of one cell that the fine registers leave open, each in the first band that the two share."""
+def _open_pairs(percent: int, best: bool):
+    """Pairs of one cell that the fine registers leave open, each in the first band that the two share.
+
+    With ``best``, only the most similar one of each class of the left block.
+    """
     share = percent / 100
     least = share - 4 * (share * (1 - share) / FINE) ** 0.5
 
@@ -153,7 +157,10 @@ def _open_pairs(percent: int):
             able &= node[i][:, None] < node[right][None] if part[right[0] if len(right) else 0] == 0 else True
             if not able.any():
                 continue
-            able &= fine_estimate(fine[i], fine[right]) >= least
+            close = np.where(able, fine_estimate(fine[i], fine[right]), -1)
+            able = close >= least
+            if best:
+                able &= np.arange(len(right))[None] == close.argmax(axis=1)[:, None]
             for x, y in zip(*np.nonzero(able)):
                 p, q = i[x], right[y]
                 if keys[p][np.argmax(keys[p] == keys[q])] == bucket:
@@ -214,14 +221,17 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     links = written(_verified(pairs, sets, percent), "links-to-heads")
     label = components(links)
 
-    more = written(_verified(_further(members, sets, label, percent), sets, percent), "further-links")
-    if not more.isEmpty():
-        label = components(links.union(more))
+    # The best pair of each class first: it joins what the first classes of buckets leave in large parts.
+    for best in (True, False):
+        more = written(_verified(_further(members, sets, label, percent, best), sets, percent), "further-links")
+        if not more.isEmpty():
+            links = links.union(more)
+            label = components(links)
     return _answer(sketches, classes, label).withColumnRenamed("id", id_column)
 
 
-def _further(members: DataFrame, sets: DataFrame, label: DataFrame, percent: int) -> DataFrame:
-    """Open pairs between different components of the buckets with three and more classes."""
+def _further(members: DataFrame, sets: DataFrame, label: DataFrame, percent: int, best: bool) -> DataFrame:
+    """Open pairs between different components of the buckets with three and more classes; see ``_open_pairs`` for ``best``."""
     spread = (
         members.where("size > 2").join(label, "node", "left")
         .select("bucket", "node", "head", F.coalesce("component", "node").alias("component"))
@@ -257,7 +267,7 @@ def _further(members: DataFrame, sets: DataFrame, label: DataFrame, percent: int
         .select("bucket", "node", "component", "cell.*")
     )
     filled = cells.join(sets.select("node", "n", "keys", "fine"), "node")
-    return filled.groupBy("bucket", "i", "kind", "j").applyInArrow(_open_pairs(percent), "a long, b long")
+    return filled.groupBy("bucket", "i", "kind", "j").applyInArrow(_open_pairs(percent, best), "a long, b long").distinct()
 
 
 def _answer(sketches: DataFrame, classes: DataFrame, label: DataFrame) -> DataFrame:
