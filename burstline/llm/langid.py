@@ -133,12 +133,13 @@ def identify(rows: DataFrame, model: TextModel, text: Column, declared: Column,
         got = np.array([send.value.evidence(t) for t in column]).reshape(-1, count + 1)
         return got[:, :count], _softmax(got[:, :count]), got[:, count] > 0
 
-    @F.pandas_udf("array<double>")
+    # Not deterministic to the optimizer: it would run them once for a filter and again for the column.
     def posteriors(column: pd.Series) -> pd.Series:
         """The posteriors of each text; null without letters, which say nothing about their host."""
         _, own, letters = seen_in(column)
         return pd.Series([p if some else None for p, some in zip(own, letters)])
 
+    posteriors = F.pandas_udf(posteriors, "array<double>").asNondeterministic()
     clean_host = F.lower(F.coalesce(host, F.lit("")))
     labels = F.split("host", r"\.", -1)
     seen = rows.select(
@@ -157,7 +158,6 @@ def identify(rows: DataFrame, model: TextModel, text: Column, declared: Column,
     whole = (total + 1) / (total + 1).sum()
     size = {"declared": totals["declared"], "suffix": totals["suffix"]}
 
-    @F.pandas_udf("array<double>")
     def decide(said: pd.Series, host: pd.Series, host_sums: pd.Series, domain_sums: pd.Series, declared_sums: pd.Series, suffix_sums: pd.Series) -> pd.Series:
         """The languages by text and by all evidence, the confidence in the latter, and whether there are letters."""
         known = lambda sums: np.array([np.zeros(count) if x is None else np.asarray(x) for x in sums]).reshape(-1, count)
@@ -169,6 +169,7 @@ def identify(rows: DataFrame, model: TextModel, text: Column, declared: Column,
         ]))
         return pd.Series(list(np.stack([logs.argmax(1), post.argmax(1), post.max(1), letters], axis=1)))
 
+    decide = F.pandas_udf(decide, "array<double>").asNondeterministic()
     joined = seen
     for key, mark in (("host", "h"), ("domain", "d"), ("declared", "l"), ("suffix", "x")):
         joined = joined.join(_sums(groups, key, "p", count, mark), key, "left")
