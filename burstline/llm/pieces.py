@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from burstline.llm.common import pieces_of, table, with_text
 
 MARK = "▁"
-TABLE_CHUNKS = 200_000  # distinct chunks a task remembers
+TABLE_CHUNKS = 80_000  # distinct chunks a task remembers
 CHUNK = re.compile(r" *[^ \n]+| +|\n")
 
 

@@ -27,7 +27,7 @@ PAIRS = 64  # buckets of byte pairs
 HIDDEN, GATE = 16, 8
 EPOCHS, BATCH, RATE, DECAY = 40, 64, 4e-3, 1e-3
 SHORT = 256  # a passage of so many bytes counts half
-RUN = 400_000  # bytes worked on at once
+RUN = 150_000  # bytes worked on at once
 
 
 def _kinds() -> np.ndarray:

@@ -18,7 +18,7 @@ MIX = np.uint64(0x9E3779B97F4A7C15)
 class WordHashes(dict):
     """A task's table of word hashes, started anew at a fixed size."""
 
-    LIMIT = 500_000
+    LIMIT = 60_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:
