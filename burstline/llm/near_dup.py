@@ -3,7 +3,7 @@
 1. A task turns each text into its set of word shingles and keeps 128 registers (leading zeros and ten bits
    behind the leading one of the smallest hash per bucket). Documents with equal sets become one class; only
    the registers of one document of each class go on.
-2. Registers are banded, five to a band, 25 bands: classes that share a band meet in a bucket. Every class
+2. Registers are banded as the threshold asks (0.85: 25 bands of five, 0.80: 28 of four): classes that share a band meet in a bucket. Every class
    is compared with the first one of its bucket. Similarity estimated from equal registers, corrected
    for those equal by chance, leaves out what is far below the threshold; the others are decided on the full sets.
 3. Buckets of three and more that these links leave in several components are searched further: rows with
@@ -31,10 +31,10 @@ from pyspark.sql import functions as F
 from burstline.llm.common import hinted, kept, pieces_of, table, written
 from burstline.llm.components import components
 from burstline.llm.shingles import (
-    BUCKETS, FINE, SHINGLE, WordHashes, band_keys, estimate, fine_estimate, fine_registers, registers, shingle_set,
+    BUCKETS, FINE, SHINGLE, WordHashes, band_keys, bands_for, estimate, fine_estimate, fine_registers, registers, shingle_set,
 )
 
-PERCENT = 85  # of 100: the least similarity of a link
+PERCENT = 85  # of 100: the least similarity of a link in op7_minhash; the pipeline's stage has its own
 BLOCK = 1024  # classes of one bucket compared by one task
 
 
@@ -71,16 +71,22 @@ def _sketcher(n: int):
     return run
 
 
-def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        sketches = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), dtype=np.uint16).reshape(-1, BUCKETS)
-        keys = band_keys(sketches)
-        nodes = np.repeat(batch.column("node").to_numpy(), keys.shape[1])
-        yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1)), pa.array(nodes)], names=["bucket", "node"])
+def _bands(percent: int):
+    bands, rows = bands_for(percent)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sketches = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), dtype=np.uint16).reshape(-1, BUCKETS)
+            keys = band_keys(sketches, bands, rows)
+            nodes = np.repeat(batch.column("node").to_numpy(), keys.shape[1])
+            yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1)), pa.array(nodes)], names=["bucket", "node"])
+
+    return run
 
 
-def _set_maker(n: int):
+def _set_maker(n: int, percent: int):
     """Full sets of candidate classes, with their band keys and fine registers; other texts of the same key are passed over."""
+    bands, rows = bands_for(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
@@ -92,7 +98,7 @@ def _set_maker(n: int):
                     continue
                 nodes.append(node)
                 sizes.append(len(hashes))
-                keys.append(band_keys(registers(hashes)[None])[0].tobytes())
+                keys.append(band_keys(registers(hashes)[None], bands, rows)[0].tobytes())
                 fine.append(fine_registers(hashes).tobytes())
                 sets.append(hashes.tobytes())
             yield pa.RecordBatch.from_arrays(
@@ -202,13 +208,13 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     )
 
     # Buckets with several classes, and the first of each.
-    bands = chosen.select("node", "sketch").mapInArrow(_bands, "bucket long, node long")
+    bands = chosen.select("node", "sketch").mapInArrow(_bands(percent), "bucket long, node long")
     heads = bands.groupBy("bucket").agg(F.min("node").alias("head"), F.count("*").alias("size")).where("size > 1")
     members = kept(bands.join(heads, "bucket"))
 
     wanted = members.select("node").distinct().join(chosen.select("node", "row_key", "print"), "node")
     texts = rows.select("row_key", "_text").join(hinted(wanted.persist(), 64), "row_key").select("node", "print", "_text")
-    made = texts.mapInArrow(_set_maker(n), "node long, n long, keys binary, fine binary, hashes binary")
+    made = texts.mapInArrow(_set_maker(n, percent), "node long, n long, keys binary, fine binary, hashes binary")
     # Repeated rows (same id and text) bring a set again.
     sets = kept(made.dropDuplicates(["node"]))
 

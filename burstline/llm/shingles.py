@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import xxhash
 
@@ -11,7 +13,7 @@ SHINGLE = 5
 BUCKET_BITS = 7
 BUCKETS = 1 << BUCKET_BITS  # registers of a sketch
 MANTISSA = 10  # bits kept behind the leading one
-BANDS, ROWS = 25, 5  # pairs of similarity 0.85 share no band in 4 of 10,000,000 cases
+MISSED = 4.5e-7  # of the pairs at the threshold: those that may share no band
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -78,11 +80,25 @@ def registers(hashes: np.ndarray) -> np.ndarray:
     return out
 
 
-def band_keys(sketches: np.ndarray) -> np.ndarray:
+def bands_for(percent: int) -> tuple[int, int]:
+    """Bands and registers of each: the longest bands of which so few are needed that all fit into a sketch.
+
+    Pairs as similar as ``percent`` share no band in MISSED of the cases at most: 25 bands of five for 85, 28 of four for 80.
+    Far below 15 no choice is good enough; then every register is a band.
+    """
+    for rows in range(BUCKETS, 0, -1):
+        apart = 1 - (percent / 100) ** rows
+        bands = math.ceil(math.log(MISSED) / math.log(apart)) if 0 < apart < 1 else 1 if apart <= 0 else BUCKETS + 1
+        if bands * rows <= BUCKETS:
+            return bands, rows
+    return BUCKETS, 1
+
+
+def band_keys(sketches: np.ndarray, bands: int, rows: int) -> np.ndarray:
     """A 64-bit key for each band of each sketch (a row of registers)."""
-    used = sketches[:, : BANDS * ROWS].astype(np.uint64).reshape(len(sketches), BANDS, ROWS)
-    total = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), (len(sketches), BANDS)).copy()
-    for k in range(ROWS):
+    used = sketches[:, : bands * rows].astype(np.uint64).reshape(len(sketches), bands, rows)
+    total = np.broadcast_to(np.arange(1, bands + 1, dtype=np.uint64), (len(sketches), bands)).copy()
+    for k in range(rows):
         total = _mixed(total + used[:, :, k])
     return total.view(np.int64)
 

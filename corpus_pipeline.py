@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 from burstline.llm import decontaminate, langid, near_dup, pieces, quality
 from burstline.llm.common import hinted, prepare, table, written
 
+LEAST_SIMILAR = 80  # of 100: documents as similar as this, by runs of five words, are near-duplicates here
+
+
 def with_own_columns(docs: DataFrame, names: tuple[str, ...], work: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """``work`` on the documents, whose own columns of the names it uses stay out of its way and come back as they were."""
     away = {c: f"_own_{c}" for c in docs.columns if c in names}
@@ -46,7 +49,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Rows without id stay if no row of their group has one.
     """
     prepare(spark)
-    found = near_dup.near_duplicates(docs)
+    found = near_dup.near_duplicates(docs, percent=LEAST_SIMILAR)
     keys = found.groupBy("row_key").agg(F.max("kept").alias("kept"), F.count("*").alias("n")).where("not kept or n > 1").persist()
 
     def chosen(own: DataFrame) -> DataFrame:

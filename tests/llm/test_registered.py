@@ -1,5 +1,7 @@
 """Registered queries beside their SQL or brute force, and the pipeline on the small tables."""
 
+import itertools
+import random
 import zlib
 
 import pytest
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from burstline.llm import near_dup, registry
 from burstline.llm.pieces import Pieces
+from burstline.llm.shingles import BUCKETS, MISSED, bands_for
 from check import compare
 
 SMALL = "/root/testdata/sf0.001"
@@ -92,6 +95,31 @@ def test_one_document_of_each_group_stays(spark):
     assert sorted(r["doc_id"] for r in left) == [1, 5, 6]
 
 
+def test_stage_removes_copies_from_four_fifths_on(spark):
+    """Pairs of similarity 0.80 to 0.85, at 0.80 exactly and just below it, against all pairs by hand."""
+    rnd, docs, n = random.Random(3), [], 90
+    for k in range(60):
+        base = [f"w{k}.{j}" for j in range(n + 4)]
+        docs.append((2 * k, " ".join(base)))
+        # With the last m words changed, n - m of n + m shingles are common.
+        m = rnd.choice([8, 9, 10, 11])
+        docs.append((2 * k + 1, " ".join([*base[: n + 4 - m], *(f"x{k}.{j}" for j in range(m))])))
+    sets = {i: {tuple(t.split()[j : j + 5]) for j in range(n)} for i, t in docs}
+    share = {(a, b): len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a, b in itertools.combinations(sets, 2)}
+    assert {round(s, 3) for s in share.values() if s} == {0.782, 0.8, 0.818, 0.837}
+    gone = {b for (a, b), s in share.items() if s >= 0.8}
+    left = corpus_pipeline.one_of_each(spark, spark.createDataFrame(docs, "doc_id long, text string"), SMALL).collect()
+    assert sorted(r["doc_id"] for r in left) == sorted(set(sets) - gone)
+
+
+@pytest.mark.parametrize("percent, want", [(85, (25, 5)), (80, (28, 4))])
+def test_bands_follow_the_threshold(percent, want):
+    bands, rows = bands_for(percent)
+    assert (bands, rows) == want and (1 - (percent / 100) ** rows) ** bands <= MISSED
+    for other in range(1, 101):
+        assert bands_for(other)[0] * bands_for(other)[1] <= BUCKETS
+
+
 def test_scores_of_the_query_follow_the_contract(spark):
     rows = registry.queries()["op9_attention_quality"](spark, SMALL).collect()
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) and r["predicted"] == int(r["score"] >= 0.7) for r in rows)
