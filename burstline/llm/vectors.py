@@ -3,8 +3,10 @@
 Unit vectors are cut in halves; each half has its own codebook, fitted on a bounded sample, and every vector is
 indexed under the cell (nearest code of the first half, nearest of the second). A query visits the cells of this product grid
 in the order of the summed squared distances (the multi-sequence order). How many it visits is measured:
-a bounded set of queries is compared with all rows, and the smallest number of cells that holds the
-target share of their true links is taken. Vectors met in a visited cell are verified by cosine in double precision.
+two bounded sets of queries, one drawn from all vectors and one dealt evenly over the cells, are compared with all rows. The smallest
+number of cells is taken that holds the target share of a query's true links, on the mean over the queries of either set that have
+links: a query of a dense group counts no more than one with a single link. Where too few of those dealt over the cells have any, made
+neighbours at the least cosine, in random directions, stand in for the missing. Vectors met in a visited cell are verified by cosine in double precision.
 
 Equal vectors of a label are one node. Large cells are cut in blocks, compared block against block; a block
 comparison gives, for each node it links, the links it found and one node that stands for its component there, never
@@ -26,7 +28,10 @@ from burstline.llm.components import components
 LEAST = 0.93
 RECALL = 0.999
 SAMPLE = 20_000  # vectors the codebooks are fitted on
-QUERIES = 1_024  # vectors whose true links decide how many cells are visited
+QUERIES = 1_024  # vectors of either set whose true links decide how many cells are visited
+ENOUGH = 256  # queries with links, of those dealt over the cells; made neighbours stand in for fewer
+MADE = 8  # neighbours made for a query
+LEVELS = 16  # ranks of cells are told apart up to 1/16 of an octave, rounded up
 FEWEST_CELLS = 8
 CELL_ROWS = 32  # vectors of a label in a cell, about: sets the size of the codebooks
 MOST_CODES = 256
@@ -80,33 +85,80 @@ def _distances(points: np.ndarray, book: np.ndarray) -> np.ndarray:
     return np.maximum((points**2).sum(1)[:, None] - 2 * points @ book.T + (book**2).sum(1)[None], 0)
 
 
+def _level(rank: np.ndarray) -> np.ndarray:
+    """The number of the first level that holds a rank (from 0)."""
+    return np.ceil(np.log2(rank + 1.0) * LEVELS - 1e-9).astype(np.int64)
+
+
+def _cells_of(level: int) -> int:
+    """How many cells are visited up to the end of a level."""
+    return int(np.floor(2 ** (level / LEVELS) + 1e-6))
+
+
+def _rank_of(at: MultiIndex, vectors: np.ndarray, cells: list[np.ndarray]) -> list[np.ndarray]:
+    """The place of each of the cells in the order in which each vector visits all."""
+    out = []
+    for k, asked in enumerate(cells):
+        rank = np.empty(at.cells, dtype=np.int64)
+        rank[at.visits(vectors[k : k + 1], at.cells)[0]] = np.arange(at.cells)
+        out.append(rank[asked])
+    return out
+
+
 def _ranks(index, queries, dim: int, least: float):
-    """Counts of true links of the query set by the rank at which a query visits the linked row's cell."""
+    """Counts of true links of each query by the level of the rank at which it visits the linked row's cell."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nodes, labels, asked = queries.value
         at = index.value
-        order = at.visits(asked, at.cells)
-        rank = np.empty_like(order)
-        np.put_along_axis(rank, order, np.arange(at.cells)[None].repeat(len(order), 0), 1)
-        total = np.zeros(at.cells, dtype=np.int64)
+        keys, counts = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
         for batch in batches:
             rows = unit(batch.column("vector"), dim)
             if not len(rows):
                 continue
-            cell = at.visits(rows, 1)[:, 0]
             label, node = batch.column("label").to_numpy(), batch.column("node").to_numpy()
-            for low in range(0, len(rows), 4096):
-                part = slice(low, low + 4096)
+            for low in range(0, len(rows), 1024):
+                part = slice(low, low + 1024)
                 near = (asked @ rows[part].T >= least) & (labels[:, None] == label[part][None]) & (nodes[:, None] != node[part][None])
                 q, r = np.nonzero(near)
-                np.add.at(total, rank[q, cell[part][r]], 1)
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(total[some], pa.int64())], names=["rank", "links"])
+                if not len(q):
+                    continue
+                cell = at.visits(rows[part], 1)[:, 0]
+                new, n = np.unique(q * at.cells + cell[r], return_counts=True)
+                keys, back = np.unique(np.concatenate([keys, new]), return_inverse=True)
+                counts = np.bincount(back, weights=np.concatenate([counts, n]), minlength=len(keys)).astype(np.int64)
+        q, cell = keys // at.cells, keys % at.cells
+        some, starts = np.unique(q, return_index=True)
+        level = [_level(x) for x in _rank_of(at, asked[some], np.split(cell, starts[1:]) if len(some) else [])]
+        level = np.concatenate([np.zeros(0, dtype=np.int64), *level])
+        yield pa.RecordBatch.from_arrays([pa.array(q), pa.array(level), pa.array(counts)], names=["query", "level", "links"])
 
     return run
 
 
+def _made_levels(at: MultiIndex, vectors: np.ndarray, least: float) -> np.ndarray:
+    """For each vector a row of counts by level: of neighbours at the cosine ``least``, in random directions."""
+    away = np.random.default_rng(2).normal(size=(len(vectors), MADE, vectors.shape[1]))
+    away -= (away @ vectors[:, :, None]) * vectors[:, None]
+    length = np.linalg.norm(away, axis=2, keepdims=True)
+    away = np.divide(away, length, out=np.zeros_like(away), where=length > 1e-9)  # no direction is free in one dimension
+    made = least * vectors[:, None] + (1 - least**2) ** 0.5 * away
+    cells = [at.visits(x, 1)[:, 0] for x in made]
+    out = np.zeros((len(vectors), int(_level(np.array(at.cells - 1))) + 1))
+    for row, rank in zip(out, _rank_of(at, vectors, cells)):
+        np.add.at(row, _level(rank), 1)
+    return out
+
+
+def _enough(levels: np.ndarray, recall: float) -> int:
+    """The fewest cells that hold the share ``recall`` of a row's links on the mean over the rows (counts by level) that have any."""
+    levels = levels[levels.sum(1) > 0]
+    if not len(levels):
+        return 0
+    reached = (levels.cumsum(1) / levels.sum(1, keepdims=True)).mean(0)
+    return _cells_of(int(np.argmax(reached >= recall)))
+
+
 def _placed(index, dim: int, most: int):
     """Each vector as data (side 0) in its own cell and as query (side 1) in the other cells it visits."""
 
@@ -141,6 +193,7 @@ def _block_links(index, dim: int, most: int, least: float):
         own = index.value.visits(vector[asked], 1)[:, 0]
         # Vectors of two cells that visit each other meet twice: the smaller cell of the two counts them.
         seen = index.value.visits(vector[data], most)
+        seen = np.sort((np.arange(len(data))[:, None] * index.value.cells + seen).reshape(-1))
         links, root = np.zeros(len(node), dtype=np.int64), node.copy()
         found: list[tuple[np.ndarray, np.ndarray]] = []
         for low in range(0, len(asked), 512):
@@ -150,7 +203,8 @@ def _block_links(index, dim: int, most: int, least: float):
                 continue
             q, d = np.nonzero(near)
             same = inner[part][q]
-            met = (seen[d] == own[part][q][:, None]).any(axis=1)
+            visit = d * index.value.cells + own[part][q]
+            met = seen[np.minimum(np.searchsorted(seen, visit), len(seen) - 1)] == visit
             q_node, d_node = node[asked[part]][q], node[data][d]
             keep = np.where(same, q_node < d_node, ~(met & (own[part][q] < cell)))
             q, d = asked[part][q[keep]], data[d[keep]]
@@ -235,6 +289,18 @@ def near_vectors(rows: DataFrame, id_column: str = "vec_id", vector: str = "embe
     ).withColumn("kept", F.col(id_column).eqNullSafe(F.col("component_id")))
 
 
+def _query_sets(at: MultiIndex, sample: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places in the sample of the queries drawn from all, and of those dealt over the cells of the labels: one of each before a second of any."""
+    order = np.random.default_rng(1).permutation(len(sample))
+    cell = np.concatenate([at.visits(sample[order[low : low + 2048]], 1)[:, 0] for low in range(0, len(order), 2048)])
+    _, group = np.unique(np.stack([label[order], cell]), axis=1, return_inverse=True)
+    by_group = np.argsort(group.reshape(-1), kind="stable")
+    sizes = np.bincount(group.reshape(-1))
+    turn = np.empty(len(order), dtype=np.int64)
+    turn[by_group] = np.arange(len(order)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    return order[:QUERIES], order[np.argsort(turn, kind="stable")[:QUERIES]]
+
+
 def fitted_index(nodes: DataFrame, dim: int, least: float, recall: float):
     """The broadcast index and the number of cells to visit; both from bounded samples, chosen by hash."""
     spark = nodes.sparkSession
@@ -243,18 +309,24 @@ def fitted_index(nodes: DataFrame, dim: int, least: float, recall: float):
     picked = bounded_sample(nodes, F.col("node"), SAMPLE).orderBy("node").toArrow()
     sample = unit(picked.column("vector").combine_chunks(), dim)
     index = spark.sparkContext.broadcast(MultiIndex(sample, codes))
-    some = np.random.default_rng(1).permutation(len(sample))[:QUERIES]
-    queries = spark.sparkContext.broadcast((picked.column("node").to_numpy()[some], picked.column("label").to_numpy()[some], sample[some]))
-    ranks = (
-        nodes.select("label", "node", "vector").mapInArrow(_ranks(index, queries, dim, least), "rank long, links long")
-        .groupBy("rank").agg(F.sum("links").alias("links")).orderBy("rank").collect()  # one row per cell at most
+    node, label = picked.column("node").to_numpy(), picked.column("label").to_numpy()
+    drawn, dealt = _query_sets(index.value, sample, label)
+    some = np.union1d(drawn, dealt)
+    queries = spark.sparkContext.broadcast((node[some], label[some], sample[some]))
+    found = (
+        nodes.select("label", "node", "vector").mapInArrow(_ranks(index, queries, dim, least), "query long, level long, links long")
+        .groupBy("query", "level").agg(F.sum("links").alias("links")).toArrow()  # 2 * QUERIES times the levels at most
     )
-    total, reached, most = sum(r["links"] for r in ranks), 0, 0
-    for r in ranks:
-        if reached >= recall * total:
-            break
-        reached, most = reached + r["links"], r["rank"] + 1
-    return index, min(index.value.cells, max(FEWEST_CELLS, most))
+    levels = np.zeros((len(some), int(_level(np.array(index.value.cells - 1))) + 1))
+    levels[found.column("query").to_numpy(), found.column("level").to_numpy()] = found.column("links").to_numpy()
+    drawn, dealt = levels[np.isin(some, drawn)], dealt[np.argsort(dealt)]
+    own = levels[np.isin(some, dealt)]
+    alone = np.flatnonzero(own.sum(1) == 0)
+    missing = max(0, ENOUGH - (len(own) - len(alone)))
+    if missing and len(own) < len(node):
+        stand_in = dealt[(alone if len(alone) else np.arange(len(own)))[:missing]]
+        own = np.concatenate([own, _made_levels(index.value, sample[stand_in], least)])
+    return index, min(index.value.cells, max(FEWEST_CELLS, _enough(drawn, recall), _enough(own, recall)))
 
 
 def _search(nodes: DataFrame, dim: int, least: float, recall: float) -> DataFrame:

@@ -150,6 +150,30 @@ def test_visits_are_in_order_of_distance():
         assert (index.visits(points, most) == np.argsort(total, axis=1, kind="stable")[:, :most]).all()
 
 
+@pytest.mark.parametrize("codes", [56, vectors.MOST_CODES])
+def test_cells_hold_links_of_lone_pairs_beside_a_dense_group(spark, monkeypatch, codes):
+    """Per vector, at 0.93 and with large codebooks: the dense group has nearly all links, and each lone pair just one."""
+    rnd, dim, n, dense, pairs = np.random.default_rng(4), 64, 12_000, 600, 150
+    x = rnd.normal(size=(n, dim))
+    x[:dense] = x[0] + 0.1 * rnd.normal(size=(dense, dim))
+    first, second = slice(dense, dense + pairs), slice(dense + pairs, dense + 2 * pairs)
+    x[second] = x[first] + 0.35 * rnd.normal(size=(pairs, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    monkeypatch.setattr(vectors, "CELL_ROWS", n / codes**2)
+    nodes = spark.createDataFrame([(k, 7, v.tolist()) for k, v in enumerate(x)], "node long, label long, vector array<double>")
+    index, most = vectors.fitted_index(nodes, dim, 0.93, vectors.RECALL)
+    assert [len(b) for b in index.value.books] == [codes, codes]
+    own = np.concatenate([index.value.visits(x[k : k + 500], 1)[:, 0] for k in range(0, n, 500)])
+    recall = {}
+    for k in range(dense + 2 * pairs):
+        linked = np.flatnonzero(x @ x[k] >= 0.93)
+        linked = linked[linked != k]
+        if len(linked):
+            recall[k] = np.isin(own[linked], index.value.visits(x[k : k + 1], most)[0]).mean()
+    lone = [r for k, r in recall.items() if k >= dense]
+    assert len(lone) > 200 and np.mean(lone) >= 0.99 and np.mean(list(recall.values())) >= 0.99
+
+
 def test_links_found_on_the_given_vectors(spark):
     """The share of true links found, per vector, on the table the other tests do not reach."""
     path = "/root/testdata/sf0.01/embeddings.parquet"
