@@ -187,10 +187,11 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text", percent: int = PERCENT, n: int = SHINGLE) -> DataFrame:
-    """One row per row of ``docs``: the id, ``row_key``, ``n_shingles``, ``component_id`` and ``kept``.
+    """One row per row of ``docs``: the id, ``row_key``, ``n_shingles``, ``group``, ``component_id`` and ``kept``.
 
     Documents are linked when 100 * common >= ``percent`` * all of their distinct ``n``-word shingles; ``component_id``
     is the smallest id reachable, ``kept`` whether it is the row's own. Texts without words are linked with nothing.
+    ``group`` numbers the components by their classes of equal sets, whatever their ids; it is null without words.
     Rows with equal id and text all get the same; a row without id takes the component of what it is linked with
     and is kept only if nothing else of its component has an id, or it has no words.
     """
@@ -279,11 +280,11 @@ def _further(members: DataFrame, sets: DataFrame, label: DataFrame, percent: int
 def _answer(sketches: DataFrame, classes: DataFrame, label: DataFrame) -> DataFrame:
     linked = label.join(classes.select("node", "first"), "node")
     lowest = linked.groupBy("component").agg(F.min("first").alias("lowest"))
-    found = classes.join(label.join(lowest, "component").select("node", "lowest"), "node", "left").select(
-        "print", F.coalesce("lowest", "first").alias("component_id"), F.lit(True).alias("has_words")
+    found = classes.join(label.join(lowest, "component").select("node", "component", "lowest"), "node", "left").select(
+        "print", F.coalesce("component", "node").alias("group"), F.coalesce("lowest", "first").alias("component_id"), F.lit(True).alias("has_words")
     )
     return sketches.drop("sketch", "row").join(found, "print", "left").select(
-        "id", "row_key", "n_shingles", F.when(F.col("has_words"), F.col("component_id")).otherwise(F.col("id")).alias("component_id"),
+        "id", "row_key", "n_shingles", "group", F.when(F.col("has_words"), F.col("component_id")).otherwise(F.col("id")).alias("component_id"),
     ).withColumn("kept", F.col("id").eqNullSafe(F.col("component_id")))
 
 

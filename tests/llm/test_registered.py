@@ -95,6 +95,13 @@ def test_one_document_of_each_group_stays(spark):
     assert sorted(r["doc_id"] for r in left) == [1, 5, 6]
 
 
+def test_one_document_stays_of_groups_with_a_shared_id_or_none(spark):
+    say = lambda k: " ".join(f"{k}{j}" for j in range(40))
+    docs = [(1, say("a")), (1, say("a") + " end"), (2, say("a") + " more"), (None, say("a")), (None, say("b")), (None, say("b") + " end"), (None, say("b")), (None, ""), (7, " ")]
+    left = corpus_pipeline.one_of_each(spark, spark.createDataFrame(docs, "doc_id long, text string"), SMALL).collect()
+    assert sorted((str(r["doc_id"]), r["text"][:1]) for r in left) == [("1", "a"), ("7", " "), ("None", ""), ("None", "b")]
+
+
 def test_stage_removes_copies_from_four_fifths_on(spark):
     """Pairs of similarity 0.80 to 0.85, at 0.80 exactly and just below it, against all pairs by hand."""
     rnd, docs, n = random.Random(3), [], 90
