@@ -5,7 +5,7 @@
 * host: P(language | host), the host's summed text posteriors without the row's own, smoothed by those of its domain,
   and these by all rows.
 
-The trigram tables are fitted on a bounded sample of labelled documents. All sums are grouped aggregates over all rows;
+The trigram tables are fitted on a bounded sample of the labelled documents of each language; every language among the labels has one. All sums are grouped aggregates over all rows;
 a host or value with a third of the rows is summed in parts first, and lookups are broadcast only when counted to be small.
 """
 
@@ -16,12 +16,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from burstline.llm.common import bounded_sample, hinted, pieces_of, table
+from burstline.llm.common import hinted, pieces_of, table
 from burstline.llm.url_filter import url_host
 
-SAMPLE = 4_000  # labelled documents that fit the trigram tables
+SAMPLE = 1_000  # labelled documents of each language that fit its trigram table
 SAMPLE_BYTES = 100_000  # of a document that may be in the sample
-LANGUAGES = 64  # that the tables may tell apart
 BUCKETS = 1 << 15
 TEMPER = 0.25
 STRENGTH = 5.0  # rows that a host's (a domain's) parent counts for
@@ -71,19 +70,20 @@ class TextModel:
 
 
 def trained(labelled: DataFrame, id_column: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> TextModel:
-    """A text model from about ``sample`` rows with text and language, picked by the hash of their id."""
+    """A text model from about ``sample`` rows of each language with text, or all if they are fewer, picked by the hash of id and text."""
     rows = labelled.select(F.col(f"`{lang}`").alias("lang"), F.col(f"`{text}`").cast("string").alias("_text"), F.col(f"`{id_column}`").cast("string").alias("id"))
     some = rows.where(F.col("lang").isNotNull() & (F.octet_length("_text") <= SAMPLE_BYTES))
-    got = (
-        bounded_sample(some, F.col("id"), sample).mapInArrow(_counted, "lang string, gram long, n long")
-        .groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    scale = 1 << 40
+    shares = some.groupBy("lang").agg(F.count("*").alias("rows")).select("lang", (scale * F.lit(float(sample)) / F.col("rows")).alias("share"))
+    picked = (
+        some.join(hinted(shares.persist(), 64), "lang").where(F.pmod(F.xxhash64("id", "_text"), F.lit(scale)) < F.col("share")).select("lang", "_text")
     )
-    got = got.persist()
-    totals = got.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
-    languages = sorted(r["lang"] for r in totals)
+    got = picked.mapInArrow(_counted, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
+    # BUCKETS rows for each language at most.
+    languages = sorted(set(got.column("lang").to_pylist()))
+    place = {name: k for k, name in enumerate(languages)}
     counts = np.zeros((len(languages), BUCKETS))
-    for r in got.where(F.col("lang").isin(languages)).collect():  # BUCKETS rows for each language at most
-        counts[languages.index(r["lang"]), r["gram"]] = r["n"]
+    counts[[place[name] for name in got.column("lang").to_pylist()], got.column("gram").to_numpy()] = got.column("n").to_numpy()
     return TextModel(languages, counts)
 
 

@@ -12,6 +12,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from burstline.llm import decontaminate, langid, warc_zip
 from burstline.llm.common import new_path
@@ -236,3 +237,14 @@ def test_visible_text_and_declared_language(spark):
     html = '<!DOCTYPE html><HTML class="x" LANG=\'De-at\'><style>p{}</style><script>var t="</p>";</script><!-- <p>no</p> --><p>yes</p>'
     row = spark.createDataFrame([(html,), (None,), ("<b",)], "html string").select(langid.visible_text(F.col("html")).alias("t"), langid.declared_language(F.col("html")).alias("d")).collect()
     assert row[0]["t"].split() == ["yes"] and row[0]["d"] == "de" and row[1]["t"] is None and row[2]["t"] == "<b"
+
+
+def test_every_labelled_language_has_a_table(spark):
+    """More than 64 languages, one of them with most rows, and one that is a single row of 12,000."""
+    say = lambda k: " ".join([chr(97 + k // 26) * 2 + chr(97 + k % 26) * 3] * 20)
+    rows = [(k, say(k), f"l{k:02}") for k in range(70)]
+    many = spark.range(12_000).select((F.col("id") + 100).alias("doc_id"), F.lit("the house and the dog").alias("text"), F.lit("en").alias("lang"))
+    model = langid.trained(spark.createDataFrame(rows, "doc_id long, text string, lang string").union(many))
+    assert model.languages == sorted(["en", *(r[2] for r in rows)])
+    assert all(model.languages[int(np.argmax(model.evidence(text)[:-1]))] == lang for _, text, lang in rows)
+    assert model.languages[int(np.argmax(model.evidence("the dog")[:-1]))] == "en"
