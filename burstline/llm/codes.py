@@ -165,7 +165,7 @@ def vector_codes(rows: DataFrame, id_column: str = "vec_id", vector: str = "embe
     dim = first["dim"] if first else parts
     able = able.where(F.size("vector") == dim)
     start = [r["vector"] for r in able.orderBy(*by_id).limit(entries).select("vector").collect()]
-    cut = np.floor(np.array(start, dtype=np.float64).reshape(len(start), dim) * scale).astype(np.int64).reshape(len(start), parts, -1)
+    cut = np.floor(np.array(start, dtype=np.float64).reshape(len(start), dim) * scale).astype(np.int64).reshape(len(start), parts, dim // parts)
     books = Codebooks(np.ascontiguousarray(cut.transpose(1, 0, 2)), np.ones((parts, len(start)), bool))
     state = kept(able.mapInArrow(_scaled(scale), STATE))
     if start:

@@ -18,6 +18,7 @@ from burstline.llm.near_dup import op7_minhash
 from burstline.llm.pieces import op3_sentencepiece
 from burstline.llm.quality import op9_attention_quality
 from burstline.llm.rollups import op5_token_rollup
+from burstline.llm.toxicity import op13_toxicity
 from burstline.llm.url_filter import op6_url_filter
 from burstline.llm.vectors import op10_multi_index
 from burstline.llm.warc_zip import op2_warc_zip
@@ -52,6 +53,7 @@ OPERATORS: dict[str, Query] = {
     "op10_multi_index": op10_multi_index,
     "op11_active_lloyd": op11_active_lloyd,
     "op12_hard_negatives": op12_hard_negatives,
+    "op13_toxicity": op13_toxicity,
     "pipeline": corpus_pipeline.run,
 }
 
