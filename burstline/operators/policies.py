@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -104,6 +106,44 @@ def display_config(requests: DataFrame) -> DataFrame:
     })
 
 
+# The display settings as one document, and the columns they are from.
+DISPLAY_XML = "displayAttributes string, metadataAttributes array<string>, level2Attributes string, level2MetaDataAttr array<string>"
+DISPLAY_COLUMNS = ["grouping_attribute", "level1_meta", "level2_attribute", "level2_meta"]
+DISPLAY_ROOT = "violationDisplayConfig"
+# Characters that no XML document can hold, escaped or not.
+NOT_XML = r"[\x00-\x08\x0B\x0C\x0E-\x1F\uFFFE\uFFFF]"
+
+
+def _xml_text(text: Column) -> Column:
+    """Text that a document can hold: characters that XML has no way to write are left out, and what is empty then is missing."""
+    clean = F.regexp_replace(text, NOT_XML, "")
+    return F.when(clean != "", clean)
+
+
+def to_display_xml(policies: DataFrame, name: str = "violationdisplayconfig") -> DataFrame:
+    """Policies with their display settings as one XML document in column ``name``; null where none is set."""
+    one = {c: _xml_text(F.col(c)) for c in ("grouping_attribute", "level2_attribute")}
+    many = {c: F.array_compact(F.transform(c, _xml_text)) for c in ("level1_meta", "level2_meta")}
+    values = one | {c: F.when(F.size(kept) > 0, kept) for c, kept in many.items()}
+    fields = [field.split()[0] for field in DISPLAY_XML.split(", ")]
+    document = F.struct(*[values[c].alias(field) for c, field in zip(DISPLAY_COLUMNS, fields)])
+    some = reduce(lambda a, b: a | b, [values[c].isNotNull() for c in DISPLAY_COLUMNS])
+    return policies.withColumn(name, F.when(some, F.to_xml(document, {"rowTag": DISPLAY_ROOT})))
+
+
+def from_display_xml(policies: DataFrame, name: str = "violationdisplayconfig") -> DataFrame:
+    """The display settings read back from column ``name`` into their columns.
+
+    Without a document all are unset. A document that cannot be read has unset columns and is told by ``display_unreadable``.
+    """
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_unread", "ignoreSurroundingSpaces": "false"}
+    read = policies.withColumn("_display", F.from_xml(F.col(name), f"{DISPLAY_XML}, _unread string", options))
+    fields = [field.split()[0] for field in DISPLAY_XML.split(", ")]
+    unread = F.col("_display._unread").isNotNull()
+    columns = {c: F.when(~unread, F.col(f"_display.{field}")) for c, field in zip(DISPLAY_COLUMNS, fields)}
+    return read.withColumns(columns | {"display_unreadable": F.coalesce(unread, F.lit(False))}).drop("_display")
+
+
 def validate(requests: DataFrame, policies: DataFrame) -> DataFrame:
     """One flag per check on each request, and ``accepted``.
 
@@ -163,13 +203,13 @@ def last_id(table: DataFrame, column: str = "id") -> int:
     return last_ids(table, [column])[column]
 
 
-def threat_ids(names: DataFrame, threats: DataFrame) -> DataFrame:
-    """Distinct ``threatname`` with their id and level; names not in ``threats`` get new ids."""
+def threat_ids(names: DataFrame, threats: DataFrame, last: int = 0) -> DataFrame:
+    """Distinct ``threatname`` with their id and level; names not in ``threats`` get new ids, after the largest there and after ``last``."""
     wanted = names.select("threatname").dropna().distinct()
     ids = threats.select(F.col("name").alias("threatname"), F.col("id").alias("riskthreatid"))
     known = pin(attach(wanted, ids, ["threatname"], "left", ["threatname"]))
     missing = known.where(F.col("riskthreatid").isNull()).select("threatname")
-    made = assign_ids(missing, "threatname", {"riskthreatid": last_id(threats)})
+    made = assign_ids(missing, "threatname", {"riskthreatid": max(last, last_id(threats))})
     return (
         known.where(F.col("riskthreatid").isNotNull()).withColumn("is_new", F.lit(False))
         .unionByName(made.withColumn("is_new", F.lit(True)))
@@ -178,6 +218,8 @@ def threat_ids(names: DataFrame, threats: DataFrame) -> DataFrame:
 
 
 IDS_OF_CATEGORY = ["riskthreatid", "risktypeid"]
+# Kinds of ids that are counted on and never given out twice.
+ID_KINDS = ["id", "signatureid", "risktypeid", "riskthreatid"]
 
 
 def category_rows(policies: DataFrame) -> DataFrame:
@@ -185,10 +227,23 @@ def category_rows(policies: DataFrame) -> DataFrame:
     return policies.select(F.col("id").alias("policyid"), "categoryid", *IDS_OF_CATEGORY, "category")
 
 
-def replace_categories(old: DataFrame, new: DataFrame, categories: DataFrame, policies: DataFrame | None = None) -> DataFrame:
-    """The rows of every policy named in ``new`` give way to its rows there.
+def listed_categories(lists: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """From a list of categories for each policy (``policyid``, ``categoryids``), the rows they make and the policies they replace.
+
+    An empty list is a legal one: it makes no rows, and the policy's old ones go. A null list leaves the policy as it is. A category
+    that a list repeats, or that is null, makes no row of its own.
+    """
+    given = lists.where(F.col("categoryids").isNotNull())
+    rows = given.select("policyid", F.explode("categoryids").alias("categoryid")).dropna().distinct()
+    return rows, given.select("policyid").distinct()
+
+
+def replace_categories(old: DataFrame, new: DataFrame, categories: DataFrame, policies: DataFrame | None = None,
+                       replaced: DataFrame | None = None) -> DataFrame:
+    """The rows of every policy in ``replaced`` (``policyid``) give way to its rows in ``new``, of which it may have none.
 
-    Threat and risk-type ids that ``new`` lacks are those of the policy in ``policies``, null for an unknown policy.
+    Without ``replaced`` these are the policies named in ``new``. Threat and risk-type ids that ``new`` lacks are those of the policy in
+    ``policies``, null for an unknown policy.
     """
     missing = [c for c in IDS_OF_CATEGORY if c in old.columns and c not in new.columns]
     if missing:
@@ -197,7 +252,8 @@ def replace_categories(old: DataFrame, new: DataFrame, categories: DataFrame, po
         ids = policies.select(F.col("id").alias("policyid"), *missing)
         new = attach(new, ids, ["policyid"], "left", ["policyid", "categoryid"])
     named = with_category_name(new, categories).select(*old.columns)
-    kept = attach(old, new.select("policyid"), ["policyid"], "left_anti", ["policyid", "categoryid"])
+    gone = (new if replaced is None else replaced).select("policyid")
+    kept = attach(old, gone, ["policyid"], "left_anti", ["policyid", "categoryid"])
     return kept.unionByName(named)
 
 
@@ -215,18 +271,21 @@ def merge_policies(
     threats: DataFrame,
     last_signature: str | None = None,
     last_risk_type: int | None = None,
+    marks: dict[str, int] | None = None,
 ) -> DataFrame:
     """``policies`` and a new row for each accepted request whose name is not among them.
 
     Where several requests share a name, the first by ``request_no`` makes the policy. Ids go on from the largest
-    in ``policies`` unless the last ones given out are told. ``category_rows`` of the new rows belong into the table of categories.
+    in ``policies`` unless the last ones given out are told; with ``marks`` (the last id ever given out, by ``ID_KINDS``) they go on from the greater
+    of the two. ``category_rows`` of the new rows belong into the table of categories.
     """
     accepted = display_config(policy_defaults(validate(requests, policies).where("accepted AND NOT exists")))
     fields = [c for c in accepted.columns if c not in ("policyname", "request_no")]
     first = accepted.groupBy("policyname").agg(
         F.min_by(F.struct(*fields), "request_no").alias("_request")
     ).select(F.col("policyname").alias("name"), "_request.*")
-    last = last_ids(policies, ["id", "signatureid", "risktypeid"])
+    last, marks = last_ids(policies, ["id", "signatureid", "risktypeid"]), marks or {}
+    last = {kind: max(largest, marks.get(kind, 0)) for kind, largest in last.items()}
     made = assign_ids(pin(first), "name", {
         "id": last["id"],
         "signatureid": max(_after(last_signature), last["signatureid"] if last_signature is None else 0),
@@ -240,7 +299,7 @@ def merge_policies(
         "riskname": risk_name(F.col("name")),
         **{name: F.lit(value) for name, value in NEW_POLICY.items()},
     })
-    ids = threat_ids(made, threats).select("threatname", "riskthreatid")
+    ids = threat_ids(made, threats, marks.get("riskthreatid", 0)).select("threatname", "riskthreatid")
     made = attach(with_category_name(made, categories), ids, ["threatname"], "left", ["name"])
     return policies.withColumn("is_new", F.lit(False)).unionByName(
         made.select(*SETTINGS).withColumn("is_new", F.lit(True)), allowMissingColumns=True
