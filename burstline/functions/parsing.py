@@ -103,7 +103,8 @@ def parse_fields(events: DataFrame, text_fields: tuple[str, ...] = ()) -> DataFr
     return events.withColumns(changes) if changes else events
 
 
-def _bad_strict(events: DataFrame) -> Column:
+def unreadable(events: DataFrame) -> Column:
+    """Whether a strict field of a row cannot be read."""
     bad = [
         F.col(name).isNotNull() & parsed(F.col(name), source, target).isNull()
         for name, source, target in _typed_fields(events)
@@ -114,28 +115,39 @@ def _bad_strict(events: DataFrame) -> Column:
 
 def readable(events: DataFrame) -> DataFrame:
     """Rows whose strict fields can be read."""
-    return events.where(~_bad_strict(events))
+    return events.where(~unreadable(events))
 
 
 def quarantined(events: DataFrame) -> DataFrame:
     """Rows set aside because a strict field cannot be read."""
-    return events.where(_bad_strict(events))
+    return events.where(unreadable(events))
 
 
-def parse_failures(events: DataFrame) -> DataFrame:
-    """How many values of each field could not be read: one pass, one row per field.
+def _checks(events: DataFrame) -> list[tuple[str, Column, Column]]:
+    """What can go wrong with a row: the field, whether its value cannot be read, and the value.
 
-    ``eventtime.day`` counts times that were read but lie beyond the calendar, so that they have no day.
+    ``eventtime.day`` is of times that were read but lie beyond the calendar, so that they have no day.
     """
-    fields = [f for f in _typed_fields(events) if not isinstance(f[2], (T.BooleanType, T.StringType))]
-    counts = [
-        F.count_if(F.col(name).isNotNull() & parsed(F.col(name), source, target).isNull())
-        for name, source, target in fields
-    ]
-    named = [(name, count) for (name, _, _), count in zip(fields, counts)]
-    named += [
-        (f"{name}.day", F.count_if(out_of_range(parsed(F.col(name), source, target))))
-        for name, source, target in fields if name == "eventtime"
-    ]
-    rows = F.array(*[F.struct(F.lit(name).alias("field"), count.alias("failures")) for name, count in named])
+    checks = []
+    for name, source, target in _typed_fields(events):
+        value = parsed(F.col(name), source, target)
+        if not isinstance(target, (T.BooleanType, T.StringType)):
+            checks.append((name, F.col(name).isNotNull() & value.isNull(), F.col(name)))
+        if name == "eventtime":
+            checks.append((f"{name}.day", out_of_range(value), F.col(name)))
+    return checks
+
+
+def parse_failures(events: DataFrame) -> DataFrame:
+    """How many values of each field could not be read: one pass, one row per field; see ``_checks``."""
+    counts = [(name, F.count_if(bad)) for name, bad, _ in _checks(events)]
+    rows = F.array(*[F.struct(F.lit(name).alias("field"), count.alias("failures")) for name, count in counts])
     return events.agg(rows.alias("rows")).select(F.inline("rows"))
+
+
+def parse_warnings(events: DataFrame, event_id: str = "eventid") -> DataFrame:
+    """One row per value that could not be read: the event's id, the field, and the value as text. Nothing is shuffled."""
+    found = [F.when(bad, F.struct(F.lit(name).alias("field"), value.cast("string").alias("value"))) for name, bad, value in _checks(events)]
+    if not found:
+        return events.select(event_id, F.lit("").alias("field"), F.lit("").alias("value")).limit(0)
+    return events.select(event_id, F.inline(F.array_compact(F.array(*found))))

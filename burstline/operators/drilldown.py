@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from burstline.operators import bloom
 from burstline.operators.detect import Rule, equals, matching
 from burstline.operators.joins import attach, fits_broadcast
 from burstline.session import pin
@@ -23,7 +24,8 @@ def drilldown(events: DataFrame, hits: DataFrame, rule: Rule, event_id: str = "e
     """Whole rows of the matching events whose keys are among ``hits``.
 
     ``hits`` is used more than once here, so pass it pinned (``marked_hits``). If it fits a broadcast, the wide
-    event rows are not shuffled at all. Rows with a null key belong to no hit. Whatever ``n`` an analyzer gives, a hit is a hit.
+    event rows are not shuffled at all. If not, a filter of the hits' keys drops most rows of no hit before the shuffle.
+    Rows with a null key belong to no hit. Whatever ``n`` an analyzer gives, a hit is a hit.
     ``few`` says whether the hits fit a broadcast; they are measured if it is not told.
     """
     keys = rule.group_keys
@@ -33,7 +35,17 @@ def drilldown(events: DataFrame, hits: DataFrame, rule: Rule, event_id: str = "e
         # of the event table that no hit falls in.
         hits = hits.where(F.col(HIT) == 1)
     few = fits_broadcast(hits) if few is None else few
-    return attach(matching(events, rule), hits.select(*keys), keys, "left_semi", [event_id], sizes, few)
+    rows = matching(events, rule)
+    return attach(rows if few else near_hits(rows, hits, keys), hits.select(*keys), keys, "left_semi", [event_id], sizes, few)
+
+
+def near_hits(rows: DataFrame, hits: DataFrame, keys: list[str]) -> DataFrame:
+    """All rows of the hits, and few others: the rows that pass a Bloom filter of the hits' keys, tested where they are scanned."""
+    count = hits.count()
+    if not bloom.worth_it(count) or not bloom.same_hash(rows, hits, keys):
+        return rows
+    bits = bloom.bits_for(count)
+    return rows.where(bloom.may_be_among(bloom.key_filter(hits, keys, bits), keys, bits))
 
 
 def drilldown_one(events: DataFrame, rule: Rule, key: dict[str, object]) -> DataFrame:

@@ -13,6 +13,8 @@ PAGE_SIZE = 1000
 EVENT_ORDER = ("eventtime", "eventid")
 # A group with more rows than this is numbered across tasks.
 HOT_ROWS = 1_000_000
+# A table with no more rows than this, as those of settings have, is numbered in one task.
+FEW_ROWS = 100_000
 # Pages listed from one row at a time.
 PAGES_AT_ONCE = 100_000
 # Up to this row, a page is cut from a top-k; beyond it, from ranges.
@@ -41,9 +43,12 @@ def numbered(
 
     ``order`` must be unique within a group. ``sizes`` gives rows per group in column ``n`` where that is already known;
     otherwise the rows are pinned, counted, and numbered from there, so that what they come from runs once.
-    Without ``keys`` all rows are one group.
+    Without ``keys`` all rows are one group, which a single task sorts up to FEW_ROWS.
     """
     if not keys:
+        rows = pin(rows)
+        if rows.count() <= min(FEW_ROWS, HOT_ROWS if hot_rows is None else hot_rows):
+            return rows.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("long"))
         return _numbered_by_range(rows, [], order, name)
     if sizes is None:
         rows = pin(rows)

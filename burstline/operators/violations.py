@@ -30,7 +30,8 @@ VIOLATION_FIELDS = {
 }
 DISPLAY_FIELDS = ["grouping_attribute", "level1_meta", "level2_attribute", "level2_meta", *PARSED_FIELDS]
 VALUES = "_values"
-MONEY = T.DecimalType(38, 2)
+# Values are summed with ten places; the sum is rounded once, to two.
+SUMMED, MONEY = T.DecimalType(38, 10), T.DecimalType(38, 2)
 
 
 def tag_policy(events: DataFrame, policies: DataFrame, event_id: str = "eventid") -> DataFrame:
@@ -50,8 +51,8 @@ def with_violation_id(tagged: DataFrame, event_id: str = "eventid") -> DataFrame
 
 
 def total(name: str, kind: str) -> Column:
-    """COUNT is of non-null values, SUM is exact to two places."""
-    value = F.count(name) if kind == "COUNT" else F.sum(F.col(name).try_cast(MONEY))
+    """COUNT is of non-null values. SUM is exact for values of up to ten places, rounded half up to two once it is formed."""
+    value = F.count(name) if kind == "COUNT" else F.try_sum(F.col(name).try_cast(SUMMED)).try_cast(MONEY)
     return value.cast("string").alias(value_key(name, kind))
 
 

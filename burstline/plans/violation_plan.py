@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from burstline.functions.parsing import parse_fields, quarantined, readable
+from burstline.functions.parsing import parse_fields, quarantined, readable, unreadable
 from burstline.functions.templates import with_parsed_template
 from burstline.operators.detect import Rule, detect
 from burstline.operators.drilldown import HIT, drilldown, marked_hits
@@ -17,7 +17,9 @@ from burstline.operators.policies import policy_groups, with_score
 from burstline.operators.violations import (
     DISPLAY_FIELDS, VALUES, event_day, sentences, tag_policy, violations_nested, with_values, with_violation_id,
 )
+from burstline.operators.paging import EVENT_ORDER, PAGE_SIZE, page_number
 from burstline.session import pin
+from burstline.sinks.publish import PageLog, Sender, Sent
 from burstline.sources.activity import scan_activity_multi, skipped_groups
 
 # An analyzer turns events into the keys of violating groups: the columns of
@@ -46,13 +48,22 @@ class Violations:
 
 
 def find_events(events: DataFrame, rule: Rule, groups: DataFrame | None = None,
-                analyzer: Analyzer = detect) -> Found:
-    """Violating events of the given groups (column ``rg_id``; all groups if none are given)."""
+                analyzer: Analyzer = detect, once: bool = False, seen: Observation | None = None,
+                few: bool | None = None) -> Found:
+    """Violating events of the given groups (column ``rg_id``; all groups if none are given).
+
+    With ``once`` the rows of the hits are pinned, so that events, rejected rows and totals all come from them and the event
+    table is read twice in all, detection included. ``seen`` counts them (``rows``) and the rejected ones (``rejected``) in that same pass.
+    ``few`` as in ``drilldown``.
+    """
     if groups is not None:
         events = scan_activity_multi(events, groups)
     hits = marked_hits(analyzer(events, rule))
-    few = fits_broadcast(hits)
+    few = fits_broadcast(hits) if few is None else few
     raw = drilldown(events, hits, rule, few=few)
+    if seen is not None:
+        raw = raw.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(unreadable(raw)).alias("rejected"))
+    raw = pin(raw) if once else raw
     return Found(hits.drop(HIT), parse_fields(readable(raw)), quarantined(raw), few)
 
 
@@ -114,7 +125,41 @@ def find_violations(
 ) -> Violations:
     """Violations of a rule among the events of all groups that the policies apply to, and what was left out."""
     applied = applied_policies(with_score(policies, scores), groups)
-    found = find_events(events, rule, applied, analyzer)
+    found = find_events(events, rule, applied, analyzer, once=True)
     return Violations(
         describe(found.events, applied, rule.group_keys, found.few), found.rejected, skipped_groups(events, applied)
     )
+
+
+@dataclass(frozen=True)
+class Published:
+    """Events ``read`` in violating groups, of these ``rejected`` as unreadable, records ``formed`` from the others, and what was ``sent``."""
+
+    read: int
+    rejected: int
+    formed: int
+    sent: Sent
+
+
+def publish_violations(
+    events: DataFrame,
+    policies: DataFrame,
+    groups: DataFrame,
+    scores: DataFrame,
+    rule: Rule,
+    log: PageLog,
+    analyzer: Analyzer = detect,
+    page_size: int = PAGE_SIZE,
+    send: Sender | None = None,
+) -> Published:
+    """Find violations, form their records and send them page by page; what the log has already is not sent again.
+
+    The counts are taken along in the passes that do the work.
+    """
+    seen, formed = Observation(), Observation()
+    applied = applied_policies(with_score(policies, scores), groups)
+    found = find_events(events, rule, applied, analyzer, once=True, seen=seen)
+    rows = records(found.events, applied, rule.group_keys, found.few).observe(formed, F.count(F.lit(1)).alias("rows"))
+    paged = page_number(rows, rule.group_keys, page_size, (*EVENT_ORDER, "violation_id"))
+    sent = log.publish(paged, rule.group_keys, send=send)
+    return Published(seen.get["rows"], seen.get["rejected"], formed.get["rows"], sent)

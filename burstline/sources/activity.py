@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from burstline.operators.joins import attach
 from burstline.schema import GROUP
@@ -70,3 +72,33 @@ def scan_group_tables(
                 raise
             skipped.append((group,))
     return union_all(found) if found else None, spark.createDataFrame(skipped, f"{GROUP} long")
+
+
+def _folders(spark: SparkSession, root: str) -> dict[str, str]:
+    """Names and paths of the folders in ``root``, from one listing."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return {s.getPath().getName(): s.getPath().toString() for s in files.listStatus(path) if s.isDirectory()}
+
+
+def group_of_file(folder: Callable[[int], str] = table_of_group) -> Column:
+    """The group of a row, from the name of the folder of its file."""
+    before, after = (re.escape(part) for part in folder("\0").split("\0"))
+    name = F.regexp_extract("_metadata.file_path", f"/{before}(-?[0-9]+){after}/[^/]*$", 1)
+    return name.try_cast("long")
+
+
+def scan_group_folders(
+    spark: SparkSession, root: str, groups: Iterable[int], schema: T.StructType | str, folder: Callable[[int], str] = table_of_group
+) -> tuple[DataFrame | None, DataFrame]:
+    """One scan of the Parquet folders of all given groups below ``root``, and the groups left out (column ``rg_id``) as they have none.
+
+    The plan has a single scan node however many groups there are. The group comes from each file's path, so a filter on ``rg_id`` drops
+    files before they are opened. Columns that a group's files lack are null; those not in ``schema`` are not read.
+    """
+    there, wanted = _folders(spark, root), list(dict.fromkeys(groups))
+    paths = [there[folder(group)] for group in wanted if folder(group) in there]
+    skipped = spark.createDataFrame([(group,) for group in wanted if folder(group) not in there], f"{GROUP} long")
+    if not paths:
+        return None, skipped
+    return spark.read.schema(schema).parquet(*paths).withColumn(GROUP, group_of_file(folder)), skipped

@@ -316,4 +316,49 @@ def oracle_sql() -> dict[str, str]:
         "violations_nested": f"""WITH {TAGGED}, nodes AS ({TREE})
             SELECT {flat_record} FROM nodes""",
         "violations_json": f"""WITH {TAGGED}, nodes AS ({TREE}) SELECT {flat_record} FROM nodes""",
+        "detect_stream": f"""WITH {ACTIVITY} SELECT {key_columns}, count(accountname) AS n, count(*) AS events,
+            count(*) FILTER (CAST(eventid AS BIGINT) % 25 > 10) AS late
+            FROM activity WHERE message = 'error' GROUP BY {key_columns} HAVING count(accountname) > 2""",
+        "published_pages": f"""WITH {FOUND}, paged AS (SELECT *, CAST((row_number() OVER (PARTITION BY {key_columns}
+              ORDER BY eventtime, eventid) - 1) // 2 AS BIGINT) AS page FROM found),
+            texts AS (SELECT {key_columns}, page, sha256('{{"rg_id":' || rg_id || ',"eventid":"' || eventid || '","eventtime":' || eventtime
+              || ',"accountname":"' || accountname || '","year":' || year || ',"dayofyear":' || dayofyear || '}}') AS text FROM paged)
+            SELECT {key_columns}, page, count(*) AS events, sha256(string_agg(text, ',' ORDER BY text)) AS digest, count(*) AS messages
+            FROM texts GROUP BY {key_columns}, page""",
+        "published_counts": f"""WITH {TAGGED}, sound AS (SELECT * FROM tagged WHERE hour % 5 <> 0),
+            sizes AS (SELECT {key_columns}, count(*) AS n FROM sound GROUP BY {key_columns}),
+            counts AS (SELECT (SELECT count(*) FROM found) AS read, (SELECT count(*) FROM found WHERE hour % 5 = 0) AS rejected,
+              (SELECT count(*) FROM sound) AS formed, (SELECT CAST(sum((n + 1) // 2) AS BIGINT) FROM sizes) AS all_pages)
+            SELECT CAST(1 AS INTEGER) AS run, read, rejected, formed, formed AS events, all_pages AS pages, CAST(0 AS BIGINT) AS known_pages FROM counts
+            UNION ALL SELECT 2, read, rejected, formed, 0, 0, all_pages FROM counts""",
+        "category_lists": f"""WITH {POLICIES}, {CATEGORY_TABLE}, listed AS (SELECT DISTINCT o_custkey AS key FROM orders WHERE o_custkey % 5 <> 1),
+            given AS (SELECT key + 1 AS policyid, CAST(unnest([key % 13, (key + 3) % 13]) AS INTEGER) AS categoryid FROM listed WHERE key % 5 <> 0),
+            after AS (SELECT id AS policyid, categoryid FROM policies WHERE id - 1 NOT IN (SELECT key FROM listed) UNION ALL SELECT * FROM given)
+            SELECT a.policyid, a.categoryid, p.id + 500 AS riskthreatid, p.id + 900 AS risktypeid, coalesce(c.name, '') AS category
+            FROM after a LEFT JOIN policies p ON p.id = a.policyid LEFT JOIN categories c ON c.id = a.categoryid""",
+        "kept_ids": f"""WITH {CHECKED}, wanted AS (SELECT policyname, bool_or(request_no % 2 = 0) AS early FROM checked
+              WHERE {ACCEPTED} AND NOT "exists" GROUP BY policyname),
+            counts AS (SELECT (SELECT max(id) FROM existing) AS last, (SELECT count(*) FROM wanted WHERE early) AS gone),
+            made AS (SELECT policyname, gone + row_number() OVER (ORDER BY policyname) AS no, last FROM wanted, counts)
+            SELECT name, id, CAST(id + 1000000 AS VARCHAR) AS signatureid, id + 900 AS risktypeid FROM existing
+            UNION ALL SELECT policyname, last + no, CAST(last + 1000000 + no AS VARCHAR), last + 900 + no FROM made""",
+        "display_config_xml": f"""WITH {REQUESTS}, columns AS (SELECT request_no, nullif(trim(grouping_attribute), '') AS grouping_attribute,
+              CASE WHEN trim(grouping_attribute) <> '' THEN concat_ws(',', nullif(trim(l1a), ''), nullif(trim(l1b), ''), nullif(trim(l1c), '')) END AS level1_meta,
+              nullif(trim(level2_primaryattribute), '') AS level2_attribute,
+              CASE WHEN trim(level2_primaryattribute) <> '' THEN nullif(concat_ws(',', nullif(trim(l2a), ''), nullif(trim(l2b), ''), nullif(trim(l2c), '')), '') END AS level2_meta
+              FROM requests)
+            SELECT *, grouping_attribute IS NOT NULL OR level2_attribute IS NOT NULL AS stored, false AS display_unreadable FROM columns""",
+        "group_folders": f"""WITH {ACTIVITY} SELECT rg_id, eventid, false AS skipped FROM activity WHERE rg_id <> {ABSENT_GROUP}
+            UNION ALL SELECT {ABSENT_GROUP}, NULL, true""",
+        "drilldown_filtered": f"WITH {FOUND} SELECT * FROM found",
+        "rows_near_hits": f"WITH {FOUND} SELECT eventid FROM found",
+        "parse_warnings": f"""WITH {RAW}
+            SELECT eventid, 'destinationport' AS field, port_text AS value FROM typed WHERE port_text IS NOT NULL AND destinationport IS NULL
+            UNION ALL SELECT eventid, 'eventtime', time_text FROM typed WHERE time_text IS NOT NULL AND eventtime IS NULL
+            UNION ALL SELECT eventid, 'transactionnumber1', number_text FROM typed WHERE number_text IS NOT NULL AND transactionnumber1 IS NULL
+            UNION ALL SELECT eventid, 'tenantid', tenant_text FROM typed WHERE tenant_text IS NOT NULL AND tenantid IS NULL""",
+        "totals_of_thousandths": f"""WITH {FOUND} SELECT {key_columns}, 'Account ' || {filled('accountname', 'ACCOUNTNAME')}
+            || ' performed a total of ' || count(transactionstring1) || ' uploads amounting to '
+            || coalesce(CAST(CAST(sum(CAST(bytesout AS DECIMAL(18, 3)) * CAST(0.001 AS DECIMAL(4, 3))) AS DECIMAL(38, 2)) AS VARCHAR), 'UNKNOWN') AS sentence
+            FROM found GROUP BY {key_columns}""",
     }

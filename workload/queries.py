@@ -17,7 +17,7 @@ from burstline.plans.violation_plan import applied_policies, find_events, find_v
 from burstline.session import pin
 from burstline.sinks.publish import messages
 from burstline.sources import activity as a
-from workload import tables as t
+from workload import stored, tables as t
 
 RULE = t.DAILY_ERRORS
 KEYS = RULE.group_keys
@@ -53,7 +53,7 @@ def applied(spark: SparkSession, sf: str) -> DataFrame:
 
 def tagged(spark: SparkSession, sf: str) -> DataFrame:
     """Violating events with their policies and values."""
-    result = find_events(t.activity(spark, sf), RULE)
+    result = find_events(t.activity(spark, sf), RULE, once=True)
     return tagged_events(result.events, applied(spark, sf), KEYS, result.few)
 
 
@@ -301,7 +301,7 @@ def violations_nested(spark, sf):
 
 def violations_json(spark, sf):
     """The messages to publish, read back: event, nested violation, tree and verbose values come through the text."""
-    result = find_events(t.activity(spark, sf), RULE)
+    result = find_events(t.activity(spark, sf), RULE, once=True)
     record = records(result.events, applied(spark, sf), KEYS, result.few)
     # Keys of JSON objects are text.
     shape = record.schema.simpleString().replace("map<bigint,", "map<string,")
@@ -361,4 +361,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "violation_tree": violation_tree,
         "violations_nested": violations_nested,
         "violations_json": violations_json,
+        **stored.queries(),
     }
