@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from burstline.operators import bloom
 from burstline.operators.detect import Rule, equals, matching
-from burstline.operators.joins import attach, fits_broadcast
+from burstline.operators.joins import Size, attach, fits_broadcast, pinned
 from burstline.session import pin
 
 
@@ -19,14 +19,19 @@ def marked_hits(hits: DataFrame) -> DataFrame:
     return pin(hits.withColumn(HIT, F.lit(1)))
 
 
+def measured_hits(hits: DataFrame) -> tuple[DataFrame, Size]:
+    """The same, and their size."""
+    return pinned(hits.withColumn(HIT, F.lit(1)))
+
+
 def drilldown(events: DataFrame, hits: DataFrame, rule: Rule, event_id: str = "eventid",
-              few: bool | None = None) -> DataFrame:
+              few: bool | None = None, count: int | None = None) -> DataFrame:
     """Whole rows of the matching events whose keys are among ``hits``.
 
     ``hits`` is used more than once here, so pass it pinned (``marked_hits``). If it fits a broadcast, the wide
     event rows are not shuffled at all. If not, a filter of the hits' keys drops most rows of no hit before the shuffle.
     Rows with a null key belong to no hit. Whatever ``n`` an analyzer gives, a hit is a hit.
-    ``few`` says whether the hits fit a broadcast; they are measured if it is not told.
+    ``few`` says whether the hits fit a broadcast, and ``count`` how many there are; they are measured if it is not told.
     """
     keys = rule.group_keys
     sizes = hits.withColumn("n", F.col("events")) if "events" in hits.columns else None
@@ -36,12 +41,12 @@ def drilldown(events: DataFrame, hits: DataFrame, rule: Rule, event_id: str = "e
         hits = hits.where(F.col(HIT) == 1)
     few = fits_broadcast(hits) if few is None else few
     rows = matching(events, rule)
-    return attach(rows if few else near_hits(rows, hits, keys), hits.select(*keys), keys, "left_semi", [event_id], sizes, few)
+    return attach(rows if few else near_hits(rows, hits, keys, count), hits.select(*keys), keys, "left_semi", [event_id], sizes, few)
 
 
-def near_hits(rows: DataFrame, hits: DataFrame, keys: list[str]) -> DataFrame:
+def near_hits(rows: DataFrame, hits: DataFrame, keys: list[str], count: int | None = None) -> DataFrame:
     """All rows of the hits, and few others: the rows that pass a Bloom filter of the hits' keys, tested where they are scanned."""
-    count = hits.count()
+    count = hits.count() if count is None else count
     if not bloom.worth_it(count) or not bloom.same_hash(rows, hits, keys):
         return rows
     bits = bloom.bits_for(count)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,13 +39,24 @@ def _width(field: T.StructField) -> Column:
     return F.lit(8).cast("long")
 
 
+def _measures(df: DataFrame) -> list[Column]:
+    width = reduce(lambda a, b: a + b, [_width(field) for field in df.schema], F.lit(16).cast("long"))
+    return [F.count("*").alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")]
+
+
 def measure(df: DataFrame) -> Size:
     """Rows and approximate bytes, from one small aggregate."""
-    width = reduce(lambda a, b: a + b, [_width(field) for field in df.schema], F.lit(16).cast("long"))
-    row = df.agg(F.count("*").alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()
+    row = df.agg(*_measures(df)).first()
     return Size(row["rows"], row["bytes"])
 
 
+def pinned(df: DataFrame) -> tuple[DataFrame, Size]:
+    """The pinned rows and their size, measured while they are written."""
+    seen = Observation()
+    held = pin(df.observe(seen, *_measures(df)))
+    return held, Size(seen.get["rows"], seen.get["bytes"])
+
+
 def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
     return measure(df).bytes <= (BROADCAST_BYTES if limit is None else limit)
 

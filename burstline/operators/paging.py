@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from burstline.operators.joins import pinned
 from burstline.session import pin
 
 PAGE_SIZE = 1000
@@ -46,8 +47,8 @@ def numbered(
     Without ``keys`` all rows are one group, which a single task sorts up to FEW_ROWS.
     """
     if not keys:
-        rows = pin(rows)
-        if rows.count() <= min(FEW_ROWS, HOT_ROWS if hot_rows is None else hot_rows):
+        rows, size = pinned(rows)
+        if size.rows <= min(FEW_ROWS, HOT_ROWS if hot_rows is None else hot_rows):
             return rows.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("long"))
         return _numbered_by_range(rows, [], order, name)
     if sizes is None:

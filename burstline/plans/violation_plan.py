@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from burstline.functions.parsing import parse_fields, quarantined, readable, unreadable
 from burstline.functions.templates import with_parsed_template
+from burstline.operators import joins
 from burstline.operators.detect import Rule, detect
-from burstline.operators.drilldown import HIT, drilldown, marked_hits
-from burstline.operators.joins import fits_broadcast
+from burstline.operators.drilldown import HIT, drilldown, measured_hits
 from burstline.operators.policies import policy_groups, with_score
 from burstline.operators.violations import (
     DISPLAY_FIELDS, VALUES, event_day, sentences, tag_policy, violations_nested, with_values, with_violation_id,
@@ -20,7 +20,7 @@ from burstline.operators.violations import (
 from burstline.operators.paging import EVENT_ORDER, PAGE_SIZE, page_number
 from burstline.session import pin
 from burstline.sinks.publish import PageLog, Sender, Sent
-from burstline.sources.activity import scan_activity_multi, skipped_groups
+from burstline.sources.activity import groups_without_events, scan_activity_multi
 
 # An analyzer turns events into the keys of violating groups: the columns of
 # ``rule.group_keys``, and whatever else it has to say of them. With a column ``events``,
@@ -48,23 +48,27 @@ class Violations:
 
 
 def find_events(events: DataFrame, rule: Rule, groups: DataFrame | None = None,
-                analyzer: Analyzer = detect, once: bool = False, seen: Observation | None = None,
-                few: bool | None = None) -> Found:
+                analyzer: Analyzer = detect, once: bool = False, with_rejected: bool = False,
+                seen: Observation | None = None, few: bool | None = None) -> Found:
     """Violating events of the given groups (column ``rg_id``; all groups if none are given).
 
-    With ``once`` the rows of the hits are pinned, so that events, rejected rows and totals all come from them and the event
-    table is read twice in all, detection included. ``seen`` counts them (``rows``) and the rejected ones (``rejected``) in that same pass.
+    With ``once`` the readable rows of the hits are pinned, so that events and totals come from them and the event table is read twice in
+    all, detection included. The rejected rows are looked for when they are used, in another pass; ``with_rejected`` pins them too, with all
+    their columns, in the same pass. ``seen`` counts all rows of the hits (``rows``) and the rejected ones (``rejected``) in that pass.
     ``few`` as in ``drilldown``.
     """
     if groups is not None:
         events = scan_activity_multi(events, groups)
-    hits = marked_hits(analyzer(events, rule))
-    few = fits_broadcast(hits) if few is None else few
-    raw = drilldown(events, hits, rule, few=few)
+    hits, size = measured_hits(analyzer(events, rule))
+    few = size.bytes <= joins.BROADCAST_BYTES if few is None else few
+    raw = drilldown(events, hits, rule, few=few, count=size.rows)
     if seen is not None:
         raw = raw.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(unreadable(raw)).alias("rejected"))
-    raw = pin(raw) if once else raw
-    return Found(hits.drop(HIT), parse_fields(readable(raw)), quarantined(raw), few)
+    if once and with_rejected:
+        raw = pin(raw)
+    good = readable(raw)
+    good = pin(good) if once and not with_rejected else good
+    return Found(hits.drop(HIT), parse_fields(good), quarantined(raw), few)
 
 
 def used_variables(applied: DataFrame, events: DataFrame) -> tuple[list[str], list[tuple[str, str]]]:
@@ -122,12 +126,17 @@ def find_violations(
     scores: DataFrame,
     rule: Rule,
     analyzer: Analyzer = detect,
+    with_rejected: bool = False,
 ) -> Violations:
-    """Violations of a rule among the events of all groups that the policies apply to, and what was left out."""
+    """Violations of a rule among the events of all groups that the policies apply to, and what was left out.
+
+    ``with_rejected`` says that the rejected rows will be used as well: they then come from the same pass.
+    """
     applied = applied_policies(with_score(policies, scores), groups)
-    found = find_events(events, rule, applied, analyzer, once=True)
+    scanned = scan_activity_multi(events, applied)
+    found = find_events(scanned, rule, analyzer=analyzer, once=True, with_rejected=with_rejected)
     return Violations(
-        describe(found.events, applied, rule.group_keys, found.few), found.rejected, skipped_groups(events, applied)
+        describe(found.events, applied, rule.group_keys, found.few), found.rejected, groups_without_events(scanned, applied)
     )
 
 
@@ -158,7 +167,7 @@ def publish_violations(
     """
     seen, formed = Observation(), Observation()
     applied = applied_policies(with_score(policies, scores), groups)
-    found = find_events(events, rule, applied, analyzer, once=True, seen=seen)
+    found = find_events(events, rule, applied, analyzer, once=True, with_rejected=True, seen=seen)
     rows = records(found.events, applied, rule.group_keys, found.few).observe(formed, F.count(F.lit(1)).alias("rows"))
     paged = page_number(rows, rule.group_keys, page_size, (*EVENT_ORDER, "violation_id"))
     sent = log.publish(paged, rule.group_keys, send=send)

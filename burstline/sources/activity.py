@@ -39,7 +39,12 @@ def scan_activity_multi(events: DataFrame, groups: DataFrame) -> DataFrame:
 
 def skipped_groups(events: DataFrame, groups: DataFrame) -> DataFrame:
     """Requested groups that have no events to read. Only the requested groups are looked for."""
-    present = scan_activity_multi(events, groups).select(GROUP).distinct()
+    return groups_without_events(scan_activity_multi(events, groups), groups)
+
+
+def groups_without_events(scanned: DataFrame, groups: DataFrame) -> DataFrame:
+    """The same, of events that were scanned for these groups."""
+    present = scanned.select(GROUP).distinct()
     return attach(groups.select(GROUP).distinct(), present, [GROUP], "left_anti", [GROUP])
 
 

@@ -203,7 +203,7 @@ def group_tables(spark, sf):
 def rejected_events(spark, sf):
     """Events of violating groups whose tenant cannot be read: no violations, but not lost."""
     result = find_violations(
-        t.tenant_activity(spark, sf), t.segment_policies(spark, sf), t.nation_groups(spark, sf), t.scores(spark), RULE
+        t.tenant_activity(spark, sf), t.segment_policies(spark, sf), t.nation_groups(spark, sf), t.scores(spark), RULE, with_rejected=True
     )
     kept = result.violations.groupBy("eventid").agg(F.count("*").alias("violations"))
     return kept.select("eventid", "violations", F.lit(None).cast("string").alias("tenantid")).unionByName(
