@@ -17,7 +17,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-STATES = "states"
+STATES, MARKS = "states", "marks"
 
 
 class Taken(Exception):
@@ -100,6 +100,16 @@ class Versions:
                 continue
         raise Taken(f"{attempts} attempts")
 
+    def _mark(self, name: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{MARKS}/{name}")
+
+    def mark(self, name: str) -> None:
+        """Leave a mark of a name; it may be there."""
+        self._files.create(self._mark(name), True).close()
+
+    def marked(self, name: str) -> bool:
+        return self._files.exists(self._mark(name))
+
     def fresh(self, name: str) -> str:
         """A folder that no state names yet."""
         return f"{self.path}/{name}-{uuid.uuid4().hex}"
