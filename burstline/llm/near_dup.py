@@ -7,10 +7,10 @@
    is compared with the first one of its bucket. Similarity estimated from equal registers, corrected
    for those equal by chance, leaves out what is far below the threshold; the others are decided on the full sets.
 3. Buckets of three and more that these links leave in several components are searched further: rows with
-   512 registers are compared block against block, the component of the bucket's first class only with the rest.
-   First the most similar pair of each class goes on to the full sets, then, between what is still apart, every pair
-   that the finer estimate leaves open. Pairs already connected are never formed, so a group of near copies
-   costs a few comparisons a member and not one a pair.
+   512 registers are compared block against block, the component of the bucket's first class only with the rest. Classes
+   with a pair that the finer estimate leaves open go on, with their full sets, to a task for each two blocks, which counts the common
+   shingles of all their pairs at once and gives out a forest of the links. No table of pairs is formed: a family of
+   texts just below the threshold costs rows in proportion to its members.
 4. Components of all links.
 
 Copies are never paired: they share a class. What can be missed is bounded by the parameters: pairs at the
@@ -22,7 +22,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -36,11 +35,14 @@ from burstline.llm.shingles import (
 
 PERCENT = 85  # of 100: the least similarity of a link in op7_minhash; the pipeline's stage has its own
 BLOCK = 1024  # classes of one bucket compared by one task
+BLOCK_SHINGLES = 1 << 20  # and distinct shingles of these, about: 8 MB
+COLUMNS = 4096  # shingles counted at once
 
 
 def row_key(id_column: str, text: str) -> Column:
-    """Tells rows apart by id and text; nulls are told apart from empty texts."""
-    return F.xxhash64(F.col(f"`{id_column}`").cast("string"), F.col(f"`{text}`"), F.col(f"`{text}`").isNull())
+    """Tells rows apart by id and text, with 128 bits; nulls are told apart from empty texts."""
+    parts = [F.col(f"`{id_column}`").cast("string"), F.col(f"`{text}`"), F.col(f"`{text}`").isNull()]
+    return F.concat(F.hex(F.xxhash64(*parts)), F.lit("-"), F.hex(F.xxhash64(F.lit(1), *parts)))
 
 
 def _texts(column: pa.Array) -> Iterator[bytes | None]:
@@ -110,41 +112,39 @@ def _set_maker(n: int, percent: int):
 
 
 def _likely(percent: int):
-    """Whether two sketches may belong to sets as similar as asked for: five standard errors and the sizes allow it."""
+    """Pairs whose sketches may belong to sets as similar as asked for: five standard errors and the sizes allow it."""
     least = percent / 100 - 5 * (percent / 100 * (1 - percent / 100) / BUCKETS) ** 0.5
 
-    @F.pandas_udf("boolean")
-    def likely(a: pd.Series, b: pd.Series, n_a: pd.Series, n_b: pd.Series) -> pd.Series:
-        if not len(a):
-            return pd.Series([], dtype=bool)
-        left, right = (np.frombuffer(b"".join(x), dtype=np.uint16).reshape(-1, BUCKETS) for x in (a, b))
-        size_a, size_b = n_a.to_numpy(), n_b.to_numpy()
-        close = estimate(left, right, size_a, size_b) >= least
-        return pd.Series(close & (100 * np.minimum(size_a, size_b) >= percent * np.maximum(size_a, size_b)))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left, right = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint16).reshape(-1, BUCKETS) for c in ("sketch_a", "sketch_b"))
+            size_a, size_b = (batch.column(c).to_numpy() for c in ("n_a", "n_b"))
+            close = estimate(left, right, size_a, size_b) >= least
+            close &= 100 * np.minimum(size_a, size_b) >= percent * np.maximum(size_a, size_b)
+            yield batch.select(["a", "b"]).filter(pa.array(close))
 
-    return likely
+    return run
 
 
 def _linked(percent: int):
-    @F.pandas_udf("boolean")
-    def linked(a: pd.Series, b: pd.Series) -> pd.Series:
-        out = []
-        for x, y in zip(a, b):
-            left, right = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
-            small, large = (left, right) if len(left) <= len(right) else (right, left)
-            at = np.minimum(np.searchsorted(large, small), len(large) - 1)
-            common = int((large[at] == small).sum())
-            out.append(100 * common >= percent * (len(left) + len(right) - common))
-        return pd.Series(out, dtype=bool)
+    """Pairs whose full sets are as similar as asked for."""
 
-    return linked
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for x, y in zip(batch.column("set_a"), batch.column("set_b")):
+                left, right = np.frombuffer(x.as_py(), dtype=np.uint64), np.frombuffer(y.as_py(), dtype=np.uint64)
+                small, large = (left, right) if len(left) <= len(right) else (right, left)
+                at = np.minimum(np.searchsorted(large, small), len(large) - 1)
+                common = int((large[at] == small).sum())
+                out.append(100 * common >= percent * (len(left) + len(right) - common))
+            yield batch.select(["a", "b"]).filter(pa.array(out, pa.bool_()))
 
+    return run
 
-def _open_pairs(percent: int, best: bool):
-    """Pairs of one cell that the fine registers leave open, each in the first band that the two share.
 
-    With ``best``, only the most similar one of each class of the left block.
-    """
+def _open_classes(percent: int):
+    """Classes of one cell with a pair in different components that the fine registers leave open, and whose first common band this is."""
     share = percent / 100
     least = share - 4 * (share * (1 - share) / FINE) ** 0.5
 
@@ -152,26 +152,80 @@ def _open_pairs(percent: int, best: bool):
         node, part, n, label = (rows.column(c).to_numpy() for c in ("node", "side", "n", "component"))
         fine = np.frombuffer(b"".join(rows.column("fine").to_pylist()), dtype=np.uint16).reshape(-1, FINE)
         keys = np.frombuffer(b"".join(rows.column("keys").to_pylist()), dtype=np.int64).reshape(len(node), -1)
-        bucket = rows.column("bucket")[0].as_py()
-        left, right = np.flatnonzero(part == 0), np.flatnonzero(part == rows.column("second")[0].as_py())
-        a, b = [], []
+        bucket, second = rows.column("bucket")[0].as_py(), rows.column("second")[0].as_py()
+        left, right = np.flatnonzero(part == 0), np.flatnonzero(part == second)
+        open_ = np.zeros(len(node), dtype=bool)
         for low in range(0, len(left), 256):
             i = left[low : low + 256]
             small, large = np.minimum(n[i][:, None], n[right][None]), np.maximum(n[i][:, None], n[right][None])
             able = (label[i][:, None] != label[right][None]) & (100 * small >= percent * large)
             # Within one block each pair once; between blocks all pairs are different.
-            able &= node[i][:, None] < node[right][None] if part[right[0] if len(right) else 0] == 0 else True
+            able &= node[i][:, None] < node[right][None] if second == 0 else True
             if not able.any():
                 continue
-            close = np.where(able, fine_estimate(fine[i], fine[right]), -1)
-            able = close >= least
-            if best:
-                able &= np.arange(len(right))[None] == close.argmax(axis=1)[:, None]
-            for x, y in zip(*np.nonzero(able)):
-                p, q = i[x], right[y]
-                if keys[p][np.argmax(keys[p] == keys[q])] == bucket:
-                    a.append(int(node[p]))
-                    b.append(int(node[q]))
+            able &= fine_estimate(fine[i], fine[right]) >= least
+            x, y = np.nonzero(able)
+            for at in range(0, len(x), 4096):
+                p, q = i[x[at : at + 4096]], right[y[at : at + 4096]]
+                here = keys[p, (keys[p] == keys[q]).argmax(axis=1)] == bucket
+                open_[p[here]] = open_[q[here]] = True
+        some = np.flatnonzero(open_)
+        return pa.table({c: rows.column(c).take(pa.array(some)) for c in ("bucket", "i", "kind", "j", "node", "side", "second")})
+
+    return run
+
+
+def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many members every two sets have in common (left by right): products of incidence tables, some columns at a time."""
+    sizes = np.array([len(x) for x in (*left, *right)])
+    hashes = np.concatenate([np.zeros(0, np.uint64), *left, *right])
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    order = np.argsort(hashes, kind="stable")
+    hashes, owner = hashes[order], owner[order]
+    new = np.concatenate([[True], hashes[1:] != hashes[:-1]]) if len(hashes) else np.zeros(0, bool)
+    column = np.cumsum(new) - 1
+    on_left = owner < len(left)
+    # Only members that both sides have are counted.
+    both = (np.bincount(column, weights=on_left) > 0) & (np.bincount(column, weights=~on_left) > 0) if len(hashes) else np.zeros(0, bool)
+    number = np.cumsum(both) - 1
+    keep = both[column]
+    owner, column = owner[keep], number[column[keep]]
+    out = np.zeros((len(left), len(right)), np.float32)
+    for low in range(0, int(both.sum()), COLUMNS):
+        first, last = np.searchsorted(column, [low, low + COLUMNS])
+        table_ = np.zeros((len(sizes), COLUMNS), np.float32)
+        table_[owner[first:last], column[first:last] - low] = 1
+        out += table_[: len(left)] @ table_[len(left) :].T
+    return out.astype(np.int64)
+
+
+def _exact_links(percent: int):
+    """Of the open classes of one cell: links of a forest that joins all that are linked, by their full sets."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        node, part = rows.column("node").to_numpy(), rows.column("side").to_numpy()
+        second = rows.column("second")[0].as_py()
+        sets = [np.frombuffer(x.as_py(), dtype=np.uint64) for x in rows.column("hashes")]
+        n = np.array([len(x) for x in sets])
+        left, right = np.flatnonzero(part == 0), np.flatnonzero(part == second)
+        common = common_counts([sets[k] for k in left], [sets[k] for k in right])
+        near = 100 * common >= percent * (n[left][:, None] + n[right][None] - common)
+        near &= node[left][:, None] < node[right][None] if second == 0 else True
+        top = np.arange(len(node))
+
+        def root(k: int) -> int:
+            while top[k] != k:
+                top[k] = top[top[k]]
+                k = top[k]
+            return k
+
+        a, b = [], []
+        for x, y in zip(*np.nonzero(near)):
+            p, q = root(left[x]), root(right[y])
+            if p != q:
+                top[p] = q
+                a.append(int(node[left[x]]))
+                b.append(int(node[right[y]]))
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return run
@@ -183,7 +237,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         pairs.join(full.withColumnsRenamed({"node": "a", "hashes": "set_a"}), "a")
         .join(full.withColumnsRenamed({"node": "b", "hashes": "set_b"}), "b")
     )
-    return both.where(_linked(percent)("set_a", "set_b")).select("a", "b")
+    return both.mapInArrow(_linked(percent), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text", percent: int = PERCENT, n: int = SHINGLE) -> DataFrame:
@@ -197,7 +251,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     """
     rows = docs.select(F.col(f"`{id_column}`").alias("id"), row_key(id_column, text).alias("row_key"), F.col(f"`{text}`").cast("string").alias("_text"))
     id_type = rows.schema["id"].dataType.simpleString()
-    made = rows.mapInArrow(_sketcher(n), f"id {id_type}, row_key long, n_shingles long, print binary, sketch binary")
+    made = rows.mapInArrow(_sketcher(n), f"id {id_type}, row_key string, n_shingles long, print binary, sketch binary")
     sketches = written(made.withColumn("row", F.monotonically_increasing_id()), "sketches")
 
     classes = written(
@@ -213,35 +267,34 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     heads = bands.groupBy("bucket").agg(F.min("node").alias("head"), F.count("*").alias("size")).where("size > 1")
     members = kept(bands.join(heads, "bucket"))
 
-    wanted = members.select("node").distinct().join(chosen.select("node", "row_key", "print"), "node")
-    texts = rows.select("row_key", "_text").join(hinted(wanted.persist(), 64), "row_key").select("node", "print", "_text")
+    wanted = kept(members.select("node").distinct().join(chosen.select("node", "row_key", "print"), "node"))
+    texts = rows.select("row_key", "_text").join(hinted(wanted, 80), "row_key").select("node", "print", "_text")
     made = texts.mapInArrow(_set_maker(n, percent), "node long, n long, keys binary, fine binary, hashes binary")
-    # Repeated rows (same id and text) bring a set again.
+    # Repeated rows (same id and text) bring a set again. Made in a job of their own, so that a task runs one Python step at a time.
     sets = kept(made.dropDuplicates(["node"]))
+    sets.count()
 
     one = chosen.select("node", "sketch", "n_shingles")
     pairs = (
         members.where("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
         .join(one.toDF("b", "sketch_b", "n_b"), "b").join(one.toDF("a", "sketch_a", "n_a"), "a")
-        .where(_likely(percent)("sketch_a", "sketch_b", "n_a", "n_b")).select("a", "b")
+        .select("a", "b", "sketch_a", "sketch_b", "n_a", "n_b").mapInArrow(_likely(percent), "a long, b long")
     )
-    links = written(_verified(pairs, sets, percent), "links-to-heads")
+    links = written(_verified(written(pairs, "pairs-with-heads"), sets, percent), "links-to-heads")
     label = components(links)
-
-    # The best pair of each class first: it joins what the first classes of buckets leave in large parts.
-    for best in (True, False):
-        more = written(_verified(_further(members, sets, label, percent, best), sets, percent), "further-links")
-        if not more.isEmpty():
-            links = links.union(more)
-            label = components(links)
+    more = written(_further(members, one, sets, label, percent), "further-links")
+    if not more.isEmpty():
+        label = components(links.union(more))
+    for held in (wanted, members, chosen, sets):
+        held.unpersist()
     return _answer(sketches, classes, label).withColumnRenamed("id", id_column)
 
 
-def _further(members: DataFrame, sets: DataFrame, label: DataFrame, percent: int, best: bool) -> DataFrame:
-    """Open pairs between different components of the buckets with three and more classes; see ``_open_pairs`` for ``best``."""
+def _further(members: DataFrame, one: DataFrame, sets: DataFrame, label: DataFrame, percent: int) -> DataFrame:
+    """A forest of the links between different components in the buckets with three and more classes."""
     spread = (
-        members.where("size > 2").join(label, "node", "left")
-        .select("bucket", "node", "head", F.coalesce("component", "node").alias("component"))
+        members.where("size > 2").join(label, "node", "left").join(one.select("node", "n_shingles"), "node")
+        .select("bucket", "node", "head", "n_shingles", F.coalesce("component", "node").alias("component"))
     )
     spread = written(spread, "bucket-components")
     open_buckets = spread.groupBy("bucket").agg(
@@ -249,11 +302,14 @@ def _further(members: DataFrame, sets: DataFrame, label: DataFrame, percent: int
         F.max(F.when(F.col("node") == F.col("head"), F.col("component"))).alias("main"),
     ).where("low <> high")
     placed = spread.join(open_buckets.select("bucket", "main"), "bucket").withColumn("inside", F.col("component") == F.col("main"))
-    counts = placed.groupBy("bucket").agg(
-        F.count(F.when(F.col("inside"), 1)).alias("n_inside"), F.count(F.when(~F.col("inside"), 1)).alias("n_rest")
-    )
-    blocks = lambda c: F.ceil(F.col(c) / F.lit(BLOCK)).cast("int")
-    held = placed.join(counts.select("bucket", blocks("n_inside").alias("b_inside"), blocks("n_rest").alias("b_rest")), "bucket")
+
+    def blocks(inside: Column) -> Column:
+        """Blocks of a part of a bucket: as its classes and their shingles ask for."""
+        rows, shingles = F.count(F.when(inside, 1)), F.sum(F.when(inside, F.col("n_shingles")).otherwise(0))
+        return F.greatest(F.ceil(rows / F.lit(BLOCK)), F.least(rows, F.ceil(shingles / F.lit(BLOCK_SHINGLES)))).cast("int")
+
+    counts = placed.groupBy("bucket").agg(blocks(F.col("inside")).alias("b_inside"), blocks(~F.col("inside")).alias("b_rest"))
+    held = placed.join(counts, "bucket")
     block = F.pmod(F.xxhash64("node"), F.when(F.col("inside"), F.col("b_inside")).otherwise(F.col("b_rest"))).cast("int")
     # Cells: a block of the rest against itself, a later block of the rest, or a block of the main component.
     cell = lambda i, kind, j, side, second: F.struct(
@@ -274,7 +330,10 @@ def _further(members: DataFrame, sets: DataFrame, label: DataFrame, percent: int
         .select("bucket", "node", "component", "cell.*")
     )
     filled = cells.join(sets.select("node", "n", "keys", "fine"), "node")
-    return filled.groupBy("bucket", "i", "kind", "j").applyInArrow(_open_pairs(percent, best), "a long, b long").distinct()
+    place = ["bucket", "i", "kind", "j"]
+    left_open = written(filled.groupBy(*place).applyInArrow(
+        _open_classes(percent), "bucket long, i int, kind int, j int, node long, side int, second int"), "open-classes")
+    return left_open.join(sets.select("node", "hashes"), "node").groupBy(*place).applyInArrow(_exact_links(percent), "a long, b long").distinct()
 
 
 def _answer(sketches: DataFrame, classes: DataFrame, label: DataFrame) -> DataFrame:
@@ -288,6 +347,26 @@ def _answer(sketches: DataFrame, classes: DataFrame, label: DataFrame) -> DataFr
     ).withColumn("kept", F.col("id").eqNullSafe(F.col("component_id")))
 
 
+def first_of_each(docs: DataFrame, id_column: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
+    """One document of each group of near-duplicates, with all its columns: that with the smallest id, ties broken by ``row_key``.
+
+    Of rows equal in id and text one stays, whatever their other columns: that with the smallest hash of all columns. A row without id stays only if no
+    row of its group has one, and then one of them. Columns of the names ``row_key``, ``kept`` and ``n`` must not be there.
+    """
+    found = near_duplicates(docs, id_column, text, percent)
+    rows = written(found.groupBy("row_key").agg(F.min("group").alias("group"), F.min(id_column).alias("id"), F.count("*").alias("n")), "groups")
+    first = F.min(F.struct(F.col("id").isNull().alias("nameless"), "id", "row_key"))
+    best = rows.where("group is not null").groupBy("group").agg(first.alias("first")).select("first.row_key", F.lit(True).alias("best"))
+    keys = written(
+        rows.join(best, "row_key", "left").select("row_key", F.expr("group is null or best is not null").alias("kept"), "n")
+        .where("not kept or n > 1"), "verdicts"
+    )
+    again = docs.withColumn("row_key", row_key(id_column, text)).join(hinted(keys, 80), "row_key", "left")
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    one = again.where("kept and n > 1").groupBy("row_key").agg(F.min_by(F.struct(*own), F.xxhash64(F.to_json(F.struct(*own)))).alias("one"))
+    return again.where("kept is null").select(*own).union(one.select("one.*"))
+
+
 def op7_minhash(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return near_duplicates(docs).select("doc_id", "n_shingles", "component_id", "kept")

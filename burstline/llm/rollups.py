@@ -3,26 +3,26 @@
 A change is an insert, a delete or a revision of one document's count under one tokenizer version. A batch of changes is
 summed to one signed row per group before it meets the state, so a commit costs the batch and the groups, not the documents.
 
-State lives in a folder that the cluster shares. A commit writes the new totals to a place of its own and then one row to the
-ledger, under the batch's name: the ledger decides. A batch whose name the ledger has is passed over, a commit that
-broke off before the ledger left nothing that is read, and repeating it is safe. Commits to one state come one after the other.
+State lives in a folder that the cluster shares. A commit writes the new totals to a place of its own and publishes them under the next number
+(``sinks/versions.py``), which one writer only can take: of two commits at once the later one adds its batch to the totals the
+other left. A commit that broke off published nothing, and repeating it is safe. A published batch leaves a mark under its name; that of
+the newest state is made good by whoever comes next, so a batch that is in the totals is never added again. A commit reads the newest
+state and one mark, however many batches there were.
 """
 
 from __future__ import annotations
 
 import hashlib
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from burstline.llm.common import new_path, table, written
 from burstline.llm.pieces import encoded
+from burstline.sinks.versions import State, Versions
 
 KEYS = ["source", "lang", "tokenizer"]
 STATE = "source string, lang string, tokenizer string, n_docs long, n_tokens long"
-LEDGER = "sequence long, batch string, place string"
 
 
 def signed(changes: DataFrame) -> DataFrame:
@@ -45,39 +45,41 @@ class Rollup:
     """Totals in ``folder``."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder
+        self.spark, self.versions = spark, Versions(spark, folder)
 
-    def _ledger(self) -> list:
-        """The commits: one row each."""
-        try:
-            return self.spark.read.schema(LEDGER).option("recursiveFileLookup", True).parquet(f"{self.folder}/ledger").orderBy("sequence").collect()
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return []
-
-    def totals(self) -> DataFrame:
+    def totals(self, state: State | None = None) -> DataFrame:
         """The groups that have documents or tokens; no rows before the first commit."""
-        ledger = self._ledger()
-        if not ledger:
-            return self.spark.createDataFrame([], STATE)
-        return self.spark.read.schema(STATE).parquet(f"{self.folder}/{ledger[-1]['place']}")
+        place = (state or self.versions.current()).content.get("totals")
+        return self.versions.rows([place] if place else [], STATE)
 
     def commit(self, batch: str, changes: DataFrame) -> bool:
         """Add a batch. False if it was added before."""
-        ledger = self._ledger()
-        if any(r["batch"] == batch for r in ledger):
+        name = hashlib.sha256(batch.encode()).hexdigest()
+        added = written(signed(changes), "batch")
+
+        def work(now: State) -> dict:
+            if now.number:
+                self.versions.mark(now.content["batch"])
+            if self.versions.marked(name):
+                raise Known(batch)
+            both = self.totals(now).unionByName(added)
+            summed = both.groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
+            place = self.versions.fresh("totals")
+            summed.where("n_docs <> 0 or n_tokens <> 0").write.parquet(place)
+            return {"totals": place, "batch": name}
+
+        try:
+            self.versions.change(work)
+        except Known:
             return False
-        both = self.totals().unionByName(signed(changes))
-        summed = both.groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
-        place = f"totals/{uuid.uuid4().hex}"
-        summed.where("n_docs <> 0 or n_tokens <> 0").write.parquet(f"{self.folder}/{place}")
-        row = self.spark.createDataFrame([(len(ledger), batch, place)], LEDGER)
-        # The folder is named after the batch: a second commit of it at the same time fails here.
-        row.coalesce(1).write.mode("errorifexists").parquet(f"{self.folder}/ledger/{hashlib.sha256(batch.encode()).hexdigest()}")
+        self.versions.mark(name)
         return True
 
 
+class Known(Exception):
+    """The batch is in the totals."""
+
+
 def op5_token_rollup(spark, sf_dir: str) -> DataFrame:
     """All documents inserted under two tokenizer versions, all counts of one revised, toxic documents deleted, one batch sent twice."""
     import public_tokenizers

@@ -305,3 +305,119 @@ def test_rollup_as_by_hand(spark):
     with pytest.raises(Exception, match="unknown change"):
         state.commit("bad", spark.createDataFrame([("rename", "s", "en", "v1", 1, 1, "")], form))
     assert state.totals().count() == 2
+
+
+def family(count, common, own, seed=1):
+    """Texts of ``common`` words that all share and ``own`` words of each."""
+    return [(k, " ".join([*(f"c{j}" for j in range(common)), *(f"o{k}.{j}" for j in range(own))])) for k in range(count)]
+
+
+def test_a_family_just_below_the_threshold_costs_few_rows(spark, monkeypatch):
+    """120 texts of mutual similarity 0.84: all are open to the estimate, none is linked, and no table of pairs is formed."""
+    rows = []
+    kept_written = near_dup.written
+
+    def counting(df, name):
+        out = kept_written(df, name)
+        rows.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(near_dup, "written", counting)
+    docs = family(120, 155, 14) + [(1000, "zz " * 40), (1001, "zz " * 41)]
+    got = near_dup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), percent=85).collect()
+    assert {r["doc_id"] for r in got if not r["kept"]} == {1001}
+    made = dict(rows)
+    assert made["open-classes"] <= 28 * 120 and made["further-links"] == 0
+
+
+def test_links_in_a_block_equal_all_pairs(spark):
+    """Chains of texts, each linked with the next one only, in one bucket with a family above the threshold."""
+    rnd = random.Random(2)
+    docs = family(60, 200, 9) + [(100 + k, t) for k, t in family(50, 160, 16)]
+    words = [f"w{j}" for j in range(400)]
+    docs += [(200 + k, " ".join(words[8 * k : 8 * k + 170])) for k in range(25)]
+    rnd.shuffle(docs)
+    sets = {i: {tuple(t.split()[j : j + 5]) for j in range(len(t.split()) - 4)} for i, t in docs}
+    top = {i: i for i in sets}
+
+    def root(i):
+        while top[i] != i:
+            i = top[i]
+        return i
+
+    for a in sets:
+        for b in sets:
+            if a < b and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+                x, y = sorted((root(a), root(b)))
+                top[y] = x
+    got = near_dup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), percent=85).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == {i: root(i) for i in sets}
+
+
+def test_common_members_are_counted_in_parts(monkeypatch):
+    rnd = np.random.default_rng(5)
+    sets = [np.unique(rnd.integers(0, 300, rnd.integers(0, 120)).astype(np.uint64)) for _ in range(30)]
+    for columns in (7, 4096):
+        monkeypatch.setattr(near_dup, "COLUMNS", columns)
+        got = near_dup.common_counts(sets[:12], sets[12:])
+        assert got.tolist() == [[len(np.intersect1d(x, y)) for y in sets[12:]] for x in sets[:12]]
+    assert near_dup.common_counts([], sets).shape == (0, 30) and not near_dup.common_counts([sets[0][:0]], [sets[0][:0]]).any()
+
+
+def test_rows_equal_in_id_and_text_leave_the_same_one(spark):
+    rows = [(1, "a b c d e f", "en", 5), (1, "a b c d e f", "de", 6), (1, "a b c d e f", None, None), (2, "x y z", "fr", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, n_chars long")
+    left = {tuple(map(tuple, near_dup.first_of_each(docs.repartition(k).orderBy(F.rand(k))).orderBy("doc_id").collect())) for k in (1, 2, 3)}
+    assert len(left) == 1 and [r[0] for r in left.pop()] == [1, 2]
+
+
+CHANGES = "op string, source string, lang string, tokenizer string, n_tokens long, old_tokens long"
+
+
+def inserts(spark, *counts, source="s"):
+    return spark.createDataFrame([("insert", source, "en", "t", n, None) for n in counts], CHANGES)
+
+
+def sums(rollup):
+    return sorted((r["source"], r["n_docs"], r["n_tokens"]) for r in rollup.totals().collect())
+
+
+@pytest.mark.parametrize("at", ["totals", "before", "after"])
+def test_a_commit_that_breaks_off_can_be_repeated(spark, tmp_path, monkeypatch, at):
+    """Broken while the totals are written, before they are published, and after that but before the batch has its mark."""
+    from burstline.llm.rollups import Rollup
+    from burstline.sinks.versions import Versions
+
+    rollup = Rollup(spark, str(tmp_path))
+    rollup.commit("one", inserts(spark, 5, 6))
+
+    def broken(*_):
+        raise OSError("lost")
+
+    if at == "totals":
+        (tmp_path / "totals-x" / "_temporary").mkdir(parents=True)
+        monkeypatch.setattr(Versions, "fresh", broken)
+    elif at == "before":
+        monkeypatch.setattr(Versions, "publish", broken)
+    else:
+        own = Versions.mark
+        monkeypatch.setattr(Versions, "mark", lambda v, name: own(v, name) if v.marked(name) or name == rollup.versions.state(1).content["batch"] else broken())
+    with pytest.raises(OSError):
+        rollup.commit("two", inserts(spark, 7))
+    monkeypatch.undo()
+    again = Rollup(spark, str(tmp_path))
+    assert again.commit("two", inserts(spark, 7)) is (at != "after")
+    assert sums(again) == [("s", 3, 18)] and not again.commit("two", inserts(spark, 7)) and not again.commit("one", inserts(spark, 5, 6))
+    assert again.commit("three", inserts(spark, 1)) and sums(again) == [("s", 4, 19)]
+
+
+def test_commits_at_once_lose_nothing(spark, tmp_path):
+    import threading
+
+    from burstline.llm.rollups import Rollup
+
+    done = []
+    threads = [threading.Thread(target=lambda k=k: done.append(Rollup(spark, str(tmp_path)).commit(f"b{k % 3}", inserts(spark, 10 ** (k % 3))))) for k in range(4)]
+    [t.start() for t in threads]
+    [t.join() for t in threads]
+    assert sorted(done) == [False, True, True, True] and sums(Rollup(spark, str(tmp_path))) == [("s", 3, 111)]
