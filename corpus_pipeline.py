@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from burstline.llm import decontaminate, langid, near_dup, pieces, quality
-from burstline.llm.common import hinted, kept, prepare, table, written
+from burstline.llm.common import prepare, table, written
 
 LEAST_SIMILAR = 80  # of 100: documents as similar as this, by runs of five words, are near-duplicates here
 
@@ -44,25 +44,9 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: that with the smallest id, ties broken by ``row_key``; of rows equal in id and text, one.
-
-    A row without id stays only if no row of its group has one, and then one of them.
-    """
+    """One document of each group of near-duplicates; see ``near_dup.first_of_each``."""
     prepare(spark)
-    found = near_dup.near_duplicates(docs, percent=LEAST_SIMILAR)
-    rows = kept(found.groupBy("row_key").agg(F.min("group").alias("group"), F.min("doc_id").alias("id"), F.count("*").alias("n")))
-    first = F.min(F.struct(F.col("id").isNull().alias("nameless"), "id", "row_key"))
-    best = rows.where("group is not null").groupBy("group").agg(first.alias("first")).select("first.row_key", F.lit(True).alias("best"))
-    keys = (
-        rows.join(best, "row_key", "left").select("row_key", F.expr("group is null or best is not null").alias("kept"), "n")
-        .where("not kept or n > 1").persist()
-    )
-
-    def chosen(own: DataFrame) -> DataFrame:
-        again = own.withColumn("row_key", near_dup.row_key("doc_id", "text")).join(hinted(keys, 32), "row_key", "left")
-        return again.where("kept is null").union(again.where("kept and n > 1").dropDuplicates(["row_key"]))
-
-    return with_own_columns(docs, ("row_key", "kept", "n"), chosen)
+    return with_own_columns(docs, ("row_key", "kept", "n"), lambda own: near_dup.first_of_each(own, percent=LEAST_SIMILAR))
 
 
 def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
