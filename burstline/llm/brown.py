@@ -3,7 +3,11 @@
 1. Tokens of the training documents are counted: part counts in the tasks, one sum per word.
 2. The most frequent words are units of their own; every other word, seen or not, belongs to the unit of its ending.
    Unit pairs are counted over all training documents. The table of these counts has at most UNITS^2 entries, so the driver holds it.
-3. Exchange clustering moves units between classes, one at a time, while the likelihood of the class bigrams grows.
+   Exchange clustering moves units between classes, one at a time, while the likelihood of the class bigrams grows.
+3. Then every known word that was seen often enough is exchanged by itself, in rounds over the whole training text: tasks count
+   the classes before and after each word and the table of class bigrams, and each word goes to the class where the likelihood is largest
+   while the others stay (as in published distributed word clustering). So the units grow with the vocabulary, up to the words whose
+   classes fit a broadcast; only words that are rarer still, and unseen ones, keep the class of their ending.
 4. log10 P(text) = sum over tokens of log10 P(class | class before) + log10 P(word | class), the text's end being a token and
    also the context of the first word. P(class | before) is smoothed towards P(class), P(word | class) is
    (c + 1) / (N_class + V_class + 1): each class keeps the mass of one unseen word.
@@ -26,12 +30,15 @@ from pyspark.sql import functions as F
 from burstline.llm.common import blank_words, pieces_of, table, written
 
 END = b" "  # no word holds a blank
-KNOWN = 200_000  # words whose counts are broadcast
+KNOWN = 200_000  # words whose counts and classes are broadcast
 LONGEST = 64  # bytes of a word that may be among them
 WORD_UNITS, ENDING_UNITS = 512, 255
 ENDING = 3  # bytes
 CLASSES = 48
 TURNS = 8
+ROUNDS = 2  # exchanges of the known words
+LEAST = 5  # times a word must be seen to be exchanged by itself
+CODES = 1 << 20  # neighbours of words that a task adds up at once
 PRIOR = 20.0  # weight of the class distribution in P(class | class before)
 TABLE = 300_000  # words that a task counts before it passes them on
 
@@ -113,13 +120,122 @@ def _pairs(numbers, units: int):
     return run
 
 
+def _f(x: np.ndarray) -> np.ndarray:
+    return x * np.log(np.maximum(x, 1e-300))
+
+
+def gains(table_: np.ndarray, left: np.ndarray, right: np.ndarray, own: float) -> np.ndarray:
+    """What the likelihood gains by a unit in each class, given the class bigrams without it and its neighbours by class.
+
+    ``own`` are pairs of the unit with itself. The class of the end is never an answer.
+    """
+    # What stands before the unit belongs to the rows of other classes, and what follows to their columns, wherever the unit goes.
+    rows, cols = table_.sum(1) + left, table_.sum(0) + right
+    gain = (_f(table_ + right[None]) - _f(table_)).sum(1) + (_f(table_ + left[:, None]) - _f(table_)).sum(0)
+    own_cell = np.diagonal(table_)
+    gain += _f(own_cell + left + right + own) - _f(own_cell) - (_f(own_cell + right) - _f(own_cell)) - (_f(own_cell + left) - _f(own_cell))
+    gain -= _f(rows + right.sum() + own) - _f(rows) + _f(cols + left.sum() + own) - _f(cols)
+    gain[0] = -np.inf
+    return gain
+
+
+def better(gain: np.ndarray, old: int) -> int:
+    """The class with the largest gain; the old one unless another is clearly better."""
+    best = int(gain.argmax())
+    return int(old) if gain[best] <= gain[old] + 1e-9 * abs(gain[old]) else best
+
+
+def _contexts(numbers, label, classes: int, first: int, last: int):
+    """Counts of class bigrams (codes below 0), and of the classes before and behind the words numbered ``first`` to ``last``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of, own = numbers.value, label.value
+        table_ = np.zeros(classes * classes, dtype=np.int64)
+        waiting: list[np.ndarray] = []
+        size = 0
+
+        def out(codes: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(codes, pa.int64()), pa.array(counts, pa.int64())], names=["code", "n"])
+
+        for batch in pieces_of(batches):
+            for text in texts(batch.column("_text")):
+                at = of.of([END, *blank_words(text), END])
+                cls = own[at]
+                table_ += np.bincount(cls[:-1] * classes + cls[1:], minlength=len(table_))
+                if last <= first:
+                    continue
+                k = np.flatnonzero((at >= first) & (at < last))
+                waiting += [at[k] * (2 * classes) + cls[k - 1], at[k] * (2 * classes) + classes + cls[k + 1]]
+                size += 2 * len(k)
+                if size > CODES:
+                    yield out(*np.unique(np.concatenate(waiting), return_counts=True))
+                    waiting.clear()
+                    size = 0
+        if waiting:
+            yield out(*np.unique(np.concatenate(waiting), return_counts=True))
+        some = np.flatnonzero(table_)
+        yield out(-1 - some, table_[some])
+
+    return run
+
+
+def _moves(table_: np.ndarray, label):
+    """The class that each word goes to, from its neighbours by class."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        classes = len(table_)
+        for batch in batches:
+            words, out = batch.column("word").to_pylist(), []
+            for word, seen in zip(words, batch.column("seen").to_pylist()):
+                near = np.zeros(2 * classes)
+                near[[x["at"] for x in seen]] = [x["n"] for x in seen]
+                left, right, old = near[:classes], near[classes:], int(label.value[word])
+                without = table_.copy()
+                without[old] -= right
+                without[:, old] -= left
+                # Pairs of words of one class, and of a word with itself, are taken out from both sides.
+                out.append(better(gains(np.maximum(without, 0), left, right, 0.0), old))
+            yield pa.RecordBatch.from_arrays([pa.array(words, pa.int64()), pa.array(out, pa.int64())], names=["word", "class"])
+
+    return run
+
+
+def _table(rows: pa.Table, classes: int) -> np.ndarray:
+    table_ = np.zeros(classes * classes)
+    table_[-1 - rows.column("code").to_numpy()] = rows.column("n").to_numpy()
+    return table_.reshape(classes, classes)
+
+
+def exchanged(train: DataFrame, numbers, label: np.ndarray, first: int, last: int, rounds: int) -> tuple[np.ndarray, np.ndarray]:
+    """Labels after so many rounds in which the words numbered ``first`` to ``last`` each move, and the class bigrams by these labels."""
+    spark, classes = train.sparkSession, int(label.max()) + 1
+    form = "code long, n long"
+
+    def counted(low: int, high: int) -> DataFrame:
+        made = train.mapInArrow(_contexts(numbers, spark.sparkContext.broadcast(label), classes, low, high), form)
+        return made.groupBy("code").agg(F.sum("n").alias("n"))
+
+    for _ in range(rounds if last > first else 0):
+        near = written(counted(first, last), "word-contexts")
+        table_ = _table(near.where("code < 0").toArrow(), classes)
+        word = F.floor(F.col("code") / F.lit(2 * classes)).alias("word")
+        seen = near.where("code >= 0").groupBy(word).agg(F.collect_list(F.struct((F.col("code") % (2 * classes)).alias("at"), "n")).alias("seen"))
+        new = seen.mapInArrow(_moves(table_, spark.sparkContext.broadcast(label)), "word long, class long").toArrow()  # KNOWN rows at most
+        at, to = new.column("word").to_numpy(), new.column("class").to_numpy()
+        still = bool((label[at] == to).all())
+        label = label.copy()
+        label[at] = to
+        if still:
+            break
+    return label, _table(counted(0, 0).toArrow(), classes)
+
+
 def exchange_classes(pairs: np.ndarray, classes: int = CLASSES, turns: int = TURNS) -> np.ndarray:
     """The class of each unit. Unit 0 (the end) keeps class 0 for itself.
 
     ``pairs`` are counts of unit pairs. Each unit in turn, the frequent ones first, goes where the likelihood of the class
     bigrams, sum n(c,d) log n(c,d) - sum n(c) log n(c) over both sides, is largest; it stays where it is on a tie.
     """
-    f = lambda x: x * np.log(np.maximum(x, 1e-300))
     units = len(pairs)
     weight = pairs.sum(0) + pairs.sum(1)
     order = [int(u) for u in np.argsort(-weight, kind="stable") if u != 0]
@@ -142,15 +258,7 @@ def exchange_classes(pairs: np.ndarray, classes: int = CLASSES, turns: int = TUR
             table_[old] -= right
             table_[:, old] -= left
             table_[old, old] -= own
-            rows, cols = table_.sum(1), table_.sum(0)
-            gain = (f(table_ + right[None]) - f(table_)).sum(1) + (f(table_ + left[:, None]) - f(table_)).sum(0)
-            own_cell = np.diagonal(table_)
-            gain += f(own_cell + left + right + own) - f(own_cell) - (f(own_cell + right) - f(own_cell)) - (f(own_cell + left) - f(own_cell))
-            gain -= f(rows + right.sum() + own) - f(rows) + f(cols + left.sum() + own) - f(cols)
-            gain[0] = -np.inf
-            best = int(gain.argmax())
-            if gain[best] <= gain[old] + 1e-9 * abs(gain[old]):
-                best = int(old)
+            best = better(gains(table_, left, right, own), old)
             label[u] = best
             moved |= best != old
             table_[best] += right
@@ -246,14 +354,15 @@ def trained(counts: DataFrame, train: DataFrame, total: int) -> Model:
 
     numbers = Numbers(words, tails)
     label = np.array([of_unit[small[w]] for w in words] + list(of_unit[len(units) :]), dtype=np.int64)
-    sizes = counts.mapInArrow(_class_sizes(send(numbers), send(label)), "class long, n long, kinds long").groupBy("class").agg(
+    often = sum(1 for w in words if w != END and held[w] >= LEAST) + 1  # words are in the order of their counts, behind the end
+    sent = send(numbers)
+    label, moves = exchanged(train, sent, label, len(units), max(often, len(units)), ROUNDS)
+    sizes = counts.mapInArrow(_class_sizes(sent, send(label)), "class long, n long, kinds long").groupBy("class").agg(
         F.sum("n").alias("n"), F.sum("kinds").alias("kinds")
     ).collect()  # one row per class
-    n, kinds = np.zeros(of_unit.max() + 1), np.zeros(of_unit.max() + 1)
+    n, kinds = np.zeros(len(moves)), np.zeros(len(moves))
     for r in sizes:
         n[r["class"]], kinds[r["class"]] = r["n"], r["kinds"]
-    one = np.eye(len(n))[of_unit]
-    moves = one.T @ pairs @ one
     base = (n + 1) / (total + len(n))
     moves = (moves + PRIOR * base[None]) / (moves.sum(1, keepdims=True) + PRIOR)
     return Model(numbers, label, np.array([held.get(w, 0) for w in words], dtype=np.float64), np.log10(moves), np.log10(n + kinds + 1))

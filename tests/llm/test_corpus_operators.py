@@ -421,3 +421,57 @@ def test_commits_at_once_lose_nothing(spark, tmp_path):
     [t.start() for t in threads]
     [t.join() for t in threads]
     assert sorted(done) == [False, True, True, True] and sums(Rollup(spark, str(tmp_path))) == [("s", 3, 111)]
+
+
+def likelihood(tokens, label, classes):
+    table = np.zeros((classes, classes))
+    for row in tokens:
+        for x, y in zip(row, row[1:]):
+            table[label[x], label[y]] += 1
+    f = lambda x: (x * np.log(np.maximum(x, 1e-300))).sum()
+    return f(table) - f(table.sum(0)) - f(table.sum(1))
+
+
+def test_rounds_move_each_word_as_by_hand(spark, monkeypatch):
+    """Every word of a small corpus goes where the likelihood of all class bigrams, counted anew for each class, is largest."""
+    rnd, docs = random.Random(8), []
+    for k in range(60):
+        row = []
+        for j in range(25):
+            kind = "abc" if (j + k) % 2 else "xyz"
+            word = rnd.choice(kind) + rnd.choice("lmnop")
+            row.append(word if not row or word != row[-1] else word + "q")
+        docs.append((k, " ".join(row)))
+    tokens = [[" ", *t.split(), " "] for _, t in docs]
+    words = [" ", *sorted({w for row in tokens for w in row} - {" "})]
+    numbers = brown.Numbers([w.encode() for w in words], [])
+    label = np.array([0, *(1 + k % 3 for k in range(len(words)))], dtype=np.int64)  # and that of any other word
+    number = {w: k for k, w in enumerate(words)}
+    coded = [[number[w] for w in row] for row in tokens]
+    want, first = list(label), 4
+    for word in range(first, len(words)):
+        by_class = []
+        for c in range(1, 4):
+            tried = list(label)
+            tried[word] = c
+            by_class.append(likelihood(coded, tried, 4))
+        best = max(by_class)
+        want[word] = label[word] if best <= by_class[label[word] - 1] + 1e-6 else 1 + by_class.index(best)
+    train = spark.createDataFrame(docs, "id long, _text string").select("_text").repartition(3)
+    monkeypatch.setattr(brown, "CODES", 50)
+    got, table = brown.exchanged(train, spark.sparkContext.broadcast(numbers), label, first, len(words), 1)
+    assert got.tolist() == [int(x) for x in want] and (got != label).any()
+    assert table.sum() == sum(len(row) - 1 for row in tokens)
+    more, _ = brown.exchanged(train, spark.sparkContext.broadcast(numbers), label, first, len(words), 5)
+    assert likelihood(coded, more, 4) >= likelihood(coded, got, 4) > likelihood(coded, label, 4)
+    assert brown.exchanged(train, spark.sparkContext.broadcast(numbers), label, first, first, 3)[0].tolist() == label.tolist()
+
+
+@pytest.mark.parametrize("kinds", [900, 2700])
+def test_words_that_are_exchanged_grow_with_the_corpus(spark, monkeypatch, kinds):
+    asked = []
+    own = brown.exchanged
+    monkeypatch.setattr(brown, "exchanged", lambda train, numbers, label, first, last, rounds: asked.append(last - first) or own(train, numbers, label, first, last, rounds))
+    docs = [(k, " ".join(f"w{(k * 37 + j) % kinds}" for j in range(100))) for k in range(kinds // 10)]
+    assert brown.scored(spark.createDataFrame(docs, "doc_id long, text string"), F.lit(False)).count() == len(docs)
+    assert asked == [kinds - brown.WORD_UNITS]
