@@ -101,7 +101,10 @@ def _run(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
             share(last == 10), share((size == 1) & (head == 10)), share((last == 6) | (last == 7)),
         ], axis=1)
     pair = ((data[:-1].astype(np.int64) * 31 + data[1:]) * 2654435761 >> 16) & (PAIRS - 1)
-    pairs = np.bincount(passage[:-1] * PAIRS + pair, minlength=count * PAIRS).reshape(count, PAIRS) / length[:, None]
+    # None begins at the end of a text: a score does not depend on the text that happens to be next.
+    inner = np.ones(len(data) - 1, dtype=bool)
+    inner[starts[1:] - 1] = False
+    pairs = np.bincount((passage[:-1] * PAIRS + pair)[inner], minlength=count * PAIRS).reshape(count, PAIRS) / length[:, None]
     weight = (length / (length + SHORT))[:, None]
     return np.concatenate([np.sqrt(kinds), words, np.sqrt(pairs), weight], axis=1).astype(np.float32), each
 
