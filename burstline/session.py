@@ -2,23 +2,31 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
+import shutil
 import uuid
+from urllib.parse import unquote, urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 
+REMOVED_AT_END: set[str] = set()
+
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the session names for such results, else one beside its tables: all executors reach both.
+    """The folder for such results of this application: below the one the session names, else beside its tables. All executors reach both.
 
-    A local master without a named folder keeps them in one folder for temporary files.
+    With a local master and no named folder, it is removed when the process ends. Elsewhere results may outlive the application that made
+    them: clear its folder when they are not read any more.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
+    of_this = f"burstline-{spark.sparkContext.applicationId}"
     if named:
-        return named.rstrip("/")
-    if spark.sparkContext.master.split("[")[0] == "local":
-        return f"file://{tempfile.gettempdir()}/checkpoints"
-    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_pinned"
+        return f"{named.rstrip('/')}/{of_this}"
+    folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_pinned/{of_this}"
+    if spark.sparkContext.master.split("[")[0] == "local" and folder not in REMOVED_AT_END:
+        REMOVED_AT_END.add(folder)
+        atexit.register(shutil.rmtree, unquote(urlparse(folder).path), ignore_errors=True)
+    return folder
 
 
 def pin(df: DataFrame) -> DataFrame:
@@ -28,6 +36,6 @@ def pin(df: DataFrame) -> DataFrame:
     upstream runs twice, a lost executor costs only a re-read, and the planner knows the size from the files,
     so it broadcasts a small result by itself.
     """
-    path = f"{shared_folder(df.sparkSession)}/burstline-{uuid.uuid4().hex}"
+    path = f"{shared_folder(df.sparkSession)}/pinned-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -349,7 +349,8 @@ def oracle_sql() -> dict[str, str]:
               FROM requests)
             SELECT *, grouping_attribute IS NOT NULL OR level2_attribute IS NOT NULL AS stored, false AS display_unreadable FROM columns""",
         "group_folders": f"""WITH {ACTIVITY} SELECT rg_id, eventid, false AS skipped FROM activity WHERE rg_id <> {ABSENT_GROUP}
-            UNION ALL SELECT {ABSENT_GROUP}, NULL, true""",
+            UNION ALL SELECT CAST(n_nationkey AS BIGINT), NULL, true FROM nation
+              WHERE n_nationkey = {ABSENT_GROUP} OR n_nationkey NOT IN (SELECT rg_id FROM activity)""",
         "drilldown_filtered": f"WITH {FOUND} SELECT * FROM found",
         "rows_near_hits": f"WITH {FOUND} SELECT eventid FROM found",
         "parse_warnings": f"""WITH {RAW}
