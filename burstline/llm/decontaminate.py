@@ -12,7 +12,7 @@ Nulls: a null text has no words, hence no hits; an item without words has no win
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -177,14 +177,18 @@ def lowered(text: str) -> Column:
     return F.translate(F.col(text), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+Then = tuple[Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], T.StructType]
+
+
 def find_hits(
     docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text",
-    n: int = WINDOW, limit: int | None = None, keep: list[str] | None = None,
+    n: int = WINDOW, limit: int | None = None, keep: list[str] | None = None, then: Then | None = None,
 ) -> DataFrame:
     """All rows of ``docs``, the columns ``keep`` (all) with ``n_words``, ``spans`` (runs of hit words, [from, to)) and ``items``.
 
     ``items`` are the item ids as strings, sorted. Columns of ``docs`` with these names are replaced. Items without id
     or words are passed over; several items with one id count as one, and repeated documents are each judged.
+    ``then`` (a step for ``mapInArrow`` and its schema) goes on with these rows, in the same task where possible.
     """
     new = [f.name for f in NEW]
     kept = [c for c in (docs.columns if keep is None else keep) if c not in new]
@@ -196,26 +200,39 @@ def find_hits(
         windows = docs.sparkSession.sparkContext.broadcast(Windows([(r["item"], r["text"].encode()) for r in items.collect()], n))
         rows, name = with_text(docs, kept, text)
         fields = rows.select(*[F.col(f"`{c}`") for c in kept]).schema.fields
-        rows = rows.mapInArrow(_scan(windows, name, kept), T.StructType([*fields, *NEW]))
+        scan = _scan(windows, name, kept)
+        if then:
+            # One Python step: the texts do not go back and forth once more.
+            step, schema = then
+            return rows.mapInArrow(lambda batches: step(scan(batches)), schema)
+        rows = rows.mapInArrow(scan, T.StructType([*fields, *NEW]))
     else:
         rows = _joined(docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").cast("string").alias("_text")), items, n)
-    return rows.select(*[F.col(f"`{c}`") for c in kept], *new)
+    found = rows.select(*[F.col(f"`{c}`") for c in kept], *new)
+    return found.mapInArrow(*then) if then else found
+
+
+def _without_spans(most: float):
+    """The other columns and the text without its spans, of documents that have no more than the share ``most`` of their words in them."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (piece for whole in batches for piece in pieces_of(iter([whole]), "_whole")):
+            rows, texts = [], []
+            for row, (text, n, spans) in enumerate(zip(_bytes(batch.column("_whole")), batch.column("n_words").to_pylist(), batch.column("spans").to_pylist())):
+                if sum(end - start for start, end in spans) > n * most:
+                    continue
+                if spans:
+                    ends = [m.span() for m in WORD.finditer(text)]
+                    cut, at = [], 0
+                    for start, end in spans:
+                        cut.append(text[at : ends[start][0]])
+                        at = ends[end - 1][1]
+                    text = b"".join([*cut, text[at:]])
+                rows.append(row)
+                texts.append(None if text is None else text.decode())
+            yield pa.RecordBatch.from_arrays([batch.column("_doc").take(pa.array(rows, pa.int64())), pa.array(texts, pa.string())], names=["_doc", "_whole"])
 
-def _without_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in pieces_of(batches):
-        texts = []
-        for text, spans in zip(_bytes(batch.column("_text")), batch.column("spans").to_pylist()):
-            if spans:
-                ends = [m.span() for m in WORD.finditer(text)]
-                cut, at = [], 0
-                for start, end in spans:
-                    cut.append(text[at : ends[start][0]])
-                    at = ends[end - 1][1]
-                text = b"".join([*cut, text[at:]])
-            texts.append(None if text is None else text.decode())
-        kept = [c for c in batch.schema.names if c != "_text"]
-        yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(texts, pa.string())], names=[*kept, "clean"])
+    return run
 
 
 WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
@@ -229,16 +246,16 @@ def decontaminate(
     ``remove="documents"`` drops every document with a hit. ``remove="spans"`` cuts the hit words, with what
     stands between them, out of the text, and drops documents of whose words more than the share ``most`` is hit.
     """
-    nested = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), F.col(f"`{text}`"))
-    found = find_hits(nested, benchmark, text, keep=["_doc"], **options)
-    back = [F.col(f"_doc.`{c}`").alias(c) for c in docs.columns]
-    if remove == "documents":
-        return found.where(F.size("spans") == 0).select(*back)
-    if remove != "spans":
+    if remove not in ("documents", "spans"):
         raise ValueError(f"remove must be spans or documents, not {remove}")
-    rows = found.where(hit_words() <= F.col("n_words") * most).select("_doc", "spans", F.col(f"_doc.`{text}`").cast("string").alias("_text"))
-    clean = rows.mapInArrow(_without_spans, T.StructType([*rows.drop("_text").schema.fields, T.StructField("clean", T.StringType())]))
-    return clean.select(*[F.col("clean").alias(c) if c == text else F.col(f"_doc.`{c}`").alias(c) for c in docs.columns])
+    if remove == "documents":
+        nested = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), F.col(f"`{text}`"))
+        found = find_hits(nested, benchmark, text, keep=["_doc"], **options)
+        return found.where(F.size("spans") == 0).select(*[F.col(f"_doc.`{c}`").alias(c) for c in docs.columns])
+    others = [F.col(f"`{c}`") for c in docs.columns if c != text] or [F.lit(None).cast("string").alias("_none")]
+    nested = docs.select(F.struct(*others).alias("_doc"), F.col(f"`{text}`").cast("string").alias("_whole"))
+    clean = find_hits(nested, benchmark, "_whole", keep=["_doc", "_whole"], then=(_without_spans(most), nested.schema), **options)
+    return clean.select(*[F.col("_whole").alias(c) if c == text else F.col(f"_doc.`{c}`").alias(c) for c in docs.columns])
 
 
 def hit_words() -> Column:

@@ -73,6 +73,23 @@ def test_hits_leave_the_text(spark):
     assert decontaminate.decontaminate(docs, items.limit(0)).count() == 4
 
 
+@pytest.mark.parametrize("limit", [None, 0])
+def test_both_ways_leave_the_same_rows(spark, limit):
+    """Documents with columns of the names in use, nulls, a text that is mostly benchmark, and one column only."""
+    docs = spark.createDataFrame(
+        [(1, "a b one short c d", "x", 5), (2, "one short", "y", 6), (None, None, None, None), (4, "", "z", 7), (1, "a b one short c d", "x", 5)],
+        "doc_id long, text string, _whole string, spans int")
+    items = spark.createDataFrame([(7, "one short")], "item_id long, text string")
+    left = decontaminate.decontaminate(docs, items, limit=limit)
+    assert left.columns == docs.columns
+    want = [(1, "a b  c d", "x", 5)] * 2 + [(None, None, None, None), (4, "", "z", 7)]
+    assert sorted(map(str, map(tuple, left.collect()))) == sorted(map(str, want))
+    alone = decontaminate.decontaminate(docs.select("text"), items, limit=limit)
+    assert sorted(str(r["text"]) for r in alone.collect()) == sorted(str(t) for _, t, _, _ in want)
+    all_of_it = decontaminate.decontaminate(docs, items, most=1.0, limit=limit)
+    assert all_of_it.where("doc_id = 2").first()["text"] == ""
+
+
 PAGES = [
     (5, "http://a/", "x" * 200), (3, "http://b/\r\nX: y", "x" * 200), (9, None, "x" * 200), (4, "u", "é" * 60), (6, "u", "é" * 60), (1, "u", "short"),
     (2, "u", "short"), (7, "u", None), (8, "u", ""), (9, "u", "long\r\n\r\n" * 9000), (3, "u", "x" * 200), (None, "u", "x" * 200), (None, "u", "alone" * 50),
