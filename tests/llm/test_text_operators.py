@@ -208,6 +208,33 @@ def test_rules_as_by_hand(spark):
     assert got == sorted((i, str(u), h, p, str(r), v) for i, u, _ in rows for h, p, r, v in [expected(u)])
 
 
+def test_nested_paths_as_by_hand(spark):
+    """Many path rules on a few nested hosts: prefixes of each other, ends beside starts, the last of all characters, ties."""
+    rnd = random.Random(11)
+    some = lambda most: "".join(rnd.choice(["/", "a", "b", "\U0010ffff", "é"]) for _ in range(rnd.randint(0, most)))
+    verdicts = [(h, p, rnd.choice(["block", "allow"])) for h in ("net", "x.net", "y.x.net", "org") for p in sorted({"", *("/" + some(4) for _ in range(60))})]
+    rows = [(k, f"http://{rnd.choice(['y.x.net', 'x.net', 'z.y.x.net', 'ax.net', 'org', 'net', 'com'])}/{some(6)}") for k in range(800)]
+
+    def expected(url):
+        host, path = url[7 : url.index("/", 7)], url[url.index("/", 7) :]
+        fit = [(len(h + p), h + p, v) for h, p, v in verdicts if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        _, rule, verdict = max(fit, default=(0, None, "allow"))
+        return rule, verdict
+
+    found = judge(spark.createDataFrame(rows, "page_id long, url string"), spark.createDataFrame(verdicts, "host string, path string, verdict string"))
+    assert {r["page_id"]: (r["rule"], r["verdict"]) for r in found.collect()} == {k: expected(u) for k, u in rows}
+
+
+def test_places_of_paths_hold_one_rule_each(spark):
+    """However many path rules a host has, what a url carries is one rule."""
+    from burstline.llm.url_filter import clean_rules, path_places
+
+    rules = spark.createDataFrame([("h.net", f"/{k}/{j}", "block") for k in range(40) for j in ("", "x", "xy")], "host string, path string, verdict string")
+    rows = path_places(clean_rules(rules)).collect()
+    assert len(rows) == 240 and max(len(r["active"]) for r in rows) == 1
+    assert [r["active"][0]["path"] for r in rows if r["key"] == b"/7/xy\xff"] == ["/7/x"]
+
+
 def test_no_rules_and_no_urls(spark):
     urls = spark.createDataFrame([(1, "http://a.net/")], "page_id long, url string")
     rules = spark.createDataFrame([(None, None, "block")], "host string, path string, verdict string")
