@@ -102,18 +102,41 @@ def _endings(known):
     return run
 
 
-def _pairs(numbers, units: int):
-    """Counts of neighbouring units; each document starts after, and stops with, its end."""
+def _coded(numbers):
+    """Each text as the numbers of its words, between two ends."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = numbers.value
-        total = np.zeros(units * units, dtype=np.int64)
         for batch in pieces_of(batches):
-            codes = [np.zeros(0, dtype=np.int64)]
-            for text in texts(batch.column("_text")):
-                row = of.of([END, *blank_words(text), END])
-                codes.append(row[:-1] * units + row[1:])
-            total += np.bincount(np.concatenate(codes), minlength=len(total))
+            rows = [of.of([END, *blank_words(text), END]).astype("<i4").tobytes() for text in texts(batch.column("_text"))]
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], names=["ids"])
+
+    return run
+
+
+def _numbers_of(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    for batch in pieces_of(batches, "ids"):
+        for row in batch.column("ids"):
+            yield np.frombuffer(row.as_py(), dtype="<i4").astype(np.int64)
+
+
+def _pairs(unit_of, units: int):
+    """Counts of neighbouring units; each document starts after, and stops with, its end."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = unit_of.value
+        total = np.zeros(units * units, dtype=np.int64)
+        waiting: list[np.ndarray] = []
+        size = 0
+        for at in _numbers_of(batches):
+            row = of[at]
+            waiting.append(row[:-1] * units + row[1:])
+            size += len(row)
+            if size > CODES:
+                total += np.bincount(np.concatenate(waiting), minlength=len(total))
+                waiting, size = [], 0
+        if waiting:
+            total += np.bincount(np.concatenate(waiting), minlength=len(total))
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some // units), pa.array(some % units), pa.array(total[some])], names=["a", "b", "n"])
 
@@ -131,7 +154,10 @@ def gains(table_: np.ndarray, left: np.ndarray, right: np.ndarray, own: float) -
     """
     # What stands before the unit belongs to the rows of other classes, and what follows to their columns, wherever the unit goes.
     rows, cols = table_.sum(1) + left, table_.sum(0) + right
-    gain = (_f(table_ + right[None]) - _f(table_)).sum(1) + (_f(table_ + left[:, None]) - _f(table_)).sum(0)
+    # Cells of classes that are no neighbours do not change.
+    r, b = np.flatnonzero(right), np.flatnonzero(left)
+    behind, before = table_[:, r], table_[b]
+    gain = (_f(behind + right[r]) - _f(behind)).sum(1) + (_f(before + left[b][:, None]) - _f(before)).sum(0)
     own_cell = np.diagonal(table_)
     gain += _f(own_cell + left + right + own) - _f(own_cell) - (_f(own_cell + right) - _f(own_cell)) - (_f(own_cell + left) - _f(own_cell))
     gain -= _f(rows + right.sum() + own) - _f(rows) + _f(cols + left.sum() + own) - _f(cols)
@@ -145,34 +171,36 @@ def better(gain: np.ndarray, old: int) -> int:
     return int(old) if gain[best] <= gain[old] + 1e-9 * abs(gain[old]) else best
 
 
-def _contexts(numbers, label, classes: int, first: int, last: int):
+def _contexts(label, classes: int, first: int, last: int):
     """Counts of class bigrams (codes below 0), and of the classes before and behind the words numbered ``first`` to ``last``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of, own = numbers.value, label.value
+        own = label.value
         table_ = np.zeros(classes * classes, dtype=np.int64)
-        waiting: list[np.ndarray] = []
+        near: list[np.ndarray] = []
+        pairs: list[np.ndarray] = []
         size = 0
 
         def out(codes: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(codes, pa.int64()), pa.array(counts, pa.int64())], names=["code", "n"])
 
-        for batch in pieces_of(batches):
-            for text in texts(batch.column("_text")):
-                at = of.of([END, *blank_words(text), END])
-                cls = own[at]
-                table_ += np.bincount(cls[:-1] * classes + cls[1:], minlength=len(table_))
-                if last <= first:
-                    continue
+        for at in _numbers_of(batches):
+            cls = own[at]
+            pairs.append(cls[:-1] * classes + cls[1:])
+            size += len(at)
+            if last > first:
                 k = np.flatnonzero((at >= first) & (at < last))
-                waiting += [at[k] * (2 * classes) + cls[k - 1], at[k] * (2 * classes) + classes + cls[k + 1]]
-                size += 2 * len(k)
-                if size > CODES:
-                    yield out(*np.unique(np.concatenate(waiting), return_counts=True))
-                    waiting.clear()
-                    size = 0
-        if waiting:
-            yield out(*np.unique(np.concatenate(waiting), return_counts=True))
+                word = at[k] * (2 * classes)
+                near += [word + cls[k - 1], word + classes + cls[k + 1]]
+            if size > CODES:
+                table_ += np.bincount(np.concatenate(pairs), minlength=len(table_))
+                if near:
+                    yield out(*np.unique(np.concatenate(near), return_counts=True))
+                pairs, near, size = [], [], 0
+        if pairs:
+            table_ += np.bincount(np.concatenate(pairs), minlength=len(table_))
+        if near:
+            yield out(*np.unique(np.concatenate(near), return_counts=True))
         some = np.flatnonzero(table_)
         yield out(-1 - some, table_[some])
 
@@ -206,13 +234,16 @@ def _table(rows: pa.Table, classes: int) -> np.ndarray:
     return table_.reshape(classes, classes)
 
 
-def exchanged(train: DataFrame, numbers, label: np.ndarray, first: int, last: int, rounds: int) -> tuple[np.ndarray, np.ndarray]:
-    """Labels after so many rounds in which the words numbered ``first`` to ``last`` each move, and the class bigrams by these labels."""
-    spark, classes = train.sparkSession, int(label.max()) + 1
+def exchanged(coded: DataFrame, label: np.ndarray, first: int, last: int, rounds: int) -> tuple[np.ndarray, np.ndarray]:
+    """Labels after so many rounds in which the words numbered ``first`` to ``last`` each move, and the class bigrams by these labels.
+
+    ``coded`` are the training texts as numbers of words (``_coded``).
+    """
+    spark, classes = coded.sparkSession, int(label.max()) + 1
     form = "code long, n long"
 
     def counted(low: int, high: int) -> DataFrame:
-        made = train.mapInArrow(_contexts(numbers, spark.sparkContext.broadcast(label), classes, low, high), form)
+        made = coded.mapInArrow(_contexts(spark.sparkContext.broadcast(label), classes, low, high), form)
         return made.groupBy("code").agg(F.sum("n").alias("n"))
 
     for _ in range(rounds if last > first else 0):
@@ -345,18 +376,18 @@ def trained(counts: DataFrame, train: DataFrame, total: int) -> Model:
         .orderBy(F.desc("n"), "ending").limit(ENDING_UNITS).collect()
     )
     tails = [bytes(r["ending"]) for r in endings]
-    small = Numbers(units, tails)
-    size = small.other + 1
-    rows = train.mapInArrow(_pairs(send(small), size), "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n")).toArrow()
+    small, numbers = Numbers(units, tails), Numbers(words, tails)
+    size, sent = small.other + 1, send(numbers)
+    # The texts become numbers once; every further pass reads these.
+    coded = written(train.mapInArrow(_coded(sent), "ids binary"), "coded-texts")
+    unit_of = np.array([small[w] for w in words] + list(range(len(units), size)), dtype=np.int64)
+    rows = coded.mapInArrow(_pairs(send(unit_of), size), "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n")).toArrow()
     pairs = np.zeros((size, size))
     pairs[rows.column("a").to_numpy(), rows.column("b").to_numpy()] = rows.column("n").to_numpy()
     of_unit = exchange_classes(pairs)
 
-    numbers = Numbers(words, tails)
-    label = np.array([of_unit[small[w]] for w in words] + list(of_unit[len(units) :]), dtype=np.int64)
     often = sum(1 for w in words if w != END and held[w] >= LEAST) + 1  # words are in the order of their counts, behind the end
-    sent = send(numbers)
-    label, moves = exchanged(train, sent, label, len(units), max(often, len(units)), ROUNDS)
+    label, moves = exchanged(coded, of_unit[unit_of], len(units), max(often, len(units)), ROUNDS)
     sizes = counts.mapInArrow(_class_sizes(sent, send(label)), "class long, n long, kinds long").groupBy("class").agg(
         F.sum("n").alias("n"), F.sum("kinds").alias("kinds")
     ).collect()  # one row per class

@@ -458,20 +458,21 @@ def test_rounds_move_each_word_as_by_hand(spark, monkeypatch):
         best = max(by_class)
         want[word] = label[word] if best <= by_class[label[word] - 1] + 1e-6 else 1 + by_class.index(best)
     train = spark.createDataFrame(docs, "id long, _text string").select("_text").repartition(3)
+    train = train.mapInArrow(brown._coded(spark.sparkContext.broadcast(numbers)), "ids binary")
     monkeypatch.setattr(brown, "CODES", 50)
-    got, table = brown.exchanged(train, spark.sparkContext.broadcast(numbers), label, first, len(words), 1)
+    got, table = brown.exchanged(train, label, first, len(words), 1)
     assert got.tolist() == [int(x) for x in want] and (got != label).any()
     assert table.sum() == sum(len(row) - 1 for row in tokens)
-    more, _ = brown.exchanged(train, spark.sparkContext.broadcast(numbers), label, first, len(words), 5)
+    more, _ = brown.exchanged(train, label, first, len(words), 5)
     assert likelihood(coded, more, 4) >= likelihood(coded, got, 4) > likelihood(coded, label, 4)
-    assert brown.exchanged(train, spark.sparkContext.broadcast(numbers), label, first, first, 3)[0].tolist() == label.tolist()
+    assert brown.exchanged(train, label, first, first, 3)[0].tolist() == label.tolist()
 
 
 @pytest.mark.parametrize("kinds", [900, 2700])
 def test_words_that_are_exchanged_grow_with_the_corpus(spark, monkeypatch, kinds):
     asked = []
     own = brown.exchanged
-    monkeypatch.setattr(brown, "exchanged", lambda train, numbers, label, first, last, rounds: asked.append(last - first) or own(train, numbers, label, first, last, rounds))
+    monkeypatch.setattr(brown, "exchanged", lambda coded, label, first, last, rounds: asked.append(last - first) or own(coded, label, first, last, rounds))
     docs = [(k, " ".join(f"w{(k * 37 + j) % kinds}" for j in range(100))) for k in range(kinds // 10)]
     assert brown.scored(spark.createDataFrame(docs, "doc_id long, text string"), F.lit(False)).count() == len(docs)
     assert asked == [kinds - brown.WORD_UNITS]
